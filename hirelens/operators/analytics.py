@@ -90,6 +90,11 @@ def currencies(jobs: DataFrame) -> DataFrame:
     return value_counts(paid, "currency")
 
 
+def main_currency(jobs: DataFrame) -> Column:
+    """The most frequent currency of paid jobs, as a scalar subquery."""
+    return currencies(jobs).limit(1).select("currency").scalar()
+
+
 def salary_histogram(paid: DataFrame, bins: int = 30) -> DataFrame:
     """Counts in equal bins between the lowest and the highest midpoint; empty bins omitted."""
     span = paid.agg(F.struct(F.min("salary_mid").alias("lo"), F.max("salary_mid").alias("hi")).alias("s")).scalar()

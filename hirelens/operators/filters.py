@@ -80,8 +80,11 @@ def filter_domains(jobs: DataFrame, job_skills: DataFrame | None = None) -> Data
     return reduce(DataFrame.unionByName, rows).filter("option is not null").orderBy("domain", "option")
 
 
-def currency_slice(jobs: DataFrame, currency: str) -> DataFrame:
-    """Paid jobs of one currency; a missing code counts as ``Unknown``."""
+def currency_slice(jobs: DataFrame, currency: str | Column) -> DataFrame:
+    """Paid jobs of one currency; a missing code counts as ``Unknown``.
+
+    ``currency`` may be a scalar subquery, such as the most frequent one.
+    """
     paid = jobs.filter(F.col("salary_mid").isNotNull())
     return paid.filter(F.coalesce("salary_currency", F.lit(V.UNKNOWN_CURRENCY)) == currency)
 

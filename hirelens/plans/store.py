@@ -15,7 +15,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -31,12 +30,11 @@ _RUN_LOG = StructType(RUN.fields + [StructField("seq", IntegerType())])
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table, or an empty one of that schema if it does not exist yet."""
-    try:
+    jvm = spark.sparkContext._jvm
+    location = jvm.org.apache.hadoop.fs.Path(path)
+    if location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location):
         return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+    return spark.createDataFrame([], schema)
 
 
 def csv_rows(records: DataFrame) -> DataFrame:

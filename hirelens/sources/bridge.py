@@ -72,13 +72,13 @@ _ORACLE_COPIES = "CROSS JOIN (SELECT 0 AS dup UNION ALL SELECT 1 AS dup) t WHERE
 OBSERVATIONS = """
 SELECT CAST(o_orderkey AS STRING) AS job_id,
   CAST((year(o_orderdate) - 1995) * 12 + month(o_orderdate) AS BIGINT) AS run_id,
-  o_orderkey * 10 AS ordinal, CAST(o_orderdate AS DATE) AS seen_on,
+  CAST(0 AS BIGINT) AS ordinal, CAST(o_orderdate AS DATE) AS seen_on,
   'posted ' || o_orderpriority AS title, o_totalprice AS salary_min
 FROM orders
 UNION ALL
 SELECT CAST(l_orderkey AS STRING) AS job_id,
   CAST((year(l_shipdate) - 1995) * 12 + month(l_shipdate) AS BIGINT) AS run_id,
-  l_orderkey * 10 + l_linenumber AS ordinal, CAST(l_shipdate AS DATE) AS seen_on,
+  (l_linenumber * CAST(1000000000 AS BIGINT) + l_partkey) * 100000 + l_suppkey AS ordinal, CAST(l_shipdate AS DATE) AS seen_on,
   'line ' || CAST(l_linenumber AS STRING) AS title, l_extendedprice AS salary_min
 FROM lineitem
 """
