@@ -64,16 +64,16 @@ SELECTORS = {
 }
 
 # --- Fixed values: salary patterns -------------------------------------------
-AMOUNT = r"\d{1,3}(?:,\d{3})+|\d+(?:\.\d+)?"
+AMOUNT = r"[0-9]{1,3}(?:,[0-9]{3})+|[0-9]+(?:\.[0-9]+)?"
 SALARY_TAIL = r"(?=([\s\S]{0,12}))"
 # groups: symbol, low, low k, high, high k, tail
 SALARY_SYMBOL_RANGE = (
-    rf"(?U)([$€£])\s?({AMOUNT})\s?([kK])?\s*(?:-|–|—|to)\s*(?:[$€£]\s?)?({AMOUNT})\s?([kK])?(?![\d,])"
+    rf"(?U)([$€£])\s?({AMOUNT})\s?([kK])?\s*(?:-|–|—|to)\s*(?:[$€£]\s?)?({AMOUNT})\s?([kK])?(?![0-9,])"
     + SALARY_TAIL
 )
 # groups: low, low k, high, high k, currency code
 SALARY_K_RANGE = (
-    r"(?iU)(\d{2,3})\s?([kK])?\s*(?:-|–|—|to)\s*(\d{2,3})\s?([kK])\b\s*(USD|EUR|GBP|CAD|AUD)?"
+    r"(?iU)([0-9]{2,3})\s?([kK])?\s*(?:-|–|—|to)\s*([0-9]{2,3})\s?([kK])\b\s*(USD|EUR|GBP|CAD|AUD)?"
 )
 # groups: symbol, amount, k, tail
 SALARY_SINGLE = rf"(?U)([$€£])\s?({AMOUNT})\s?([kK])?" + SALARY_TAIL

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
-from hirelens.functions.text import normalize_text
+from hirelens.functions.text import bind, normalize_text
 
 _NAMES = "|".join(m if len(m) == 3 else f"{m[:3]}(?:{m[3:]})?" for m in V.MONTHS)
 _STARTS = " ".join(m[:3] for m in V.MONTHS)
@@ -61,4 +61,4 @@ def parse_date_text(text: Column) -> Column:
 
 
 def parse_date(c: Column) -> Column:
-    return parse_date_text(normalize_text(c))
+    return bind(normalize_text(c), parse_date_text)

@@ -38,8 +38,8 @@ _ARROW_ELEMENTS = pa.list_(pa.struct([
 
 _COMMENT = r"(?s)<!--.*?-->"
 _SILENT = r"(?is)<(script|style|template)\b[^>]*>.*?</\1\s*>"
-_BREAK = r"(?i)<br(?=[\s>/])[^>]*>"
-_PARAGRAPH = r"(?i)<p(?=[\s>/])[^>]*>"
+_HAS_SILENT = r"(?i)<(script|style|template)"
+_BREAK = r"(?i)<(?:br|p)(?=[\s>/])[^>]*>"
 _TAG = r"""<[/!?a-zA-Z][^>"']*+(?:"[^"]*+"[^>"']*+|'[^']*+'[^>"']*+)*+>"""
 # Entities decoded in the JVM; &amp; goes last so that nothing is decoded twice.
 _COMMON_ENTITIES = {
@@ -55,14 +55,25 @@ def unescape(c: Column) -> Column:
     plain = c
     for name, char in _COMMON_ENTITIES.items():
         plain = F.replace(plain, F.lit(name), F.lit(char))
-    return F.coalesce(arrow_text_function(_html.unescape)(F.when(uncommon, c)), plain)
+    decoded = arrow_text_function(_html.unescape)(F.when(c.contains("&") & uncommon, c))
+    return F.coalesce(decoded, F.when(c.contains("&"), plain).otherwise(c))
+
+
+def strip_tags(c: Column) -> Column:
+    """HTML fragment without tags, comments and scripts; ``<br>`` and ``<p>`` break lines."""
+    shown = F.when(c.contains("<!--"), F.regexp_replace(c, _COMMENT, "")).otherwise(c)
+    heard = F.when(shown.rlike(_HAS_SILENT), F.regexp_replace(shown, _SILENT, "")).otherwise(shown)
+    plain = F.regexp_replace(F.regexp_replace(heard, _BREAK, "\n"), _TAG, "")
+    return F.when(c.contains("<"), plain).otherwise(c)
 
 
 def html_to_text(c: Column) -> Column:
-    """HTML fragment -> text; ``<br>`` and the start of ``<p>`` become line breaks."""
-    for pattern, by in ((_COMMENT, ""), (_SILENT, ""), (_BREAK, "\n"), (_PARAGRAPH, "\n"), (_TAG, "")):
-        c = F.regexp_replace(c, pattern, by)
-    return unescape(c)
+    """HTML fragment -> text; ``<br>`` and the start of ``<p>`` become line breaks.
+
+    On large tables put ``strip_tags`` and ``unescape`` in two selects: the second reads its
+    input more than once.
+    """
+    return unescape(strip_tags(c))
 
 
 def shred(html: Column, tags: Sequence[str] | None = None) -> Column:
@@ -139,7 +150,8 @@ def shred(html: Column, tags: Sequence[str] | None = None) -> Column:
             [None if page is None else elements(page) for page in pages.to_pylist()], _ARROW_ELEMENTS
         )
 
-    return F.arrow_udf(batch, ArrayType(ELEMENT))(html)
+    # Non-deterministic only in name: pages must not be parsed again for a pushed-down filter.
+    return F.arrow_udf(batch, ArrayType(ELEMENT)).asNondeterministic()(html)
 
 
 # --- selectors ----------------------------------------------------------------------------

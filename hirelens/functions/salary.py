@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
+from hirelens.functions.text import bind
 
 # One rewrite per phase turns each match into a record "\1field\2field...\1", so a text is
 # scanned once per phase whatever the number of groups.
 _RECORD = "\u0001"
 _FIELD = "\u0002"
-_GATE = r"[$€£]|\d\s?[kK]"
 _RESULT = "struct<low:double,high:double,currency:string>"
 
 
@@ -66,7 +69,8 @@ def _single(m: Column) -> Column:
 def _first_offer(text: Column, pattern: str, groups: int, read) -> Column:
     offers = F.transform(_matches(text, pattern, groups), read)
     good = F.filter(offers, lambda o: _plausible(o) & ~o["tail"].rlike(V.HOURLY))
-    return F.transform(good, lambda o: F.struct(o["low"], o["high"], o["currency"]))
+    first = F.get(F.transform(good, lambda o: F.struct(o["low"], o["high"], o["currency"])), F.lit(0))
+    return F.when(text.rlike(pattern), first)
 
 
 def extract_salary(text: Column) -> Column:
@@ -75,13 +79,19 @@ def extract_salary(text: Column) -> Column:
     A symbol range is preferred to a ``120-150k`` range, that to a single symbol amount.
     Hourly rates and amounts outside the annual bounds do not count.
     """
-    safe = F.translate(text, _RECORD + _FIELD, "\u0003\u0003")
-    found = F.coalesce(
-        F.get(_first_offer(safe, V.SALARY_SYMBOL_RANGE, 6, _symbol_range), F.lit(0)),
-        F.get(_first_offer(safe, V.SALARY_K_RANGE, 5, _k_range), F.lit(0)),
-        F.get(_first_offer(safe, V.SALARY_SINGLE, 4, _single), F.lit(0)),
-    ).cast(_RESULT)
-    return F.when(text.rlike(_GATE), found)
+    clash = text.contains(_RECORD) | text.contains(_FIELD)
+    safe = F.when(clash, F.translate(text, _RECORD + _FIELD, "\u0003\u0003")).otherwise(text)
+
+    def phases(t: Column) -> Column:
+        # Most texts name no currency sign; looking for one is far cheaper than two patterns.
+        signed = reduce(or_, [t.contains(sign) for sign in V.CURRENCY_SYMBOLS])
+        return F.coalesce(
+            F.when(signed, _first_offer(t, V.SALARY_SYMBOL_RANGE, 6, _symbol_range)),
+            _first_offer(t, V.SALARY_K_RANGE, 5, _k_range),
+            F.when(signed, _first_offer(t, V.SALARY_SINGLE, 4, _single)),
+        ).cast(_RESULT)
+
+    return bind(safe, phases)
 
 
 def salary_mid(low: Column, high: Column) -> Column:

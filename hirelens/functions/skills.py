@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
+from hirelens.functions.text import bind
 
 Taxonomy = Mapping[str, Sequence[str]]
 
@@ -31,16 +32,6 @@ def _key(name: str) -> str:
     return " ".join(name.lower().split())
 
 
-def _literal_words(name: str) -> str:
-    return r"\s+".join(r"\Q" + word + r"\E" for word in name.split())
-
-
-def _name_pattern(name: str) -> str:
-    if name in V.CASE_SENSITIVE_NAMES:
-        return f"(?:{_literal_words(name)}|{_literal_words(name.upper())})"
-    return f"(?iu:{_literal_words(name)})"
-
-
 def _layers(names: list[str]) -> list[list[str]]:
     """Split names so that none starts with another of its layer as whole leading words.
 
@@ -62,13 +53,18 @@ def _layers(names: list[str]) -> list[list[str]]:
 
 
 def _search_pattern(names: list[str]) -> str:
-    by_start = defaultdict(list)
+    """Zero-width pattern whose group is the longest name at a position, grouped by first letter."""
+    by_start: dict[str, list[str]] = defaultdict(list)
     for name in sorted(names, key=len, reverse=True):
-        by_start[name[0].lower()].append(name)
-    branches = []
-    for start, group in by_start.items():
-        choices = "|".join(_name_pattern(name) for name in group)
-        branches.append(rf"(?=(?iu:\Q{start}\E))(?:{choices})")
+        head, *tail = name.split()
+        exact = name in V.CASE_SENSITIVE_NAMES
+        spellings = [name, name.upper()] if exact else [name]
+        start = re.escape(name[0]) if exact or not name[0].isalpha() else f"[{name[0].lower()}{name[0].upper()}]"
+        for spelling in spellings:
+            head, *tail = spelling.split()
+            words = r"\s+".join(r"\Q" + w + r"\E" for w in [head[1:], *tail])
+            by_start[start].append(words if exact else f"(?i:{words})")
+    branches = [f"{start}(?:{'|'.join(rest)})" for start, rest in by_start.items()]
     return rf"(?U){V.NAME_START}(?=({'|'.join(branches)}){V.NAME_END})"
 
 
@@ -109,34 +105,48 @@ def _max_edits(length: int, threshold: int) -> int:
     return edits
 
 
-def near_miss_pattern(choices: Sequence[str], threshold: int) -> str:
-    """Pattern every token within the threshold of a choice satisfies (not only those).
+def _near_miss_pieces(choices: Sequence[str], threshold: int) -> tuple[set[str], set[str], set[str], int]:
+    """(beginnings, endings, inner pieces, shortest token an inner piece is needed for).
 
-    With e edits, one of e + 1 pieces of the name survives intact; an intact first piece
+    With e edits, one of e + 1 pieces of a name survives intact; an intact first piece
     stands at the start of the token and an intact last piece at its end.
     """
-    starts, ends, inner = set(), set(), set()
+    starts, ends, inner, shortest = set(), set(), set(), 1_000_000
     for name in choices:
         edits = _max_edits(len(name), threshold)
         cuts = [round(i * len(name) / (edits + 1)) for i in range(edits + 2)]
         pieces = [name[a:b] for a, b in zip(cuts, cuts[1:])]
-        if not all(pieces):
-            return ""
         starts.add(pieces[0])
         ends.add(pieces[-1])
-        inner.update(pieces[1:-1])
-    parts = [f"^(?:{'|'.join(sorted(starts))})", f"(?:{'|'.join(sorted(ends))})$"]
+        if edits > 1:
+            inner.update(pieces[1:-1])
+            # fewer than two edits leave the first or the last piece intact
+            shortest = min(
+                n for n in [shortest, *range(1, 2 * len(name))]
+                if n == shortest or 200 <= (100 - threshold) * (len(name) + n)
+            )
+    return starts, ends, inner, shortest
+
+
+def may_be_near_miss(word: Column, choices: Sequence[str], threshold: int) -> Column:
+    """True for every word within the threshold of a choice, and for few others."""
+    starts, ends, inner, shortest = _near_miss_pieces(choices, threshold)
+    if "" in starts | ends:
+        return F.lit(True)
+    fits = F.lit(False)
+    for pieces, side in ((starts, F.left), (ends, F.right)):
+        for size in sorted({len(p) for p in pieces}):
+            fits = fits | side(word, F.lit(size)).isin(*sorted(p for p in pieces if len(p) == size))
     if inner:
-        parts.append(f"(?:{'|'.join(sorted(inner))})")
-    return "|".join(parts)
+        fits = fits | ((F.length(word) >= shortest) & word.rlike("|".join(sorted(inner))))
+    return fits
 
 
 def fuzzy_tokens(text: Column, taxonomy: Taxonomy, threshold: int = V.FUZZY_THRESHOLD) -> Column:
     """Distinct lower-case words of the text that could be a misspelt name (no name itself)."""
     choices = list(fuzzy_choices(taxonomy))
     words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(r"[a-z][a-z0-9]{5,}"), F.lit(0)))
-    pattern = near_miss_pattern(choices, threshold)
-    return F.filter(words, lambda w: w.rlike(pattern) & ~w.isin(*choices))
+    return F.filter(words, lambda w: may_be_near_miss(w, choices, threshold) & ~w.isin(*choices))
 
 
 def _matching_run(a: Column, b: Column, side) -> Column:
@@ -164,11 +174,6 @@ def _common_subsequence(a: Column, b: Column) -> Column:
     return F.when((a == "") | (b == ""), F.lit(0)).otherwise(table)
 
 
-def _bind(value: Column, use) -> Column:
-    """Evaluate ``value`` once for all its uses in ``use``."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _inserts_and_deletes(a: Column, b: Column, edits: Column) -> Column:
     """Fewest insertions plus deletions between two words, given their edit distance.
 
@@ -187,13 +192,13 @@ def _inserts_and_deletes(a: Column, b: Column, edits: Column) -> Column:
         return F.struct(w["a"], w["b"], _matching_run(w["a"], w["b"], F.right).alias("tail"))
 
     head = _matching_run(a, b, F.left)
-    rest = _bind(head, lambda h: F.struct(
+    rest = bind(head, lambda h: F.struct(
         F.substr(a, h + 1, F.length(a)).alias("a"), F.substr(b, h + 1, F.length(b)).alias("b")
     ))
     return (
         F.when(edits == gap, gap)
         .when(edits == gap + 1, gap + 2)
-        .otherwise(_bind(_bind(rest, with_tail), middle))
+        .otherwise(bind(bind(rest, with_tail), middle))
     )
 
 
@@ -203,38 +208,39 @@ def best_choice(word: Column, taxonomy: Taxonomy, threshold: int = V.FUZZY_THRES
     The ratio is the share of letters kept when only inserting and deleting, in percent;
     ties go to the earlier name.
     """
-    choices = fuzzy_choices(taxonomy)
-    names = F.array(*[
-        F.struct(F.lit(i).alias("rank"), F.lit(n).alias("name"), F.lit(p).alias("position"))
-        for i, (n, p) in enumerate(choices.items())
-    ])
-
     slack = 100 - threshold
+    # Word length -> the names whose length is near enough.
+    reach: dict[int, list[Column]] = defaultdict(list)
+    for i, (name, position) in enumerate(fuzzy_choices(taxonomy).items()):
+        entry = F.struct(F.lit(i).alias("rank"), F.lit(name).alias("name"), F.lit(position).alias("position"))
+        for size in range(1, len(name) + _max_edits(len(name), threshold) + 1):
+            if 100 * abs(size - len(name)) <= slack * (size + len(name)):
+                reach[size].append(entry)
+    by_length = F.create_map(*[c for size, entries in reach.items() for c in (F.lit(size), F.array(*entries))])
 
     def total(n: Column) -> Column:
         return F.length(word) + F.length(n["name"])
 
-    # Substitutions make the edit distance a lower bound of insertions plus deletions.
-    near = F.filter(
-        names,
-        lambda n: (100 * F.abs(F.length(word) - F.length(n["name"])) <= slack * total(n))
-        & (100 * F.levenshtein(word, n["name"]) <= slack * total(n)),
+    measured = F.transform(
+        F.element_at(by_length, F.length(word)),
+        lambda n: F.struct(
+            n["rank"].alias("rank"), n["name"].alias("name"), n["position"].alias("position"),
+            F.levenshtein(word, n["name"]).alias("edits"),
+        ),
     )
+    # Substitutions make the edit distance a lower bound of insertions plus deletions.
+    near = F.filter(measured, lambda n: 100 * n["edits"] <= slack * total(n))
     scored = F.transform(
         near,
         lambda n: F.struct(
-            (
-                100.0
-                * (total(n) - _inserts_and_deletes(word, n["name"], F.levenshtein(word, n["name"])))
-                / total(n)
-            ).alias("ratio"),
+            (100.0 * (total(n) - _inserts_and_deletes(word, n["name"], n["edits"])) / total(n)).alias("ratio"),
             (-n["rank"]).alias("rank"),
             n["name"].alias("name"),
             n["position"].alias("position"),
         ),
     )
     best = F.array_max(F.filter(scored, lambda s: s["ratio"] >= threshold))
-    return F.when(best.isNotNull(), F.struct(best["ratio"], best["name"], best["position"]))
+    return bind(best, lambda b: F.when(b.isNotNull(), F.struct(b["ratio"], b["name"], b["position"])))
 
 
 def fuzzy_skill_positions(text: Column, taxonomy: Taxonomy, threshold: int = V.FUZZY_THRESHOLD) -> Column:

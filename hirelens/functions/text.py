@@ -14,17 +14,29 @@ from pyspark.sql.types import StringType
 from hirelens import fixed_values as V
 
 # Text made only of these characters is already in NFKC form, so it never leaves the JVM.
-NFKC_STABLE = r"^[\x00-\x7FÀ-ÖØ-öø-ÿ£©®°·–—‘’“”•€]*$"
+NFKC_STABLE = r"^[\x00-\x7FÀ-ÖØ-öø-ÿ£©®°·–—‘’“”•€]*+\z"
+_PRINTABLE = r"^[\x20-\x7E]*+\z"
+_ASCII = r"^[\x00-\x7F]*+\z"
+# Everything Python's str.strip() removes.
+_EDGE_CHARS = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def arrow_text_function(convert: Callable[[str], str]):
     """Arrow function text -> text. ``convert`` must be a library function or a local one, so
-    that executors need no copy of this package."""
+    that executors need no copy of this package.
+
+    It is declared non-deterministic to keep Spark from evaluating it again in every filter
+    it would otherwise push below the projection.
+    """
 
     def batch(values: pa.Array) -> pa.Array:
         return pa.array([None if v is None else convert(v) for v in values.to_pylist()], pa.string())
 
-    return F.arrow_udf(batch, StringType())
+    return F.arrow_udf(batch, StringType()).asNondeterministic()
 
 
 def nfkc(c: Column) -> Column:
@@ -35,7 +47,12 @@ def nfkc(c: Column) -> Column:
 
 def strip_ws(c: Column) -> Column:
     """Remove Unicode whitespace from both ends."""
-    return F.regexp_replace(c, rf"^{V.WHITESPACE}+|{V.WHITESPACE}+$", "")
+    return F.btrim(c, F.lit(_EDGE_CHARS))
+
+
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once for all its uses in ``use``."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def blank_to_null(c: Column) -> Column:
@@ -44,8 +61,14 @@ def blank_to_null(c: Column) -> Column:
 
 def normalize_text(c: Column) -> Column:
     """NFKC, no zero-width characters, one space between words, blank -> null."""
-    visible = F.regexp_replace(nfkc(c), V.ZERO_WIDTH, "")
-    return blank_to_null(F.trim(F.regexp_replace(visible, V.WHITESPACE + "+", " ")))
+
+    def collapse(text: Column) -> Column:
+        return F.trim(F.regexp_replace(text, V.WHITESPACE + "+", " "))
+
+    # Most values are plain words with single spaces and pass untouched.
+    tidy = ~c.contains("  ") & ~c.startswith(" ") & ~c.endswith(" ") & c.rlike(_PRINTABLE)
+    wide = collapse(F.regexp_replace(nfkc(c), V.ZERO_WIDTH, ""))
+    return blank_to_null(F.when(tidy, c).when(c.rlike(_ASCII), collapse(c)).otherwise(wide))
 
 
 def truncate(c: Column, max_chars: int) -> Column:
@@ -81,7 +104,7 @@ def web_url_only(text: Column) -> Column:
 
 
 def normalize_url(c: Column) -> Column:
-    return web_url_only(normalize_text(c))
+    return bind(normalize_text(c), web_url_only)
 
 
 def stable_hash(*parts: Column, length: int = V.JOB_ID_CHARS, stripped: bool = False) -> Column:

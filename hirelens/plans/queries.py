@@ -13,7 +13,7 @@ from hirelens.operators import alerts, analytics, clean, enrich, filters, histor
 from hirelens.plans import batch
 from hirelens.plans.store import JobStore, append_csv
 from hirelens.session import shared_dir
-from hirelens.sources import bridge, comments, listing
+from hirelens.sources import bridge, comments, listing, tables
 from hirelens.streaming import flows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def _raw(spark: SparkSession, sf: str) -> DataFrame:
     return bridge.view(spark, sf, "raw_postings")
 
 
+def _pages(spark: SparkSession, sf: str) -> DataFrame:
+    return tables.spread_scan(bridge.table(spark, sf, "pages"))
+
+
 def _scraped() -> Column:
     return F.lit(AS_OF).cast("timestamp")
 
@@ -360,7 +364,7 @@ def normalize_text(spark, sf):
 
 @query
 def normalize_documents(spark, sf):
-    docs = bridge.table(spark, sf, "documents").select("doc_id", text.normalize_text(F.col("text")).alias("t"))
+    docs = tables.spread_scan(bridge.table(spark, sf, "documents")).select("doc_id", text.normalize_text(F.col("text")).alias("t"))
     return docs.select("doc_id", F.length("t").cast("long").alias("n"), F.md5("t").alias("digest"))
 
 
@@ -382,8 +386,9 @@ def parse_dates(spark, sf):
 
 @query
 def truncate_titles(spark, sf):
-    docs = bridge.table(spark, sf, "documents")
-    return docs.select("doc_id", text.truncate(text.normalize_text(F.col("text")), 60).alias("title"))
+    docs = tables.spread_scan(bridge.table(spark, sf, "documents"))
+    plain = docs.select("doc_id", text.normalize_text(F.col("text")).alias("t"))
+    return plain.select("doc_id", text.truncate(F.col("t"), 60).alias("title"))
 
 
 @query
@@ -431,7 +436,7 @@ def dq_counts(spark, sf):
 @query
 def source_union(spark, sf):
     """All sources as one input, in source order."""
-    listed = listing.parse_listing(bridge.table(spark, sf, "pages"), PAGE_SELECTORS)
+    listed = listing.parse_listing(_pages(spark, sf), PAGE_SELECTORS)
     feed = comments.parse_comments(_feed(spark, sf))
     other = _raw(spark, sf)
     union = listed.unionByName(feed, allowMissingColumns=True).unionByName(other, allowMissingColumns=True)
@@ -468,7 +473,7 @@ def skill_tags(spark, sf):
 def fuzzy_vocab(spark, sf):
     texts = _raw(spark, sf).select(F.col("description").alias("t"))
     for name in ("documents", "conversations", "benchmark"):
-        texts = texts.unionByName(bridge.table(spark, sf, name).select(F.col("text").alias("t")))
+        texts = texts.unionByName(tables.spread_scan(bridge.table(spark, sf, name)).select(F.col("text").alias("t")))
     return enrich.fuzzy_vocabulary(texts, F.col("t")).withColumn("ratio", F.round("ratio", 4))
 
 
@@ -522,14 +527,14 @@ def html_text(spark, sf):
 
 @query
 def page_headings(spark, sf):
-    heads = listing.page_elements(bridge.table(spark, sf, "pages"), ["h1"])
+    heads = listing.page_elements(_pages(spark, sf), ["h1"])
     return heads.select("page_id", F.col("seq").cast("long").alias("seq"), "tag", "text")
 
 
 @query
 def page_elements(spark, sf):
     """Element rows of every page, counted by kind."""
-    rows = listing.page_elements(bridge.table(spark, sf, "pages"))
+    rows = listing.page_elements(_pages(spark, sf))
     return rows.groupBy("tag").agg(
         F.count(F.lit(1)).alias("elements"),
         F.count_if(F.size("classes") > 0).alias("with_class"),
@@ -539,12 +544,12 @@ def page_elements(spark, sf):
 
 @query
 def page_cards(spark, sf):
-    return listing.parse_listing(bridge.table(spark, sf, "pages"), PAGE_SELECTORS).drop("description", "posted")
+    return listing.parse_listing(_pages(spark, sf), PAGE_SELECTORS).drop("description", "posted")
 
 
 @query
 def page_links(spark, sf):
-    pages = bridge.table(spark, sf, "pages")
+    pages = _pages(spark, sf)
     links = listing.page_elements(pages, ["a"]).select(
         "page_id", F.col("seq").cast("long").alias("seq"), F.col("attrs")["href"].alias("href")
     )
@@ -555,7 +560,7 @@ def page_links(spark, sf):
 
 @query
 def url_allowed(spark, sf):
-    pages = bridge.table(spark, sf, "pages").select("page_id", "url")
+    pages = _pages(spark, sf).select("page_id", "url")
     hosts = pages.select(F.regexp_extract("url", "://([^/]*)", 1).alias("host")).distinct()
     rules = hosts.filter(~F.col("host").startswith("m.")).select(
         "host",

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from hirelens.sources.tables import read_parquet, spread_scan
+
 JOBS = """
 SELECT CAST(o_orderkey AS STRING) AS job_id, o_orderkey AS ordinal,
   c_mktsegment AS source,
@@ -93,13 +95,15 @@ _INPUTS = {
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str, **given: DataFrame) -> DataFrame:
     """A bridge view over the tables of a folder; ``given`` replaces tables (e.g. by streams)."""
     sql = VIEWS[name].replace("{copies}", _SPARK_COPIES)
     inputs = {t: given.get(t, table(spark, sf_dir, t)) for t in _INPUTS[name]}
+    if name == "raw_postings":
+        inputs["orders"] = spread_scan(inputs["orders"])
     for t, df in inputs.items():
         df.createOrReplaceTempView(f"_bridge_{t}")
     ctes = ", ".join(f"{t} AS (SELECT * FROM _bridge_{t})" for t in inputs)

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
-from hirelens.functions.html import html_to_text
-from hirelens.functions.text import strip_ws, truncate
+from hirelens.functions.html import strip_tags, unescape
+from hirelens.functions.text import bind, strip_ws, truncate
 from hirelens.schemas import COMMENT, THREAD, envelope
 
 
@@ -45,44 +45,44 @@ def split_header(header: Column) -> Column:
     parts = F.filter(F.transform(F.split(header, r"\|"), strip_ws), lambda p: p != "")
 
     def fields(p: Column) -> Column:
-        rest = F.slice(p, 2, F.size(p))
-        spots = F.sequence(F.lit(0), F.size(p) - 2)
-        title_at = F.coalesce(
-            F.get(F.filter(spots, lambda i: F.get(rest, i).rlike(V.ROLE_WORDS)), F.lit(0)), F.lit(0)
-        )
-        # Positions are compared, not texts: a second part equal to the title may be the place.
-        place = F.filter(
-            rest,
-            lambda part, i: (i != title_at) & ~part.rlike(V.SALARY_HINT) & ~part.rlike(V.NON_LOCATION),
-        )
-        return F.when(
-            F.length(F.get(p, F.lit(0))) <= V.MAX_COMPANY_CHARS,
-            F.struct(
-                F.get(p, F.lit(0)).alias("company"),
-                F.get(rest, title_at).alias("title"),
-                F.get(place, F.lit(0)).alias("location"),
-            ),
-        )
-
-    usable = F.filter(
-        F.array(parts), lambda p: (F.size(p) >= 2) & (F.length(header) <= V.MAX_HEADER_CHARS)
-    )
-    return F.get(F.transform(usable, fields), F.lit(0))
+        first = F.get(p, F.lit(0))
+        roles = F.filter(F.slice(p, 2, F.size(p)), lambda part: part.rlike(V.ROLE_WORDS))
+        # Position in ``p`` of the first role, else of the part after the company.
+        title_at = F.when(
+            F.size(roles) > 0, F.array_position(F.slice(p, 2, F.size(p)), F.get(roles, F.lit(0))).cast("int")
+        ).otherwise(F.lit(1))
+
+        def with_place(at: Column) -> Column:
+            # Positions are compared, not texts: a second part equal to the title may be the place.
+            place = F.filter(
+                p,
+                lambda part, i: (i > 0) & (i != at) & ~part.rlike(V.SALARY_HINT) & ~part.rlike(V.NON_LOCATION),
+            )
+            return F.struct(
+                first.alias("company"), F.get(p, at).alias("title"), F.get(place, F.lit(0)).alias("location")
+            )
+
+        usable = (F.size(p) >= 2) & (F.length(first) <= V.MAX_COMPANY_CHARS)
+        return F.when(usable, bind(title_at, with_place))
 
+    return F.when(F.length(header) <= V.MAX_HEADER_CHARS, bind(parts, fields))
 
-def comment_lines(comment_text: Column) -> Column:
-    """Non-blank, trimmed text lines of a comment."""
-    return F.filter(F.transform(F.split(html_to_text(comment_text), "\n"), strip_ws), lambda x: x != "")
+
+def text_lines(text: Column) -> Column:
+    """Non-blank, trimmed lines."""
+    return F.filter(F.transform(F.split(text, "\n"), strip_ws), lambda x: x != "")
 
 
 def parse_comments(comments: DataFrame, max_chars: int = V.MAX_DESCRIPTION_CHARS,
                    source: str = V.COMMENT_SOURCE) -> DataFrame:
     """One raw posting per comment whose first line is a job header; others give no row."""
     kept = [c for c in ("ordinal",) if c in comments.columns]
-    lines = comments.select(
-        *kept, "objectID", "created_at", comment_lines(F.col("comment_text")).alias("lines")
-    )
-    headed = lines.withColumn("header", split_header(F.get("lines", F.lit(0)))).filter("header is not null")
+    bare = comments.select(*kept, "objectID", "created_at", strip_tags(F.col("comment_text")).alias("bare"))
+    texts = bare.select(*kept, "objectID", "created_at", unescape(F.col("bare")).alias("text"))
+    lines = texts.select(*kept, "objectID", "created_at", text_lines(F.col("text")).alias("lines"))
+    # Unrolling the header, instead of filtering on it, computes it once.
+    header = split_header(F.get("lines", F.lit(0)))
+    headed = lines.select("*", F.explode(F.array_compact(F.array(header))).alias("header"))
     return headed.select(
         *kept,
         F.lit(source).alias("source"),
