@@ -90,7 +90,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float],
         high = F.element_at("_at", F.ceil(at).cast("long"))
         return low + (high - low) * (at - F.floor(at))
 
-    return grouped.select(*keys, "n", F.array(*[quantile(p) for p in probs]).alias("q"))
+    return grouped.filter("n is not null").select(*keys, "n", F.array(*[quantile(p) for p in probs]).alias("q"))
 
 
 def _match(counted: DataFrame, cuts: DataFrame, keys: list[str]) -> DataFrame:

@@ -14,13 +14,19 @@ Selectors = Mapping[str, Sequence[str]]
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed pages: a Parquet table (page_id, url, html), or one HTML file per page."""
+    """Landed pages: a Parquet table (page_id, url, html), or one HTML file per page.
+
+    A file is numbered by the last number in its name, which keeps page order; files without
+    one get a number from a hash of their path.
+    """
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path)
     files = spark.read.text(path, wholetext=True)
+    path = F.col("_metadata.file_path")
+    number = F.regexp_extract(path, r"(\d{1,9})[^/\d]*$", 1).try_cast("long")
     return files.select(
-        F.xxhash64(F.col("_metadata.file_path")).alias("page_id"),
-        F.col("_metadata.file_path").alias("url"),
+        F.coalesce(number, F.pmod(F.xxhash64(path), F.lit(10**9))).alias("page_id"),
+        path.alias("url"),
         F.col("value").alias("html"),
     )
 
@@ -64,7 +70,7 @@ def parse_listing(pages: DataFrame, selectors: Selectors = V.SELECTORS, base_url
     """One raw posting per titled card. The first card selector with a match serves the page.
 
     A page stays one row until its cards are found, so nothing is shuffled. ``ordinal``
-    follows page, then position; pages must have fewer than a million cards each.
+    follows page, then position: page numbers stay below 10**10, cards of a page below 10**6.
     """
     base = F.col("url") if base_url is None else base_url
     tags = selector_tags([s for chain in selectors.values() for s in chain])
