@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hirelens import fixed_values as V
 from hirelens.functions.formats import format_money, format_update, salary_text
 from hirelens.operators.quantiles import exact_quantiles
+from hirelens.operators.salting import join_per_key, salt
 
 
 def explode_skills(jobs: DataFrame, *columns: str) -> DataFrame:
@@ -125,9 +126,9 @@ def salary_box(paid: DataFrame, group: str = "seniority") -> DataFrame:
     )
     fence = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("salary_mid").between(F.col("q1") - fence, F.col("q3") + fence)
-    counted = paid.groupBy(group, "salary_mid").agg(F.count(F.lit(1)).alias("n"))
+    counted = paid.groupBy(group, "salary_mid", salt("salary_mid").alias("_salt")).agg(F.count(F.lit(1)).alias("n"))
     return (
-        counted.join(quartiles, group)
+        join_per_key(counted, quartiles, [group])
         .groupBy(group, "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, F.col("salary_mid"))).alias("low_whisker"),

@@ -68,16 +68,30 @@ def filter_domains(jobs: DataFrame, job_skills: DataFrame | None = None) -> Data
         jobs.select(F.explode("skills").alias("option")) if job_skills is None
         else job_skills.select(F.col("skill").alias("option"))
     )
-    dates = jobs.agg(F.min("posted_date").alias("low"), F.max("posted_date").alias("high"))
-    domains = [
-        ("source", jobs.select(F.col("source").alias("option")).distinct()),
-        ("seniority", jobs.select(F.col("seniority").alias("option")).distinct()),
-        ("skill", skills.distinct()),
-        ("posted_from", dates.select(F.col("low").cast("string").alias("option"))),
-        ("posted_to", dates.select(F.col("high").cast("string").alias("option"))),
-    ]
-    rows = [df.select(F.lit(name).alias("domain"), "option") for name, df in domains]
-    return reduce(DataFrame.unionByName, rows).filter("option is not null").orderBy("domain", "option")
+    # One pass over the jobs; equal options merge map-side.
+    fields = jobs.select(
+        F.inline(
+            F.array(*[
+                F.struct(F.lit(name).alias("domain"), F.col(column).cast("string").alias("option"))
+                for name, column in (("source", "source"), ("seniority", "seniority"), ("posted", "posted_date"))
+            ])
+        )
+    )
+    options = fields.unionByName(skills.select(F.lit("skill").alias("domain"), "option")).filter(
+        "option is not null"
+    ).distinct()
+    # ISO dates sort as text; of the dates only the first and the last remain.
+    edges = F.when(
+        F.col("domain") == "posted",
+        F.array(
+            F.struct(F.lit("posted_from").alias("domain"), F.min("option").alias("option")),
+            F.struct(F.lit("posted_to").alias("domain"), F.max("option").alias("option")),
+        ),
+    )
+    key = F.when(F.col("domain") != "posted", F.col("option"))
+    grouped = options.groupBy("domain", key.alias("key")).agg(edges.alias("edges"))
+    rows = F.coalesce("edges", F.array(F.struct("domain", F.col("key").alias("option"))))
+    return grouped.select(F.inline(rows)).orderBy("domain", "option")
 
 
 def currency_slice(jobs: DataFrame, currency: str | Column) -> DataFrame:
