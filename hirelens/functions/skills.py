@@ -65,7 +65,9 @@ def _search_pattern(names: list[str]) -> str:
             words = r"\s+".join(r"\Q" + w + r"\E" for w in [head[1:], *tail])
             by_start[start].append(words if exact else f"(?i:{words})")
     branches = [f"{start}(?:{'|'.join(rest)})" for start, rest in by_start.items()]
-    return rf"(?U){V.NAME_START}(?=({'|'.join(branches)}){V.NAME_END})"
+    # A look at the next character rules most positions out before the look behind.
+    initials = re.escape("".join(sorted({c for name in names for c in (name[0].lower(), name[0].upper())})))
+    return rf"(?U)(?=[{initials}]){V.NAME_START}(?=({'|'.join(branches)}){V.NAME_END})"
 
 
 def exact_skill_positions(text: Column, taxonomy: Taxonomy) -> Column:

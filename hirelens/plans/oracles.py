@@ -701,7 +701,7 @@ def oracles() -> dict[str, str]:
     out["csv_append"] = _with(
         "raw_postings",
         """SELECT job_id, source, title, nullif(array_to_string(skills, '; '), '') AS skills,
-           CAST(posted_date AS VARCHAR) AS posted_date, '2026-01-01T00:00:00Z' AS scraped_at FROM tagged""",
+           CAST(posted_date AS VARCHAR) AS posted_date, CASE WHEN remote THEN 'True' ELSE 'False' END AS remote, '2026-01-01T00:00:00+00:00' AS scraped_at FROM rich""",
         **plain,
     )
     run_of = "CASE WHEN source = 'src1' THEN 1 ELSE 2 END"

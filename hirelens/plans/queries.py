@@ -680,7 +680,7 @@ def csv_append(spark, sf):
     append_csv(records.filter("source = 'src0'"), path)
     append_csv(records.filter("source <> 'src0'"), path)
     back = spark.read.option("header", True).option("escape", '"').csv(path)
-    return back.select("job_id", "source", "title", "skills", "posted_date", "scraped_at")
+    return back.select("job_id", "source", "title", "remote", "skills", "posted_date", "scraped_at")
 
 
 def _two_runs(spark, sf) -> JobStore:

@@ -38,11 +38,16 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
 
 
 def csv_rows(records: DataFrame) -> DataFrame:
-    """The fixed CSV columns as text: skills joined by "; ", ISO dates and times."""
+    """The fixed CSV columns as text: skills joined by "; ", True/False, ISO dates and UTC times."""
+    utc = F.to_utc_timestamp("scraped_at", F.current_timezone())
+    fraction = F.when(F.date_format(utc, "SSSSSS") != "000000", F.date_format(utc, ".SSSSSS"))
     texts = {
+        "remote": F.initcap(F.col("remote").cast("string")),
         "skills": F.array_join("skills", "; "),
         "posted_date": F.date_format("posted_date", "yyyy-MM-dd"),
-        "scraped_at": F.date_format("scraped_at", "yyyy-MM-dd'T'HH:mm:ssXXX"),
+        "scraped_at": F.concat(
+            F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss"), F.coalesce(fraction, F.lit("")), F.lit("+00:00")
+        ),
     }
     return records.select(*[texts.get(c, F.col(c)).alias(c) for c in V.CSV_COLUMNS])
 

@@ -66,7 +66,7 @@ def test_csv(spark, tmp_path):
     rows = {r.job_id: r for r in spark.read.option("header", True).option("escape", '"').csv(path).collect()}
     assert list(rows["a"].asDict()) == V.CSV_COLUMNS
     assert rows["a"].skills == "Python; SQL" and rows["a"].title == 'say "hi", you'
-    assert rows["a"].scraped_at == "2026-01-01T00:00:00Z" and rows["b"].salary_min is None and rows["b"].skills is None
+    assert rows["a"].scraped_at == "2026-01-01T00:00:00+00:00" and rows["a"].remote == "True" and rows["b"].salary_min is None and rows["b"].skills is None
 
 
 def test_upsert_step(spark):
