@@ -101,8 +101,10 @@ def entity_mentions(records: DataFrame, gazetteer: DataFrame, max_words: int = 3
 def fill_entities(records: DataFrame, gazetteer: DataFrame, max_words: int = 3) -> DataFrame:
     """Fill a missing company or location from the first entity in the text; job_id stays."""
     gaps = records.filter(F.col("company").isNull() | F.col("location").isNull())
-    found = entity_mentions(gaps, gazetteer, max_words)
-    joined = records.join(found, "job_id", "left")
+    found = entity_mentions(gaps, gazetteer, max_words).withColumnRenamed("job_id", "_id")
+    # Null-safe, so that no null filter is pushed into one side only: both sides then read the
+    # same shuffle of the records instead of computing it twice.
+    joined = records.join(found, F.col("job_id").eqNullSafe(F.col("_id")), "left")
     return joined.withColumns(
         {"company": F.coalesce("company", "_org"), "location": F.coalesce("location", "_gpe")}
     ).select(*records.columns)

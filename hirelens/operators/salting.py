@@ -16,8 +16,9 @@ def salt(*columns: str | Column, salts: int = SALTS) -> Column:
     return F.pmod(F.hash(*columns), F.lit(salts))
 
 
-def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], salts: int = SALTS) -> DataFrame:
-    """Inner join of ``rows``, which has a ``_salt``, with one row per key; null keys match.
+def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner",
+                 salts: int = SALTS) -> DataFrame:
+    """Join ``rows``, which has a ``_salt``, with one row per key; null keys match.
 
     The rows of a hot key meet copies of its row in ``salts`` partitions. No broadcast is
     asked for, Spark decides by size.
@@ -27,4 +28,4 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], salts
         F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_r__salt"),
     )
     on = [F.col("_salt") == F.col("_r__salt"), *[F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]]
-    return rows.join(renamed, reduce(and_, on)).drop("_r__salt", *[f"_r_{k}" for k in keys])
+    return rows.join(renamed, reduce(and_, on), how).drop("_r__salt", *[f"_r_{k}" for k in keys])

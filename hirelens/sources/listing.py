@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
 from hirelens.functions.html import element_matches, resolve_url, selector_tags, shred
+from hirelens.operators.salting import join_per_key, salt
 
 Selectors = Mapping[str, Sequence[str]]
 
@@ -120,7 +121,7 @@ def url_allowed(pages: DataFrame, rules: DataFrame, respect: bool = True) -> Dat
     """Add ``allowed``: the first rule of the host whose prefix starts the path decides.
 
     ``rules`` is (host, ord, prefix, allow). A host's rules become one small array, so every
-    page joins at most one row; a host with very many pages is split by the skew join.
+    page joins at most one row; the pages of a very large host are spread by a salt.
     """
     if not respect:
         return pages.withColumn("allowed", F.lit(True))
@@ -137,6 +138,7 @@ def url_allowed(pages: DataFrame, rules: DataFrame, respect: bool = True) -> Dat
     decided = F.get(
         F.filter("_rules", lambda r: (r["prefix"] != "") & F.startswith(F.col("_path"), r["prefix"])), F.lit(0)
     )
-    return keyed.join(per_host, "host", "left").select(
+    salted = keyed.withColumn("_salt", salt("url"))
+    return join_per_key(salted, per_host, ["host"], "left").select(
         *pages.columns, F.coalesce(decided["allow"], F.lit(True)).alias("allowed")
     )
