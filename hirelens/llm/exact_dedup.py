@@ -18,7 +18,12 @@ from hirelens.llm.common import stored
 from hirelens.session import shared_dir
 from hirelens.sources.tables import read_parquet
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Many small states: no disk space reserved ahead for each of them.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 # The characters that normalisation deletes.
 WHITE = " \t\n\x0b\f\r"
 
@@ -72,9 +77,9 @@ def run_stream(spark: SparkSession, folder: str, schema, checkpoint: str, out: s
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    name = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(name)
-    spark.conf.set(name, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE_SETTINGS}
+    for name, value in STATE_SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         query = (
             fold_state(reader.parquet(folder)).writeStream.outputMode("update")
@@ -83,7 +88,8 @@ def run_stream(spark: SparkSession, folder: str, schema, checkpoint: str, out: s
             .start())
         query.awaitTermination()
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def newest_states(spark: SparkSession, out: str) -> DataFrame:
@@ -130,9 +136,9 @@ def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
 
 def _hits_that_differ(docs, states, text_col, digest, locator) -> DataFrame:
     """Digests under which some text differs from the text at the state's locator: full bytes, hits only."""
-    shared = states.where(F.col("seen") > 1)
+    shared = states.where(F.col("seen") > 1).select("digest", "best")
     texts = _texts(docs, text_col, digest, locator)
-    hits = texts.join(shared, "digest")
+    hits = stored(texts.join(shared, "digest"), "dedup-hits")
     first = hits.where(F.col("place") == F.col("best.place")).select("digest", F.col("content").alias("first"))
     others = hits.where(F.col("place") != F.col("best.place")).select("digest", "content")
     return others.join(first, "digest").where(F.col("content") != F.col("first")).select("digest").distinct()
