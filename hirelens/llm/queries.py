@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from hirelens.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
+from hirelens.llm.token_counts import token_counts
+from hirelens.llm.url_rules import url_rules
+from hirelens.llm.warc import warc
 
 QUERIES = {
+    "op3_token_counts": token_counts,
+    "op4_warc": warc,
     "op5_exact_dedup": exact_dedup,
+    "op6_url_rules": url_rules,
 }
 
 ORACLES = {
