@@ -141,7 +141,9 @@ def _hits_that_differ(docs, states, text_col, digest, locator) -> DataFrame:
     hits = stored(texts.join(shared, "digest"), "dedup-hits")
     first = hits.where(F.col("place") == F.col("best.place")).select("digest", F.col("content").alias("first"))
     others = hits.where(F.col("place") != F.col("best.place")).select("digest", "content")
-    return others.join(first, "digest").where(F.col("content") != F.col("first")).select("digest").distinct()
+    # Written before the distinct: so the join alone may split a digest with many rows.
+    return stored(others.join(first, "digest").where(F.col("content") != F.col("first")).select("digest"),
+                  "dedup-unequal").distinct()
 
 
 def _texts(docs, text_col, digest, locator) -> DataFrame:
