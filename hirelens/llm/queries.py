@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from hirelens.llm.decontaminate import decontamination
 from hirelens.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
 from hirelens.llm.token_counts import token_counts
+from hirelens.llm.toxicity import toxicity
 from hirelens.llm.url_rules import url_rules
 from hirelens.llm.warc import warc
 
@@ -12,6 +14,8 @@ QUERIES = {
     "op4_warc": warc,
     "op5_exact_dedup": exact_dedup,
     "op6_url_rules": url_rules,
+    "op7_toxicity": toxicity,
+    "op8_decontamination": decontamination,
 }
 
 ORACLES = {
