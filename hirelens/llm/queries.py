@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from hirelens.llm.decontaminate import decontamination
 from hirelens.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
+from hirelens.llm.language_id import language_id
 from hirelens.llm.token_counts import token_counts
 from hirelens.llm.toxicity import toxicity
 from hirelens.llm.url_rules import url_rules
 from hirelens.llm.warc import warc
 
 QUERIES = {
+    "op1_language_id": language_id,
     "op3_token_counts": token_counts,
     "op4_warc": warc,
     "op5_exact_dedup": exact_dedup,
