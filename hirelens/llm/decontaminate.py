@@ -123,16 +123,17 @@ def candidates(index: Index, letters: np.ndarray, offsets: np.ndarray) -> tuple[
     # Diagonals are counted from the text's own start, shifted so that none is negative.
     diagonal = place - offsets[rows] - offset + index.letters.shape[1]
     stride = index.budgets[probe] + 1
-    band = diagonal // stride
-    band, rows, probe = np.r_[band, band - 1], np.r_[rows, rows], np.r_[probe, probe]
-    order = np.lexsort((band, probe, rows))
-    band, rows, probe = band[order], rows[order], probe[order]
-    new = np.r_[True, (band[1:] != band[:-1]) | (probe[1:] != probe[:-1]) | (rows[1:] != rows[:-1])]
-    starts = np.flatnonzero(new)
-    enough = np.diff(np.r_[starts, len(band)]) >= index.needed[probe[starts]]
-    chosen = starts[enough]
-    first = band[chosen] * (index.budgets[probe[chosen]] + 1) - index.letters.shape[1]
-    return rows[chosen], probe[chosen], first
+    band = diagonal // stride + 1
+    key = ((rows * len(index.sizes) + probe) << 32) + band
+    key, needed = np.r_[key, key - 1], np.r_[index.needed[probe], index.needed[probe]]
+    # Counting in hashed bins first spares the sort of nearly all hits: a bin counts at least as many as its bands.
+    bins = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)).astype(np.int32)
+    key = key[np.bincount(bins, minlength=1 << FILTER_BITS)[bins] >= needed]
+    key, counts = np.unique(key, return_counts=True)
+    row, probe = np.divmod(key >> 32, len(index.sizes))
+    enough = counts >= index.needed[probe]
+    row, probe, band = row[enough], probe[enough], (key & 0xFFFFFFFF)[enough] - 1
+    return row, probe, band * (index.budgets[probe] + 1) - index.letters.shape[1]
 
 
 def align(index: Index, letters: np.ndarray, offsets: np.ndarray, rows: np.ndarray, probe: np.ndarray,
