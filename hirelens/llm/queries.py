@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from hirelens.llm.bpe import bpe
 from hirelens.llm.decontaminate import decontamination
 from hirelens.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
 from hirelens.llm.language_id import language_id
@@ -12,6 +13,7 @@ from hirelens.llm.warc import warc
 
 QUERIES = {
     "op1_language_id": language_id,
+    "op2_bpe": bpe,
     "op3_token_counts": token_counts,
     "op4_warc": warc,
     "op5_exact_dedup": exact_dedup,
