@@ -5,6 +5,7 @@ from __future__ import annotations
 from hirelens.llm.bpe import bpe
 from hirelens.llm.decontaminate import decontamination
 from hirelens.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
+from hirelens.llm.jaccard_join import jaccard_join
 from hirelens.llm.language_id import language_id
 from hirelens.llm.token_counts import token_counts
 from hirelens.llm.toxicity import toxicity
@@ -20,6 +21,7 @@ QUERIES = {
     "op6_url_rules": url_rules,
     "op7_toxicity": toxicity,
     "op8_decontamination": decontamination,
+    "op10_jaccard_join": jaccard_join,
 }
 
 ORACLES = {
