@@ -229,6 +229,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return full.unionByName(empty)
 
 
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of each component, the one with the smallest identifier, with all its columns.
+
+    Rows without words or identifier all stay. Of rows that repeat an identifier one stays.
+    """
+    found = stored(jaccard_components(docs, id_col, text_col).where(F.col("doc_id").isNotNull()), "join-result")
+    leaving = found.where((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select(
+        F.col("doc_id").alias(id_col)).distinct()
+    staying = docs.join(leaving, id_col, "left_anti")
+    again = stored(found.groupBy(F.col("doc_id").alias(id_col)).agg(
+        F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("most")).where("rows > 1 AND most > 0").select(id_col),
+        "join-repeated")
+    if again.isEmpty():
+        return staying
+    row = F.struct(*docs.columns)
+    one = staying.join(again, id_col, "left_semi").groupBy(id_col).agg(F.max(row).alias("__row")).select("__row.*")
+    return staying.join(again, id_col, "left_anti").unionByName(one.select(*docs.columns))
+
+
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's set size and component under links of at least 0.9."""
     return jaccard_components(read_parquet(spark, f"{sf_dir}/documents.parquet"))

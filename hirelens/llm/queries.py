@@ -7,6 +7,7 @@ from hirelens.llm.decontaminate import decontamination
 from hirelens.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
 from hirelens.llm.jaccard_join import jaccard_join
 from hirelens.llm.language_id import language_id
+from hirelens.llm.substring_dedup import substring_dedup
 from hirelens.llm.token_counts import token_counts
 from hirelens.llm.toxicity import toxicity
 from hirelens.llm.url_rules import url_rules
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_url_rules": url_rules,
     "op7_toxicity": toxicity,
     "op8_decontamination": decontamination,
+    "op9_substring_dedup": substring_dedup,
     "op10_jaccard_join": jaccard_join,
 }
 
