@@ -107,31 +107,18 @@ def merged_id(ranks: RankMap, shifts: Column, entries: Column):
 def merge_word(symbols: Column, look_up) -> Column:
     """Fold an array of byte symbols (longs) into the ids of its pieces.
 
-    The state is the symbols and, for each neighbouring pair, what it would merge into: the lowest
-    id is the lowest rank. A step replaces the leftmost lowest pair and looks up its two new
-    neighbours; once no pair merges, the remaining steps leave the state alone.
+    A step looks up what each symbol and its right neighbour merge into; the lowest id is the lowest
+    rank. It replaces the leftmost such pair; once no pair merges, the remaining steps change nothing.
     """
-    nothing = F.array().cast("array<bigint>")
-    pairs = F.zip_with(F.slice(symbols, 1, F.size(symbols) - 1), F.slice(symbols, 2, F.size(symbols)), look_up)
-
-    def step(state: Column, _: Column) -> Column:
-        ids, next_ids = state["ids"], state["pairs"]
-        low = F.array_min(next_ids)
-        return named_once(low, lambda low: F.when(low < NO_PAIR, named_once(
-            F.array_position(next_ids, low).cast("int"), lambda at: _merge(ids, next_ids, low, at, look_up))).otherwise(state))
-
-    start = F.struct(symbols.alias("ids"), F.when(F.size(symbols) > 1, pairs).otherwise(nothing).alias("pairs"))
-    return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(symbols), F.lit(2))), start, step, lambda s: s["ids"])
-
-
-def _merge(ids: Column, pairs: Column, low: Column, at: Column, look_up) -> Column:
-    one = lambda x: F.array(x)
-    count = F.size(ids)
-    nothing = F.array().cast("array<bigint>")
-    before = F.when(at > 1, F.concat(F.slice(pairs, 1, at - 2), one(look_up(F.get(ids, at - 2), low)))).otherwise(nothing)
-    after = F.when(at + 1 < count, F.concat(one(look_up(low, F.get(ids, at + 1))), F.slice(pairs, at + 2, count))).otherwise(nothing)
-    return F.struct(F.concat(F.slice(ids, 1, at - 1), one(low), F.slice(ids, at + 2, count)).alias("ids"),
-                    F.concat(before, after).alias("pairs"))
+    def step(ids: Column, _: Column) -> Column:
+        def replaced(pairs: Column) -> Column:
+            low = F.array_min(pairs)
+            return F.when(low < NO_PAIR, named_once(F.array_position(pairs, low).cast("int"), lambda at: F.concat(
+                F.slice(ids, 1, at - 1), F.array(F.get(pairs, at - 1)), F.slice(ids, at + 2, F.size(ids))))).otherwise(ids)
+
+        return named_once(F.zip_with(ids, F.slice(ids, 2, F.size(ids)), look_up), replaced)
+
+    return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(symbols), F.lit(2))), symbols, step)
 
 
 def word_batches(docs: DataFrame, ranks: RankMap, pattern: str) -> DataFrame:
