@@ -218,8 +218,11 @@ def repeated_spans(window: int):
     """Of one shard: spans of words that earlier pieces, or earlier words of the same piece, hold."""
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("variant", "ascending"), ("start", "ascending")])
-        automaton, rows = Automaton(), []
+        automaton, rows, before = Automaton(), [], None
         for doc_id, variant, start, words in zip(*(table.column(c).to_pylist() for c in ("doc_id", "variant", "start", "words"))):
+            if (doc_id, variant, start) == before:
+                continue  # the same place of a repeated row
+            before = (doc_id, variant, start)
             begin = end = None
             for k, matched in enumerate(automaton.stream(words)):
                 if matched >= window:
