@@ -36,26 +36,26 @@ def _join_parts(*parts: Column) -> Column:
     return F.concat_ws(" · ", *[F.nullif(p, F.lit("")) for p in parts])
 
 
-def digest_rows(new_jobs: DataFrame, keywords: Sequence[str] = V.ALERT_KEYWORDS,
-                limit: int = V.DIGEST_ITEMS, min_new: int = V.MIN_NEW_RECORDS) -> DataFrame:
-    """The first ``limit`` matches of each alerting run, in input order.
+def stored_alerts(new_jobs: DataFrame, keywords: Sequence[str] = V.ALERT_KEYWORDS,
+                  min_new: int = V.MIN_NEW_RECORDS, enabled: bool = True) -> DataFrame:
+    """All matches of the runs that send an alert, with the run's counts. Counts come from the gate, not a window."""
+    return alert_matches(new_jobs, keywords).join(alert_gate(new_jobs, keywords, min_new, enabled), "run_id")
+
+
+def digest_of(matches: DataFrame, limit: int = V.DIGEST_ITEMS) -> DataFrame:
+    """The first ``limit`` alerts of each run, in input order, as digest lines.
 
     The rank limit is applied map-side as well, so a run with very many matches sends only
-    its first rows to the shuffle. Counts come from the gate, not from a window.
+    its first rows to the shuffle.
     """
     first = Window.partitionBy("run_id").orderBy("ordinal")
-    top = (
-        alert_matches(new_jobs, keywords)
-        .withColumn("position", F.row_number().over(first))
-        .filter(F.col("position") <= limit)
-    )
+    top = matches.withColumn("position", F.row_number().over(first)).filter(F.col("position") <= limit)
     remote = F.when(F.col("remote"), F.lit("Remote"))
     mail = _join_parts(F.col("company"), F.col("location"), remote, _salary())
     brief = _join_parts(
         F.col("company"), F.when(F.col("remote"), F.lit("Remote")).otherwise(F.col("location")), _salary()
     )
-    gate = alert_gate(new_jobs, keywords, min_new)
-    return top.join(gate, "run_id").select(
+    return top.select(
         "run_id",
         "position",
         "job_id",
@@ -70,6 +70,12 @@ def digest_rows(new_jobs: DataFrame, keywords: Sequence[str] = V.ALERT_KEYWORDS,
     )
 
 
+def digest_rows(new_jobs: DataFrame, keywords: Sequence[str] = V.ALERT_KEYWORDS, limit: int = V.DIGEST_ITEMS,
+                min_new: int = V.MIN_NEW_RECORDS, enabled: bool = True) -> DataFrame:
+    """The digest of each alerting run, from its new jobs."""
+    return digest_of(stored_alerts(new_jobs, keywords, min_new, enabled), limit)
+
+
 def alert_messages(new_jobs: DataFrame, keywords: Sequence[str] = V.ALERT_KEYWORDS,
                    limit: int = V.MESSAGE_ITEMS, max_chars: int = V.MESSAGE_CHARS) -> DataFrame:
     """(run_id, message): header line and the first matches of each alerting run as text."""

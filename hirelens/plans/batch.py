@@ -16,7 +16,7 @@ from hirelens.operators.clean import check, clean, keep_first, violations
 from hirelens.operators.enrich import enrich
 from hirelens.plans.store import JobStore, append_csv
 from hirelens.schemas import RAW_POSTING
-from hirelens.sources.comments import hiring_threads, parse_comments, read_hits, top_level_comments
+from hirelens.sources.comments import damaged_lines, hiring_threads, parse_comments, read_hits, top_level_comments
 from hirelens.sources.listing import parse_listing, read_pages
 
 Reader = Callable[[SparkSession, Mapping[str, str]], DataFrame]
@@ -29,7 +29,8 @@ def _listing_reader(spark: SparkSession, options: Mapping[str, str]) -> DataFram
 
 
 def _comment_reader(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    comments = read_hits(spark, options["comments"]).withColumn("ordinal", F.col("objectID").try_cast("long"))
+    """Comments newest first, as the feed gives them."""
+    comments = read_hits(spark, options["comments"]).withColumn("ordinal", -F.col("objectID").try_cast("long"))
     threads = read_hits(spark, options["threads"], "thread")
     newest = threads.withColumn("ordinal", -F.coalesce(F.col("objectID").try_cast("long"), F.lit(0)))
     chosen = hiring_threads(newest, int(options.get("limit", "1")))
@@ -39,7 +40,7 @@ def _comment_reader(spark: SparkSession, options: Mapping[str, str]) -> DataFram
 # Add a source by adding its reader.
 READERS: dict[str, Reader] = {V.LISTING_SOURCE: _listing_reader, V.COMMENT_SOURCE: _comment_reader}
 
-# Room for the ordinals of one source; sources keep their order in the combined input.
+# Room for the ordinals of one source, positive or negative; sources keep their order in the combined input.
 SOURCE_STRIDE = 10**16
 
 
@@ -72,7 +73,10 @@ def collect(spark: SparkSession, active: Sequence[str], options: Mapping[str, Ma
             continue
         try:
             rows = readers[name](spark, options.get(name, {}))
-            shifted = (F.coalesce("ordinal", F.lit(0)) + F.lit(place * SOURCE_STRIDE)).alias("ordinal")
+            damaged = sum(damaged_lines(spark, options[name][k]) for k in ("comments", "threads") if k in options.get(name, {}))
+            if damaged:
+                errors.append(f"{name}: {damaged} damaged lines")
+            shifted = (F.coalesce("ordinal", F.lit(0)) + F.lit((2 * place + 1) * SOURCE_STRIDE)).alias("ordinal")
             path = f"{landing}/{name}"
             rows.select(shifted, *names[1:]).write.mode("overwrite").parquet(path)
             frames.append(spark.read.schema(RAW_POSTING).parquet(path))
@@ -114,21 +118,21 @@ def process_raw(raw: DataFrame, scraped_at: Column | None = None, taxonomy: Taxo
     return Processed(checked.filter(~broken).drop("violations"), bad, [seen, kept, judged])
 
 
-def run_once(spark: SparkSession, root: str, active: Sequence[str], options: Mapping[str, Mapping[str, str]],
-             keywords: Sequence[str] = V.ALERT_KEYWORDS, started: datetime | None = None,
-             csv_path: str | None = None, readers: Mapping[str, Reader] = READERS,
-             taxonomy: Taxonomy = V.TAXONOMY) -> RunStats:
-    """Collect, process, store, snapshot, alert, and close the run in the log."""
-    store = JobStore(spark, root)
-    started = started or datetime.now(timezone.utc)
-    stats = RunStats(run_id=store.start_run(started))
+def store_run(store: JobStore, raw: DataFrame, stats: RunStats, started: datetime, scraped_at: Column,
+              keywords: Sequence[str] = V.ALERT_KEYWORDS, csv_path: str | None = None,
+              taxonomy: Taxonomy = V.TAXONOMY, origin: str | None = None) -> RunStats:
+    """Process, store, snapshot, alert, and close the started run in the log. Batch and stream share it."""
+    def close() -> None:
+        store.finish_run(stats.run_id, started, stats.status, stats.fetched, stats.new, stats.invalid, stats.errors, origin=origin)
+
     try:
-        raw, stats.errors = collect(spark, active, options, f"{root}/landing/run_id={stats.run_id}", readers)
-        done = process_raw(raw, F.lit(started).cast("timestamp"), taxonomy)
+        done = process_raw(raw, scraped_at, taxonomy)
         new = store.save_records(done.valid, stats.run_id)
         for name, value in done.counts().items():
             setattr(stats, name, value)
         stats.new = new.count()
+        if stats.invalid:
+            store.save_quarantine(done.quarantine, stats.run_id)
         if csv_path and stats.new:
             append_csv(new, csv_path)
         store.snapshot(stats.run_id, started.date())
@@ -138,7 +142,19 @@ def run_once(spark: SparkSession, root: str, active: Sequence[str], options: Map
     except Exception as crash:
         stats.errors.append(f"run: {crash}")
         stats.status = "failed"
-        store.finish_run(stats.run_id, started, stats.status, stats.fetched, stats.new, stats.invalid, stats.errors)
+        close()
         raise
-    store.finish_run(stats.run_id, started, stats.status, stats.fetched, stats.new, stats.invalid, stats.errors)
+    close()
     return stats
+
+
+def run_once(spark: SparkSession, root: str, active: Sequence[str], options: Mapping[str, Mapping[str, str]],
+             keywords: Sequence[str] = V.ALERT_KEYWORDS, started: datetime | None = None,
+             csv_path: str | None = None, readers: Mapping[str, Reader] = READERS,
+             taxonomy: Taxonomy = V.TAXONOMY) -> RunStats:
+    """Collect all sources and store them as one run."""
+    store = JobStore(spark, root)
+    started = started or datetime.now(timezone.utc)
+    stats = RunStats(run_id=store.start_run(started))
+    raw, stats.errors = collect(spark, active, options, f"{root}/landing/run_id={stats.run_id}", readers)
+    return store_run(store, raw, stats, started, F.lit(started).cast("timestamp"), keywords, csv_path, taxonomy)

@@ -737,6 +737,39 @@ def oracles() -> dict[str, str]:
             CASE WHEN remote THEN 'remote' ELSE '' END) AS t FROM rich) WHERE {words}""",
         **_enriched(False, "cleaned"),
     )
+    text = """lower(title || ' ' || coalesce(company, '') || ' ' || coalesce(location, '') || ' ' ||
+        array_to_string(skills, ' ') || ' ' || coalesce(description, '') || ' ' || CASE WHEN remote THEN 'remote' ELSE '' END)"""
+    match = " OR ".join(f"contains({text}, {_q(w)})" for w in V.ALERT_KEYWORDS)
+    out["stream_run_alerts"] = _with(
+        "raw_postings",
+        f"""SELECT job_id, title, total_new, count(*) OVER () AS matching
+            FROM (SELECT *, count(*) OVER () AS total_new FROM rich) WHERE ({match}) AND total_new >= {V.MIN_NEW_RECORDS}""",
+        **rich,
+    )
+    out["stream_run_log"] = _with(
+        "raw_postings",
+        """SELECT 'success' AS status, (SELECT count(*) FROM raw_postings) AS records_fetched, count(*) AS records_new,
+           CAST(0 AS BIGINT) AS records_invalid FROM uniq""",
+        **cleaned,
+    )
+    out["store_market"] = _with(
+        "raw_postings",
+        f"""SELECT CAST(r AS BIGINT) AS run_id, count(*) AS total_jobs, count(*) FILTER (remote) AS remote_jobs,
+            count((low + high) / 2) AS paid_jobs
+            FROM (SELECT *, {run_of} AS first_run FROM rich), (VALUES (1), (2)) t(r) WHERE first_run <= r GROUP BY r""",
+        **plain,
+    )
+    out["store_gap"] = _with(
+        "raw_postings", "SELECT CAST(2 AS BIGINT) AS run_id, count(*) AS total_jobs FROM uniq", **cleaned)
+    out["store_stream_after_batch"] = _with(
+        "raw_postings", "SELECT job_id, title, source, source = 'src1' AS in_first FROM uniq", **cleaned)
+    out["alerts_stored"] = _with(
+        "raw_postings",
+        f"""SELECT CAST(run AS BIGINT) AS run_id, job_id, title, total_new, count(*) OVER (PARTITION BY run) AS matching
+            FROM (SELECT *, {run_of} AS run, count(*) OVER (PARTITION BY {run_of}) AS total_new FROM rich)
+            WHERE ({match}) AND total_new >= {V.MIN_NEW_RECORDS}""",
+        **plain,
+    )
     out["stream_metrics"] = (
         "SELECT count(*) AS records, count(*) FILTER (event_type = 'error') AS invalid FROM events"
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -761,15 +762,65 @@ def stream_alerts(spark, sf):
     return spark.read.parquet(path).select("ordinal", "job_id", "title")
 
 
+def _ingested(spark, sf) -> JobStore:
+    store = JobStore(spark, shared_dir(spark, "ingest"))
+    flows.ingest(_posting_stream(spark, sf), store, shared_dir(spark, "ingest-checkpoint"), _scraped()).awaitTermination()
+    return store
+
+
+@query
+def stream_run_alerts(spark, sf):
+    """All alerts that the stream stored: new jobs only, none cut off."""
+    return _ingested(spark, sf).alerts().select("job_id", "title", "total_new", "matching")
+
+
+@query
+def stream_run_log(spark, sf):
+    """Counters of the stream's runs, in total."""
+    sums = [F.sum(c).alias(c) for c in ("records_fetched", "records_new", "records_invalid")]
+    return _ingested(spark, sf).runs().groupBy("status").agg(*sums)
+
+
+@query
+def store_market(spark, sf):
+    """The stored market table after two runs."""
+    store = _two_runs(spark, sf)
+    for run_id in (1, 2):
+        store.snapshot(run_id)
+    return store.market_snapshots().select("run_id", "total_jobs", "remote_jobs", "paid_jobs")
+
+
+@query
+def store_gap(spark, sf):
+    """Run 1 is stored without a snapshot; run 2's snapshot counts its jobs all the same."""
+    store = _two_runs(spark, sf)
+    store.snapshot(2)
+    return store.market_snapshots().select("run_id", "total_jobs")
+
+
+@query
+def store_stream_after_batch(spark, sf):
+    """A stream with a new checkpoint into a store with a batch run: all jobs of both are there."""
+    store = JobStore(spark, shared_dir(spark, "mixed"))
+    raw, started = _raw(spark, sf).filter("source = 'src1'"), datetime(2026, 1, 1, tzinfo=timezone.utc)
+    stats = batch.RunStats(run_id=store.start_run(started))
+    batch.store_run(store, raw, stats, started, _scraped())
+    flows.ingest(_posting_stream(spark, sf), store, shared_dir(spark, "mixed-checkpoint"), _scraped()).awaitTermination()
+    return store.first_records().select("job_id", "title", "source", (F.col("run_id") == 1).alias("in_first"))
+
+
+@query
+def alerts_stored(spark, sf):
+    """Every matching new job of a run, however many, and the run's counts."""
+    store = _two_runs(spark, sf)
+    for run_id in (1, 2):
+        store.save_alerts(run_id)
+    return store.alerts().select("run_id", "job_id", "title", "total_new", "matching")
+
+
 @query
 def stream_metrics(spark, sf):
-    watched = flows.with_metrics(
-        _event_stream(spark, sf), "run", F.count_if(F.col("event_type") == "error").alias("invalid")
-    )
-    path, checkpoint = shared_dir(spark, "metrics"), shared_dir(spark, "metrics-checkpoint")
-    stream = flows.run_to_end(watched, path, checkpoint)
-    stream.awaitTermination()
-    rows = flows.run_metrics(stream, "run")
-    return spark.createDataFrame(
-        [(r["records"], r["invalid"]) for r in rows], "records long, invalid long"
-    ).agg(F.sum("records").alias("records"), F.sum("invalid").alias("invalid"))
+    path, metrics, checkpoint = (shared_dir(spark, n) for n in ("watched", "metrics", "metrics-checkpoint"))
+    errors = F.count_if(F.col("event_type") == "error")
+    flows.run_with_metrics(_event_stream(spark, sf), path, metrics, checkpoint, errors).awaitTermination()
+    return spark.read.parquet(metrics).agg(F.sum("records").alias("records"), F.sum("extra_0").alias("invalid"))

@@ -2,8 +2,11 @@
 
     observations/run_id=N   every valid record of the batch
     jobs/run_id=N           records first seen in run N; never changed afterwards
-    skill_snapshots/run_id=N, market_snapshots/run_id=N, alerts/run_id=N
+    quarantine/run_id=N     records of the batch that break a rule, with the rules
+    alerts/run_id=N         all new jobs of the run that match; the digest is a view of them
+    skill_snapshots/run_id=N, market_snapshots/run_id=N
     runs                    appended log, the last row of a run wins
+    claims/N                one empty file per run id ever given out
 
 ``first_seen`` comes from ``jobs``, ``last_seen`` from ``observations``, so a run writes in
 proportion to its batch, never to the whole table.
@@ -17,22 +20,31 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from hirelens import fixed_values as V
-from hirelens.operators.alerts import digest_rows
+from hirelens.operators.alerts import digest_of, stored_alerts
 from hirelens.operators.analytics import explode_skills
+from hirelens.operators.clean import keep_first
 from hirelens.operators.history import latest_runs, market_totals, new_records, with_average
 from hirelens.schemas import MARKET_SNAPSHOT, OBSERVATION, RUN, SKILL_SNAPSHOT
 
-_RUN_LOG = StructType(RUN.fields + [StructField("seq", IntegerType())])
+_RUN_LOG = StructType(RUN.fields + [StructField("seq", IntegerType()), StructField("origin", StringType())])
+_ALERT = StructType(
+    OBSERVATION.fields + [StructField("total_new", LongType()), StructField("matching", LongType())])
+_QUARANTINE = StructType(OBSERVATION.fields + [StructField("violations", ArrayType(StringType()))])
+
+
+def _location(spark: SparkSession, path: str):
+    """(file system, path) as the cluster sees them."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), location
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table, or an empty one of that schema if it does not exist yet."""
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
-    if location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(location):
+    system, location = _location(spark, path)
+    if system.exists(location):
         return spark.read.schema(schema).parquet(path)
     return spark.createDataFrame([], schema)
 
@@ -94,21 +106,44 @@ class JobStore:
     def market_snapshots(self) -> DataFrame:
         return read_table(self.spark, self._path("market_snapshots"), MARKET_SNAPSHOT)
 
+    def quarantine(self) -> DataFrame:
+        return read_table(self.spark, self._path("quarantine"), _QUARANTINE)
+
+    def alerts(self) -> DataFrame:
+        return read_table(self.spark, self._path("alerts"), _ALERT)
+
+    def alert_digest(self, limit: int = V.DIGEST_ITEMS) -> DataFrame:
+        return digest_of(self.alerts(), limit)
+
     def runs(self) -> DataFrame:
-        return latest_runs(read_table(self.spark, self._path("runs"), _RUN_LOG))
+        return latest_runs(read_table(self.spark, self._path("runs"), _RUN_LOG)).drop("origin")
 
     # --- run log ---------------------------------------------------------------------------
 
-    def start_run(self, started_at: datetime | None = None) -> int:
-        last = read_table(self.spark, self._path("runs"), _RUN_LOG).agg(F.max("run_id")).first()[0]
-        run_id = (last or 0) + 1
-        self._log(run_id, started_at or _now(), None, "running", 0, 0, 0, None, 0)
+    def start_run(self, started_at: datetime | None = None, origin: str | None = None) -> int:
+        """A run id that no other run has or gets; an origin seen before finds its own run id again."""
+        log = read_table(self.spark, self._path("runs"), _RUN_LOG)
+        run_id = origin and log.filter(F.col("origin") == origin).agg(F.max("run_id")).first()[0]
+        if not run_id:
+            run_id = self._claim((log.agg(F.max("run_id")).first()[0] or 0) + 1)
+        self._log(run_id, started_at or _now(), None, "running", 0, 0, 0, None, 0, origin)
         return run_id
 
+    def _claim(self, run_id: int) -> int:
+        """The first free id from ``run_id`` on. Creating the claim fails for all writers but one."""
+        stored = self.observations().agg(F.max("run_id")).first()[0] or 0
+        run_id = max(run_id, stored + 1)
+        while True:
+            system, location = _location(self.spark, f"{self._path('claims')}/{run_id}")
+            if system.createNewFile(location):
+                return run_id
+            run_id += 1
+
     def finish_run(self, run_id: int, started_at: datetime, status: str, fetched: int, new: int,
-                   invalid: int, errors: Sequence[str] = (), finished_at: datetime | None = None) -> None:
+                   invalid: int, errors: Sequence[str] = (), finished_at: datetime | None = None,
+                   origin: str | None = None) -> None:
         text = "; ".join(errors) if errors else None
-        self._log(run_id, started_at, finished_at or _now(), status, fetched, new, invalid, text, 1)
+        self._log(run_id, started_at, finished_at or _now(), status, fetched, new, invalid, text, 1, origin)
 
     def _log(self, *row) -> None:
         self.spark.createDataFrame([row], _RUN_LOG).write.mode("append").parquet(self._path("runs"))
@@ -116,44 +151,53 @@ class JobStore:
     # --- writing ---------------------------------------------------------------------------
 
     def save_records(self, valid: DataFrame, run_id: int) -> DataFrame:
-        """Store a batch with one row per job_id and return the jobs new to the table."""
+        """Store a batch, the first row of each job_id, and return the jobs new to the table."""
         columns = [f.name for f in OBSERVATION.fields if f.name != "run_id"]
-        self._write(valid.select(*columns), "observations", run_id)
+        self._write(keep_first(valid.select(*columns)), "observations", run_id)
         batch = self.observations().filter(F.col("run_id") == run_id)
         known = self.first_records().filter(F.col("run_id") != run_id)
         self._write(new_records(batch, known), "jobs", run_id)
         return self.first_records().filter(F.col("run_id") == run_id)
 
+    def save_quarantine(self, broken: DataFrame, run_id: int) -> None:
+        columns = [f.name for f in _QUARANTINE.fields if f.name != "run_id"]
+        self._write(broken.select(*columns), "quarantine", run_id)
+
     def snapshot(self, run_id: int, snapshot_date: date | None = None) -> None:
-        """Counts as of this run: those of the run before plus this run's new jobs."""
-        day = F.lit((snapshot_date or _now().date()).isoformat()).cast("date")
-        new = self.first_records().filter(F.col("run_id") == run_id)
+        """Counts of all jobs first seen up to this run: the last snapshot before plus what came since.
+
+        Snapshots of later runs, which a repeated run may have changed, are taken again.
+        """
+        day = snapshot_date or _now().date()
+        taken = self.market_snapshots().select("run_id", "snapshot_date").distinct()
+        later = taken.filter(F.col("run_id") > run_id).orderBy("run_id").collect()
+        for number, when in [(run_id, day), *((r.run_id, r.snapshot_date) for r in later)]:
+            self._snapshot(number, when)
+
+    def _snapshot(self, run_id: int, snapshot_date: date) -> None:
+        day = F.lit(snapshot_date.isoformat()).cast("date")
         market = self.market_snapshots().filter(F.col("run_id") < run_id)
         before = market.agg(F.max("run_id")).first()[0]
-        if before is None:
-            earlier = self.first_records().filter(F.col("run_id") < run_id)
-            old_skills = explode_skills(earlier).groupBy("skill").agg(F.countDistinct("job_id").alias("job_count"))
-            old_market = earlier.agg(*market_totals())
-        else:
-            old_skills = self.skill_snapshots().filter(F.col("run_id") == before).select("skill", "job_count")
-            old_market = market.filter(F.col("run_id") == before).select(*_TOTALS)
-        gained = new.select(F.explode(F.array_distinct("skills")).alias("skill")).groupBy("skill").agg(
-            F.count(F.lit(1)).alias("job_count")
-        )
-        skills = old_skills.unionByName(gained).groupBy("skill").agg(F.sum("job_count").alias("job_count"))
-        self._write(
-            skills.select(day.alias("snapshot_date"), "skill", "job_count"), "skill_snapshots", run_id
-        )
-        totals = old_market.unionByName(new.agg(*market_totals())).agg(*[F.sum(t).alias(t) for t in _TOTALS])
+        since = F.col("run_id") <= run_id if before is None else F.col("run_id").between(before + 1, run_id)
+        new = self.first_records().filter(since)
+        gained = explode_skills(new, "run_id").distinct().groupBy("skill").agg(F.count(F.lit(1)).alias("job_count"))
+        totals = new.agg(*market_totals())
+        if before is not None:
+            old = self.skill_snapshots().filter(F.col("run_id") == before).select("skill", "job_count")
+            gained = old.unionByName(gained).groupBy("skill").agg(F.sum("job_count").alias("job_count"))
+            totals = market.filter(F.col("run_id") == before).select(*_TOTALS).unionByName(totals).agg(
+                *[F.sum(t).alias(t) for t in _TOTALS])
+        self._write(gained.select(day.alias("snapshot_date"), "skill", "job_count"), "skill_snapshots", run_id)
         labelled = totals.withColumns({"run_id": F.lit(run_id).cast("long"), "snapshot_date": day})
         self._write(with_average(labelled), "market_snapshots", run_id)
 
     def save_alerts(self, run_id: int, keywords: Sequence[str] = V.ALERT_KEYWORDS,
-                    limit: int = V.DIGEST_ITEMS, min_new: int = V.MIN_NEW_RECORDS) -> DataFrame:
-        """Store the digest rows of the run's new jobs."""
+                    min_new: int = V.MIN_NEW_RECORDS, enabled: bool = True) -> DataFrame:
+        """Store every matching new job of the run, if the run sends an alert."""
         new = self.first_records().filter(F.col("run_id") == run_id)
-        self._write(digest_rows(new, keywords, limit, min_new), "alerts", run_id)
-        return self.spark.read.parquet(self._path("alerts", run_id))
+        columns = [f.name for f in _ALERT.fields]
+        self._write(stored_alerts(new, keywords, min_new, enabled).select(*columns), "alerts", run_id)
+        return self.alerts().filter(F.col("run_id") == run_id)
 
 
 _TOTALS = ["total_jobs", "remote_jobs", "salary_total", "paid_jobs"]

@@ -17,6 +17,14 @@ def read_hits(spark: SparkSession, path: str, kind: str = "comment") -> DataFram
     return spark.read.schema(schema).json(path).select(F.inline("hits"))
 
 
+def damaged_lines(spark: SparkSession, path: str, kind: str = "comment") -> int:
+    """Landed lines that are no JSON; ``read_hits`` finds no hit in them."""
+    schema = envelope(COMMENT if kind == "comment" else THREAD).add("_corrupt_record", "string")
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    parsed = lines.select(F.from_json("value", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}).alias("page"))
+    return parsed.filter(F.col("page._corrupt_record").isNotNull()).count()
+
+
 def parse_hits(envelopes: DataFrame, column: str, kind: str = "comment") -> DataFrame:
     """The same from a column of JSON texts."""
     schema = envelope(COMMENT if kind == "comment" else THREAD)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -12,7 +14,7 @@ from pyspark.sql.types import StructType
 from hirelens import fixed_values as V
 from hirelens.functions.skills import Taxonomy
 from hirelens.operators.alerts import alert_matches
-from hirelens.plans.batch import process_raw
+from hirelens.plans.batch import RunStats, store_run
 from hirelens.plans.store import JobStore
 
 
@@ -28,7 +30,8 @@ def read_folder(spark: SparkSession, folder: str, schema: StructType, pattern: s
 def weekly_counts(stream: DataFrame, time: str = "ts", delay: str = "1 day") -> DataFrame:
     """Rows per week ending on Sunday; a week is emitted once the watermark has passed it.
 
-    The epoch began on a Thursday, so weeks are shifted by four days to begin on Monday.
+    The epoch began on a Thursday, so weeks are shifted by four days to begin on Monday. Weeks
+    still open stay out, as append mode must; ``weekly_postings`` is the full answer in batch form.
     """
     week = F.window(time, "7 days", "7 days", "4 days")
     return (
@@ -54,16 +57,28 @@ def run_to_end(stream: DataFrame, path: str, checkpoint: str, every: str | None
     return _start(writer.option("path", path), every)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint: a new checkpoint, even at an old path, has a new one."""
+    text = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
 def ingest(raw: DataFrame, store: JobStore, checkpoint: str, scraped_at: Column | None = None,
-           taxonomy: Taxonomy = V.TAXONOMY, every: str | None = None) -> StreamingQuery:
-    """Raw postings stream -> job store; each micro-batch is one run.
+           taxonomy: Taxonomy = V.TAXONOMY, every: str | None = None,
+           keywords: Sequence[str] = V.ALERT_KEYWORDS) -> StreamingQuery:
+    """Raw postings stream -> job store; each micro-batch is one run: logged, stored, snapshotted, alerted.
 
-    A micro-batch repeated after a failure has the same number and replaces its own rows.
-    Duplicates across runs are found exactly, against the stored jobs.
+    A micro-batch repeated after a failure finds its run id in the log and replaces its own
+    rows; a new checkpoint only ever adds runs. Duplicates across runs are found exactly,
+    against the stored jobs, so alerts are for new jobs only.
     """
 
     def save(batch: DataFrame, number: int) -> None:
-        store.save_records(process_raw(batch, scraped_at, taxonomy).valid, number + 1)
+        started = datetime.now(timezone.utc)
+        origin = f"{stream_id(store.spark, checkpoint)}#{number}"
+        stats = RunStats(run_id=store.start_run(started, origin))
+        seen = F.lit(started).cast("timestamp") if scraped_at is None else scraped_at
+        store_run(store, batch, stats, started, seen, keywords, taxonomy=taxonomy, origin=origin)
 
     writer = raw.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return _start(writer, every)
@@ -75,19 +90,24 @@ def alert_stream(new_jobs: DataFrame, path: str, checkpoint: str,
     return run_to_end(alert_matches(new_jobs, keywords), path, checkpoint, every)
 
 
-def with_metrics(stream: DataFrame, name: str, *extra: Column) -> DataFrame:
-    """Count rows per micro-batch under ``name``; read back with ``run_metrics``."""
-    return stream.observe(name, F.count(F.lit(1)).alias("records"), *extra)
+def run_with_metrics(stream: DataFrame, path: str, metrics: str, checkpoint: str, *extra: Column,
+                     every: str | None = None) -> StreamingQuery:
+    """Append a stream to ``path`` and one row per micro-batch to ``metrics``: run_id, records, extra counts.
 
+    The counts ride along with the write. A repeated micro-batch replaces its own rows in both folders.
+    """
+    names = ["records", *(f"extra_{k}" for k in range(len(extra)))]
 
-def run_metrics(query: StreamingQuery, name: str) -> list[dict]:
-    """Run-log rows of the micro-batches that carried data."""
-    rows = []
-    for progress in query.recentProgress:
-        seen = progress["observedMetrics"].get(name) if progress["observedMetrics"] else None
-        if seen is not None and progress["numInputRows"]:
-            rows.append({"run_id": progress["batchId"] + 1, **seen.asDict()})
-    return rows
+    def save(batch: DataFrame, number: int) -> None:
+        seen = Observation()
+        counts = [F.count(F.lit(1)), *extra]
+        watched = batch.observe(seen, *[c.alias(n) for c, n in zip(counts, names)])
+        watched.write.mode("overwrite").parquet(f"{path}/run_id={number + 1}")
+        found = batch.sparkSession.range(1).select(*[F.lit(seen.get[n]).cast("long").alias(n) for n in names])
+        found.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/run_id={number + 1}")
+
+    writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    return _start(writer, every)
 
 
 def _start(writer, every: str | None) -> StreamingQuery:

@@ -130,3 +130,39 @@ def test_failing_source_does_not_stop_the_others(spark, tmp_path, landed):
 def test_only_failures(spark, tmp_path):
     stats = run_once(spark, str(tmp_path / "store"), ["nope"], {})
     assert stats.status == "failed" and stats.fetched == 0 and stats.new == 0
+
+
+def test_a_run_without_snapshot_is_counted_later(spark, tmp_path):
+    store = JobStore(spark, str(tmp_path))
+    store.save_records(records(spark, 1, "a"), 1)
+    store.snapshot(1, date(2026, 1, 1))
+    store.save_records(records(spark, 2, "b", "c"), 2)
+    store.save_records(records(spark, 3, "d"), 3)
+    store.snapshot(3, date(2026, 1, 3))
+    totals = {r.run_id: r.total_jobs for r in store.market_snapshots().collect()}
+    assert totals == {1: 1, 3: 4}
+    store.save_records(records(spark, 1, "a", "e"), 1)
+    store.snapshot(1, date(2026, 1, 1))
+    totals = {r.run_id: r.total_jobs for r in store.market_snapshots().collect()}
+    assert totals == {1: 2, 3: 5}
+    assert {r.job_count for r in store.skill_snapshots().filter("run_id = 3").collect()} == {5}
+
+
+def test_all_alerts_are_stored_and_the_digest_is_a_view(spark, tmp_path):
+    store = JobStore(spark, str(tmp_path))
+    store.save_records(records(spark, 1, *[f"j{k}" for k in range(60)], title="python"), 1)
+    assert store.save_alerts(1, ["python"]).count() == 60
+    digest = store.alert_digest().collect()
+    assert len(digest) == V.DIGEST_ITEMS and {(r.total_new, r.matching, r.more) for r in digest} == {(60, 60, 60 - V.DIGEST_ITEMS)}
+    assert store.save_alerts(1, ["python"], enabled=False).count() == 0
+
+
+def test_repeats_inside_a_batch_are_one_job(spark, tmp_path):
+    store = JobStore(spark, str(tmp_path))
+    assert store.save_records(records(spark, 1, "a", "b", "a"), 1).count() == 2
+
+
+def test_run_ids_are_claimed_once(spark, tmp_path):
+    store = JobStore(spark, str(tmp_path))
+    assert [store._claim(1) for _ in range(3)] == [1, 2, 3]
+    assert store.start_run(datetime(2026, 1, 1)) == 4

@@ -58,8 +58,41 @@ def test_repeats_within_the_watermark_are_dropped(spark, tmp_path):
         rows = spark.createDataFrame([("a", datetime(2024, 1, day)), ("b" * day, datetime(2024, 1, day))], "job_id string, scraped_at timestamp")
         rows.coalesce(1).write.mode("append").parquet(landing)
     stream = flows.read_folder(spark, landing, rows.schema, files_per_batch=1)
-    watched = flows.with_metrics(flows.first_sightings(stream, ["job_id"]), "run")
-    query = flows.run_to_end(watched, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
-    query.awaitTermination()
-    assert sorted(r.job_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "bb"]
-    assert sum(r["records"] for r in flows.run_metrics(query, "run")) == 3
+    out, metrics = str(tmp_path / "out"), str(tmp_path / "metrics")
+    flows.run_with_metrics(flows.first_sightings(stream, ["job_id"]), out, metrics, str(tmp_path / "checkpoint")).awaitTermination()
+    assert sorted(r.job_id for r in spark.read.parquet(out).collect()) == ["a", "b", "bb"]
+    assert sum(r.records for r in spark.read.parquet(metrics).collect()) == 3
+
+
+def test_every_micro_batch_has_its_metrics(spark, tmp_path):
+    landing = str(tmp_path / "landing")
+    spark.range(104).repartition(104, "id").write.option("maxRecordsPerFile", 1).parquet(landing)
+    files = spark.read.parquet(landing).select("_metadata.file_path").distinct().count()
+    assert files > 100
+    stream = flows.read_folder(spark, landing, spark.range(1).schema, files_per_batch=1)
+    metrics = str(tmp_path / "metrics")
+    flows.run_with_metrics(stream, str(tmp_path / "out"), metrics, str(tmp_path / "checkpoint"), F.count_if(F.col("id") < 4)).awaitTermination()
+    rows = spark.read.parquet(metrics)
+    assert rows.filter("records > 0").count() == files
+    assert rows.agg(F.sum("records"), F.sum("extra_0")).first() == (104, 4)
+
+
+def test_a_new_checkpoint_only_adds_runs(spark, tmp_path):
+    landing, store = str(tmp_path / "landing"), JobStore(spark, str(tmp_path / "store"))
+    postings(spark, 0, 3).coalesce(1).write.parquet(landing)
+    assert store.start_run(datetime(2026, 1, 1)) == 1
+    store.save_records(process_raw(postings(spark, 5, 6), seen()).valid, 1)
+    for checkpoint in ("one", "two"):
+        stream = flows.read_folder(spark, landing, RAW_POSTING)
+        flows.ingest(stream, store, str(tmp_path / checkpoint), seen()).awaitTermination()
+    first = {r.run_id: r.n for r in store.first_records().groupBy("run_id").agg(F.count("*").alias("n")).collect()}
+    assert first == {1: 1, 2: 3}
+    log = {r.run_id: (r.status, r.records_fetched, r.records_new) for r in store.runs().collect()}
+    assert log[2] == ("success", 3, 3) and log[3] == ("success", 3, 0)
+    assert store.market_snapshots().filter("run_id = 3").first().total_jobs == 4
+
+
+def test_a_repeated_micro_batch_keeps_its_run(spark, tmp_path):
+    store = JobStore(spark, str(tmp_path))
+    started = datetime(2026, 1, 1)
+    assert [store.start_run(started, o) for o in ("q#0", "q#1", "q#0", "p#0")] == [1, 2, 1, 3]
