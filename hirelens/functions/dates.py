@@ -10,10 +10,10 @@ from hirelens.functions.text import bind, normalize_text
 
 _NAMES = "|".join(m if len(m) == 3 else f"{m[:3]}(?:{m[3:]})?" for m in V.MONTHS)
 _STARTS = " ".join(m[:3] for m in V.MONTHS)
-_ISO = (
-    r"^\d{4}-\d{2}-\d{2}"
-    r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2}(:?\d{2})?)?)?)?$"
-)
+# Any one character may part date and time; hours, minutes, seconds and offsets stay within a day.
+_CLOCK = r"([01]\d|2[0-3])(:[0-5]\d(:[0-5]\d([.,]\d+)?)?)?"
+_OFFSET = r"(Z|[+-]([01]\d|2[0-3])(:?[0-5]\d(:?[0-5]\d([.,]\d+)?)?)?)?"
+_ISO = rf"(?s)^\d{{4}}-\d{{2}}-\d{{2}}(.{_CLOCK}{_OFFSET})?$"
 _YEAR_FIRST = r"^\d{4}-\d{1,2}-\d{1,2}$"
 _MONTH_FIRST = rf"(?i)^({_NAMES}) (\d{{1,2}}), (\d{{4}})$"
 _DAY_FIRST = rf"(?i)^(\d{{1,2}}) ({_NAMES}) (\d{{4}})$"

@@ -33,22 +33,18 @@ def _key(name: str) -> str:
 
 
 def _layers(names: list[str]) -> list[list[str]]:
-    """Split names so that none starts with another of its layer as whole leading words.
+    """Split names so that none begins with another of its layer.
 
-    A zero-width search reports one name per position; "React" and "React Native" begin at
-    the same position, so they must be searched separately.
+    A zero-width search reports one name per position; "React" and "React Native", or "CI" and
+    "CI/CD", begin at the same position, so they must be searched separately. White space counts
+    as one blank; a name that goes on inside a word is no risk, but costs nothing either.
     """
     depth: dict[str, int] = {}
-    for name in sorted(names, key=len):
-        words = name.lower().split()
-        heads = [
-            d for other, d in depth.items()
-            if len(other.split()) < len(words) and words[: len(other.split())] == other.lower().split()
-        ]
-        depth[name] = max(heads, default=-1) + 1
+    for key in sorted({_key(name) for name in names}, key=len):
+        depth[key] = max((d for other, d in depth.items() if key.startswith(other)), default=-1) + 1
     grouped = defaultdict(list)
-    for name, level in depth.items():
-        grouped[level].append(name)
+    for name in dict.fromkeys(names):
+        grouped[depth[_key(name)]].append(name)
     return [grouped[level] for level in sorted(grouped)]
 
 
@@ -73,16 +69,20 @@ def _search_pattern(names: list[str]) -> str:
 def exact_skill_positions(text: Column, taxonomy: Taxonomy) -> Column:
     """Positions (in taxonomy order numbers) of the skills named in the text, unsorted."""
     names = taxonomy_names(taxonomy)
-    lookup = F.create_map(*[F.lit(v) for ord_, name in names for v in (_key(name), ord_)])
+    holders: dict[str, list[int]] = defaultdict(list)  # a name may belong to several skills
+    for ord_, name in names:
+        if ord_ not in holders[_key(name)]:
+            holders[_key(name)].append(ord_)
+    lookup = F.create_map(*[v for key, at in holders.items() for v in (F.lit(key), F.array(*map(F.lit, at)))])
     found = [
         F.regexp_extract_all(text, F.lit(_search_pattern(layer)), F.lit(1))
         for layer in _layers([name for _, name in names])
     ]
     hits = F.concat(*found) if len(found) > 1 else found[0]
-    return F.transform(
+    return F.array_distinct(F.flatten(F.transform(
         F.array_distinct(F.transform(hits, lambda h: F.lower(F.regexp_replace(h, r"(?U)\s+", " ")))),
         lambda key: F.element_at(lookup, key),
-    )
+    )))
 
 
 # --- near misses --------------------------------------------------------------------

@@ -60,33 +60,27 @@ def fuzzy_vocabulary(texts: DataFrame, text: Column, taxonomy: Taxonomy = V.TAXO
     )
 
 
-def entity_mentions(records: DataFrame, gazetteer: DataFrame, max_words: int = 3) -> DataFrame:
+def entity_mentions(records: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """(job_id, company, location): first organisation and first place named in each text.
 
-    ``gazetteer`` has ``name`` and ``kind`` ('ORG' or 'GPE'). Its size is not assumed: the
-    join carries no hint, Spark broadcasts it only below its own size limit and otherwise
-    shuffles both sides, splitting hot phrases.
+    ``gazetteer`` has ``name`` (words of any number) and ``kind`` ('ORG' or 'GPE'). A text's words
+    look up names by their first word; the rest of the name is then compared with the words that
+    follow. Its size is not assumed: the join carries no hint, Spark broadcasts it only below its
+    own size limit and otherwise shuffles both sides, splitting hot words.
     """
     text = F.left(posting_text(), F.lit(V.ENTITY_SCOPE_CHARS))
     words = F.filter(
         F.transform(F.split(text, r"\s+"), lambda w: F.regexp_replace(w, r"^[^\w#@]+|[^\w#+]+$", "")),
         lambda w: w != "",
     )
-    sizes = F.sequence(F.lit(1), F.lit(max_words))
-    phrases = F.flatten(
-        F.transform(
-            F.col("_words"),
-            lambda _, i: F.transform(
-                F.filter(sizes, lambda n: i + n <= F.size("_words")),
-                lambda n: F.struct(i.alias("at"), F.array_join(F.slice("_words", i + 1, n), " ").alias("name")),
-            ),
-        )
-    )
+    names = gazetteer.select("name", "kind", F.split("name", " ").alias("_parts")).distinct()
+    names = names.withColumn("_first", F.get("_parts", F.lit(0)))
+    following = F.array_join(F.slice("_words", F.col("at") + 1, F.size("_parts")), " ")
     mentions = (
         records.select("job_id", words.alias("_words"))
-        .select("job_id", F.explode(phrases).alias("p"))
-        .select("job_id", F.col("p")["at"].alias("at"), F.col("p")["name"].alias("name"))
-        .join(gazetteer.select("name", "kind").distinct(), "name")
+        .select("job_id", "_words", F.posexplode("_words").alias("at", "_first"))
+        .join(names, "_first")
+        .filter(following == F.col("name"))
     )
 
     def first_of(kind: str) -> Column:
@@ -98,10 +92,10 @@ def entity_mentions(records: DataFrame, gazetteer: DataFrame, max_words: int = 3
     )
 
 
-def fill_entities(records: DataFrame, gazetteer: DataFrame, max_words: int = 3) -> DataFrame:
+def fill_entities(records: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """Fill a missing company or location from the first entity in the text; job_id stays."""
     gaps = records.filter(F.col("company").isNull() | F.col("location").isNull())
-    found = entity_mentions(gaps, gazetteer, max_words).withColumnRenamed("job_id", "_id")
+    found = entity_mentions(gaps, gazetteer).withColumnRenamed("job_id", "_id")
     # Null-safe, so that no null filter is pushed into one side only: both sides then read the
     # same shuffle of the records instead of computing it twice.
     joined = records.join(found, F.col("job_id").eqNullSafe(F.col("_id")), "left")

@@ -6,10 +6,12 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from hirelens import fixed_values as V
 from hirelens.functions.html import element_matches, resolve_url, selector_tags, shred
 from hirelens.operators.salting import join_per_key, salt
+from hirelens.session import shared_dir
 
 Selectors = Mapping[str, Sequence[str]]
 
@@ -17,19 +19,25 @@ Selectors = Mapping[str, Sequence[str]]
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed pages: a Parquet table (page_id, url, html), or one HTML file per page.
 
-    A file is numbered by the last number in its name, which keeps page order; files without
-    one get a number from a hash of their path.
+    Files are numbered in the order of their paths, with numbers in a path compared as numbers, so
+    page10 follows page9 and files with equal names in two folders stay apart. For that the paths
+    alone are sorted into a table; a page's number is its row there, counted over that table's files.
     """
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path)
-    files = spark.read.text(path, wholetext=True)
-    path = F.col("_metadata.file_path")
-    number = F.regexp_extract(path, r"(\d{1,9})[^/\d]*$", 1).try_cast("long")
-    return files.select(
-        F.coalesce(number, F.pmod(F.xxhash64(path), F.lit(10**9))).alias("page_id"),
-        path.alias("url"),
-        F.col("value").alias("html"),
-    )
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
+    # Every digit run is left-padded, so that text order is number order.
+    padded = F.array_join(F.transform(F.regexp_extract_all("url", F.lit(r"\d+|\D+"), F.lit(0)), lambda part: F.when(
+        part.rlike(r"^\d"), F.lpad(part, 20, "0")).otherwise(part)), "")
+    order = shared_dir(spark, "page-order")
+    files.select("url").withColumn("_order", padded).orderBy("_order", "url").select("url").write.parquet(order)
+    rows = spark.read.parquet(order).select("url", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    # One row per file of the sorted table.
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = rows.join(sizes, "_file").select("url", (F.col("_before") + F.col("_row")).alias("page_id"))
+    return files.join(numbered, "url").select("page_id", "url", "html")
 
 
 def page_elements(pages: DataFrame, tags: Sequence[str] | None = None) -> DataFrame:

@@ -110,3 +110,11 @@ def test_process_counts(spark):
     assert done.valid.count() == 2
     assert done.counts() == {"fetched": 4, "unique": 2, "with_skills": 2, "valid": 2, "invalid": 0}
     assert done.quarantine.count() == 0
+
+
+def test_entities_of_any_number_of_words(spark):
+    rows = [(1, "works in United States of America now"), (2, "United States"), (3, "United States of Americana")]
+    raw = spark.createDataFrame(rows, "ordinal long, description string").withColumn("title", F.col("ordinal").cast("string"))
+    names = spark.createDataFrame([("United States of America", "GPE"), ("United States", "GPE")], "name string, kind string")
+    got = {r.ordinal: r.location for r in fill_entities(clean(raw), names).collect()}
+    assert got == {1: "United States of America", 2: "United States", 3: "United States"}

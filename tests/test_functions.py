@@ -178,3 +178,17 @@ def test_nested_names_need_layers(column):
     taxonomy = {"Data": [], "Data Lake": [], "Data Lake House": ["Lake House"]}
     got = column(["data lake house", "Data Lakes"], lambda c: skills.extract_skills(c, taxonomy, fuzzy=False))
     assert got == [["Data", "Data Lake", "Data Lake House"], ["Data"]]
+
+
+def test_iso_times_within_a_day(column):
+    good = ["2021-04-08T10:00", "2021-04-08t10:00", "2021-04-08_23:59:59.5", "2021-04-08 10", "2021-04-08T10:00+23:59", "2021-04-08T10:00Z"]
+    bad = ["2021-04-08T25:00", "2021-04-08T99:99:99", "2021-04-08T10:00+99:00", "2021-04-08T10:60", "2021-13-08T10:00", "2021-04-08T24:00"]
+    assert [str(d) for d in column(good, dates.parse_date)] == ["2021-04-08"] * len(good)
+    assert column(bad, dates.parse_date) == [None] * len(bad)
+
+
+def test_names_shared_and_names_inside_names(column):
+    taxonomy = {"CI": [], "CI/CD": ["Pipelines"], "Build": ["Pipelines"], "Data": [], "Data-Lake": [], "Data Lake House": []}
+    tags = lambda c: skills.extract_skills(c, taxonomy, fuzzy=False)
+    got = column(["we do CI/CD", "only CI", "Pipelines", "a Data-Lake", "the data  lake house"], tags)
+    assert got == [["CI", "CI/CD"], ["CI"], ["CI/CD", "Build"], ["Data", "Data-Lake"], ["Data", "Data Lake House"]]

@@ -1,8 +1,8 @@
 from pyspark.sql import functions as F
 
 from hirelens.functions.html import html_to_text, resolve_url, shred
-from hirelens.sources.comments import parse_comments, split_header
-from hirelens.sources.listing import page_elements, parse_listing, url_allowed
+from hirelens.sources.comments import damaged_lines, parse_comments, read_hits, split_header
+from hirelens.sources.listing import page_elements, parse_listing, read_pages, url_allowed
 
 PAGE = """
 <html><body><!-- <div class="card-content"><h2>no</h2></div> -->
@@ -146,3 +146,19 @@ def test_shred_can_keep_only_some_tags(spark):
     df = spark.createDataFrame([("<div><i>x</i><p>y</p></div>",)], "h string")
     (elements,) = df.select(shred(F.col("h"), ["div", "p"])).first()
     assert [(e.tag, e.seq, e.end_seq) for e in elements] == [("div", 0, 1), ("p", 1, 1)]
+
+
+def test_files_with_equal_names_are_different_pages(spark, tmp_path):
+    for folder, page in (("h2", 1), ("h1", 10), ("h1", 9), ("h1", 1)):
+        (tmp_path / folder).mkdir(exist_ok=True)
+        (tmp_path / folder / f"page{page}.html").write_text(f"<p>{folder} {page}</p>")
+    found = read_pages(spark, str(tmp_path / "*")).orderBy("page_id").collect()
+    assert [r.page_id for r in found] == [0, 1, 2, 3]
+    assert [r.html for r in found] == ["<p>h1 1</p>", "<p>h1 9</p>", "<p>h1 10</p>", "<p>h2 1</p>"]
+
+
+def test_damaged_lines_are_counted(spark, tmp_path):
+    path = tmp_path / "feed.jsonl"
+    path.write_text('{"hits": [{"objectID": "1"}]}\n{"hits": [{"obj\n\n{"hits": []}\n')
+    assert damaged_lines(spark, str(path)) == 1
+    assert read_hits(spark, str(path)).count() == 1
