@@ -21,6 +21,7 @@ def local_session(app: str = "hirelens", cores: str | int = "*", partitions: int
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        .config("spark.hirelens.scanPartitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
     )
     if checkpoint_dir:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from hirelens.sources.tables import read_parquet, spread_scan
@@ -104,9 +106,11 @@ def view(spark: SparkSession, sf_dir: str, name: str, **given: DataFrame) -> Dat
     inputs = {t: given.get(t, table(spark, sf_dir, t)) for t in _INPUTS[name]}
     if name == "raw_postings":
         inputs["orders"] = spread_scan(inputs["orders"])
+    # Names of their own for each call: views of two threads must not meet.
+    call = uuid.uuid4().hex
     for t, df in inputs.items():
-        df.createOrReplaceTempView(f"_bridge_{t}")
-    ctes = ", ".join(f"{t} AS (SELECT * FROM _bridge_{t})" for t in inputs)
+        df.createOrReplaceTempView(f"_bridge_{t}_{call}")
+    ctes = ", ".join(f"{t} AS (SELECT * FROM _bridge_{t}_{call})" for t in inputs)
     return spark.sql(f"WITH {ctes} {sql}")
 
 

@@ -4,26 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A text-heavy scan is worth its own task from about this many stored bytes on.
-BYTES_PER_TASK = 256 * 1024
+# Session setting: into how many partitions scans of text-heavy tables are dealt before the text
+# work. Unset on a cluster, whose files offer enough splits; local sessions over files with a single
+# row group set it, as Parquet can't be split inside a row group.
+SCAN_PARTITIONS = "spark.hirelens.scanPartitions"
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def spread_scan(scan: DataFrame, bytes_per_task: int = BYTES_PER_TASK) -> DataFrame:
-    """Redistribute a plain table scan that offers fewer tasks than there are cores.
-
-    Parquet cannot be split inside a row group, so one big row group means one task for all
-    the text work above it. Tables with at least as many splits as cores - any large one -
-    and tables too small to matter come back unchanged, without a shuffle.
-    """
-    if scan.isStreaming:
-        return scan
-    plan = scan._jdf.queryExecution()
-    size = int(plan.optimizedPlan().stats().sizeInBytes())
-    tasks = min(scan.sparkSession.sparkContext.defaultParallelism, size // bytes_per_task)
-    if tasks <= 1 or plan.toRdd().getNumPartitions() >= tasks:
-        return scan
-    return scan.repartition(tasks)
+def spread_scan(scan: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Redistribute a table scan if ``partitions`` or the session setting says so; streams stay as they are."""
+    wanted = partitions or scan.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return scan if scan.isStreaming or not wanted else scan.repartition(int(wanted))
