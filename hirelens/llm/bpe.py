@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import sliced
+from hirelens.llm.common import gathered, small_batches
 from hirelens.sources.tables import read_parquet
 
 # Text bytes whose distinct words are merged together.
@@ -127,7 +127,7 @@ def word_batches(docs: DataFrame, ranks: RankMap, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = regex.compile(pattern)
-        for batch in sliced(batches, "text", BATCH_BYTES):
+        for batch in gathered(batches, "text", BATCH_BYTES):
             number: defaultdict = defaultdict()
             number.default_factory = number.__len__
             texts = [list(map(number.__getitem__, cut.findall(t or ""))) for t in batch.column("text").to_pylist()]
@@ -154,6 +154,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
     Null and empty texts have no ids. Rows with repeated or null identifiers are encoded like any
     other; columns other than those named are not read.
     """
+    small_batches(docs.sparkSession)
     table = RankMap(ranks)
     named = docs.select((F.col(id_col) if key is None else key).alias("key"), F.col(text_col).alias("text"))
     batches = word_batches(named, table, pattern)

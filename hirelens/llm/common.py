@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.session import shared_dir
@@ -23,6 +23,29 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` texts in this session: Spark counts rows, not bytes, and holds whole batches."""
+    if int(spark.conf.get(ROWS)) > rows:
+        spark.conf.set(ROWS, str(rows))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batches, small ones put together until their texts hold about ``limit`` bytes."""
+    held, size = [], 0
+    for batch in sliced(batches, text, limit):
+        more = int(text_buffer(batch.column(text))[1][-1])
+        if held and size + more > limit:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, size = [], 0
+        held.append(batch)
+        size += more
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def as_binary(column: pa.Array) -> pa.LargeBinaryArray:
     """The UTF-8 bytes of a text column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -63,3 +86,19 @@ def ragged(values: list[list] | list[np.ndarray], kind: pa.DataType) -> pa.ListA
     ends = np.cumsum([0, *(len(v) for v in values)]).astype(np.int32)
     flat = np.concatenate(values) if values and ends[-1] else np.zeros(0)
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat).cast(kind))
+
+
+def bitmap(positions: DataFrame, bits: int) -> np.ndarray:
+    """The positions (one long column) as one packed array of 2^bits bits; its size does not depend on the data."""
+    column = positions.columns[0]
+    # Spark's bitmaps hold 32768 bits each.
+    rows = positions.select((F.col(column) / 32768).cast("long").alias("part"), (F.col(column) % 32768).alias("bit")).groupBy(
+        "part").agg(F.bitmap_construct_agg("bit").alias("held")).toPandas()
+    held = np.zeros((max(1, (1 << bits) // 32768), 4096), dtype=np.uint8)
+    for part, content in zip(rows["part"], rows["held"]):
+        held[part] = np.frombuffer(content, dtype=np.uint8)
+    return held.reshape(-1)
+
+
+def marked(held: np.ndarray, positions: np.ndarray) -> np.ndarray:
+    return (held[positions >> 3] >> (positions & 7).astype(np.uint8)) & 1 == 1

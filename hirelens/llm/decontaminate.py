@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import sliced, text_buffer
+from hirelens.llm.common import sliced, small_batches, text_buffer
 from hirelens.sources.tables import read_parquet
 
 Q = 8
@@ -215,6 +215,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     Rows with repeated or null identifiers are searched like any other. Without items there is no row.
     Other columns are not read. A benchmark larger than ``block_bytes`` takes one pass a block.
     """
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     result = None
     for index in indexes(benchmark, item_col, item_text, probe_bytes, error, least_bytes, block_bytes):
@@ -240,6 +241,7 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
                item_text: str = "text", probe_bytes: int = 100, error: float = 0.1, least_bytes: int = 30,
                block_bytes: int = 4 << 20) -> DataFrame:
     """The rows in which no probe is found, with all their columns and without a shuffle."""
+    small_batches(docs.sparkSession)
     for index in indexes(benchmark, item_col, item_text, probe_bytes, error, least_bytes, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(index)
 

@@ -11,8 +11,9 @@ Regions are split again. By the size window (a distance to the empty set: linked
 most a tenth) into bands, with replicas in the next band; then by a document pivot, the point with the
 fewest rarer shingles: points linked to it are connected through it and need no comparison with each
 other; the others are compared with the points whose distance to the pivot differs by at most 0.1.
-Positions in the ranked sets bound the overlap of any two points before sets are compared. Every
-remaining pair is decided on the full sets.
+Positions in the ranked sets bound the overlap of any two points before sets are compared, and so do 128
+further pivots, hash classes of all shingles: by the triangle inequality two sets differ in at least as
+many shingles as their counts in the classes differ. Every remaining pair is decided on the full sets.
 """
 
 from __future__ import annotations
@@ -24,11 +25,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import ragged, sliced, stored
+from hirelens.llm.common import bitmap, marked, ragged, sliced, small_batches, stored
 from hirelens.llm.words import mix, run_hashes, split_words, word_hashes
 from hirelens.sources.tables import read_parquet
 
-COUNT_BITS = 18
+COUNT_BITS = 16
+# Classes of shingles whose sizes describe a set, and bits of the bitmaps of identifiers and regions.
+SHAPE_BITS, MARK_BITS = 7, 26
+# Text bytes handled at once: their words take many times as much memory.
+SLICE = 3 << 20
+# Sizes of one band differ by at most this factor; the wider it is, the fewer points lie near a band's end.
+BAND = 1.5
 
 
 def shingle_sets(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -56,10 +63,10 @@ def least_overlap(a, b, percent: int):
 
 
 def shingle_counts(narrow: DataFrame, size: int) -> np.ndarray:
-    """How often the shingles of each of 2^18 hash buckets occur in all documents. Fixed size."""
+    """How often the shingles of each of 2^16 hash buckets occur in all documents. Fixed size."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNT_BITS, dtype=np.int64)
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             words, offsets = word_hashes(split_words(batch.column("text"), lower=True))
             total += np.bincount((run_hashes(words, size) >> np.uint64(64 - COUNT_BITS)).astype(np.int64),
                                  minlength=1 << COUNT_BITS)
@@ -73,13 +80,15 @@ def shingle_counts(narrow: DataFrame, size: int) -> np.ndarray:
 
 
 def points(narrow: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """Per document: doc_id, n (set size), two halves of the set's hash, and its first ranked shingles."""
+    """Per document: doc_id, n (set size), two halves of the set's hash, first ranked shingles, counts by class."""
     steps = np.minimum(8 * np.log2(counts + 1.0), 255).astype(np.uint64) << np.uint64(56)
     shared = narrow.sparkSession.sparkContext.broadcast(steps)
 
+    edges = np.arange(1, 1 << SHAPE_BITS, dtype=np.uint64) << np.uint64(64 - SHAPE_BITS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = shared.value
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", SLICE):
             _, sets = shingle_sets(batch, size)
             prefixes = []
             for held in sets:
@@ -92,18 +101,53 @@ def points(narrow: DataFrame, counts: np.ndarray, size: int, percent: int) -> Da
                     for f in (mix, lambda s: mix(s ^ np.uint64(0x5851F42D4C957F2D)))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, sums),
-                 ragged(prefixes, pa.int64())], names=["doc_id", "n", "key_a", "key_b", "pivots"])
+                 ragged(prefixes, pa.int64()),
+                 ragged([np.minimum(np.diff(np.searchsorted(s, edges), prepend=0, append=len(s)), 32767) for s in sets], pa.int16())],
+                names=["doc_id", "n", "key_a", "key_b", "pivots", "shape"])
+
+    return narrow.mapInArrow(run, "doc_id long, n long, key_a long, key_b long, pivots array<long>, shape array<smallint>")
+
+
+def marks(values: DataFrame) -> np.ndarray:
+    """Bitmap of fixed size of the hashes of one column. What it marks beyond them only costs time."""
+    return bitmap(values.select(high_bits(values.columns[0]).alias("at")), MARK_BITS)
+
+
+def high_bits(column: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(column), 64 - MARK_BITS)
+
 
-    return narrow.mapInArrow(run, "doc_id long, n long, key_a long, key_b long, pivots array<long>")
+def members_of(reps: DataFrame) -> DataFrame:
+    """Points in regions with more than one point: region, rep, n, place. Other regions never leave their task."""
+    named = reps.select("rep", "n", F.transform("pivots", lambda p: F.shiftrightunsigned(F.xxhash64(p), 64 - MARK_BITS)).alias("at"), "pivots")
+    shared = named.select(F.explode("pivots").alias("region")).groupBy("region").agg(
+        F.count(F.lit(1)).alias("points")).where("points > 1").select("region")
+    held = named.sparkSession.sparkContext.broadcast(marks(shared))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, places = batch.column("pivots"), batch.column("at")
+            offsets = np.asarray(lists.offsets)
+            rows = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            flat, at = (x.flatten().to_numpy(zero_copy_only=False) for x in (lists, places))
+            keep = np.flatnonzero(marked(held.value, at))
+            row = pa.array(rows[keep])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat[keep]), batch.column("rep").take(row), batch.column("n").take(row),
+                 pa.array((keep - (offsets[:-1] - offsets[0])[rows[keep]]).astype(np.int32))],
+                names=["region", "rep", "n", "place"])
+
+    return named.mapInArrow(run, "region long, rep long, n long, place int")
 
 
 def regions(reps: DataFrame, percent: int) -> DataFrame:
-    """Members of all regions with more than one point: region, band, rep, n, place."""
-    member = reps.select("rep", "n", F.posexplode("pivots").alias("place", "region"))
-    shared = member.groupBy("region").agg(F.count(F.lit(1)).alias("points")).where("points > 1").select("region")
-    held = stored(member.join(shared, "region", "left_semi"), "join-regions")
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(100 / percent))).cast("int")
-    banded = held.withColumn("band", F.explode(F.array(band, band + 1)))
+    """Members of all banded regions with more than one point: region, band, rep, n, place, center."""
+    def band_of(size: Column) -> Column:
+        return F.floor(F.log(size.cast("double")) / F.lit(np.log(BAND)) + 1e-9).cast("int")
+
+    # A point is replicated into the following bands as far as the largest set linked to it can lie there.
+    bands = F.sequence(band_of(F.col("n")), band_of(F.col("n") * 100 / percent + 1))
+    banded = stored(members_of(reps).withColumn("band", F.explode(bands)), "join-regions")
     center = banded.groupBy("region", "band").agg(
         F.min(F.struct("place", "rep", "n")).alias("center"), F.count(F.lit(1)).alias("points")).where("points > 1")
     return stored(banded.join(center.drop("points"), ["region", "band"]), "join-bands")
@@ -119,6 +163,15 @@ def pairs_of(one: Column, other: Column) -> list[Column]:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
+def alike(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose counts by class differ by no more than linked sets may."""
+    shapes = reps.select("rep", "n", "shape")
+    both = (pairs.join(shapes.toDF("a", "n_a", "shape_a"), "a").join(shapes.toDF("b", "n_b", "shape_b"), "b"))
+    apart = F.aggregate(F.zip_with("shape_a", "shape_b", lambda x, y: F.abs(x - y)), F.lit(0), lambda total, x: total + x)
+    most = F.col("n_a") + F.col("n_b") - 2 * least_overlap(F.col("n_a"), F.col("n_b"), percent)
+    return both.where(apart <= most).select("a", "b").distinct()
+
+
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) with their Jaccard similarity and whether it is enough, from the full sets."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("held").alias("held_a"))
@@ -135,7 +188,8 @@ def links(narrow: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFr
     is_center = F.col("rep") == F.col("center.rep")
     near = may_link(F.col("n"), F.col("place"), F.col("center.n"), F.col("center.place"), percent)
     members = found.where(~is_center).withColumn("reaches", near)
-    star = stored(members.where("reaches").select(*pairs_of(F.col("rep"), F.col("center.rep"))).distinct(), "join-star")
+    star = members.where("reaches").select(*pairs_of(F.col("rep"), F.col("center.rep"))).distinct()
+    star = stored(star, "join-star")
     # Points that can't be linked to their region's pivot are compared with whatever else can be linked to them.
     apart = members.where("NOT reaches").select("region", "band", "rep", "n", "place")
     others = members.select("region", "band", F.col("rep").alias("rep2"), F.col("n").alias("n2"),
@@ -145,34 +199,44 @@ def links(narrow: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFr
         fits & (F.col("rep") != F.col("rep2")) & (F.col("reaches") | (F.col("rep") < F.col("rep2"))))
     loose = stored(loose.select(*pairs_of(F.col("rep"), F.col("rep2"))).distinct().join(star, ["a", "b"], "left_anti"),
                    "join-loose")
-    sets = stored(_sets(narrow, star.unionByName(loose), size), "join-sets")
-    first = stored(verified(star.unionByName(loose), sets, percent), "join-verified")
+    near_pairs = stored(alike(star.unionByName(loose), reps, percent), "join-alike")
+    sets = stored(_sets(narrow, near_pairs, size), "join-sets")
+    first = stored(verified(near_pairs, sets, percent), "join-verified")
     # Within reach of the pivot: linked points are connected through it, the others recur with a window.
     seen = members.where("reaches").select("region", "band", "rep", "n", "place", *pairs_of(F.col("rep"), F.col("center.rep")))
-    seen = seen.join(first, ["a", "b"]).select("region", "band", "rep", "n", "place", "similar", "linked")
+    # Pairs that fell to the class counts are as far apart as any: their similarity stays unknown.
+    seen = seen.join(first, ["a", "b"], "left").select("region", "band", "rep", "n", "place", "similar",
+                                                      F.coalesce("linked", F.lit(False)).alias("linked"))
     far = seen.where("NOT linked").drop("linked")
     rest = seen.select("region", "band", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("place").alias("place2"),
                        F.col("similar").alias("similar2"), "linked")
-    window = F.abs(F.col("similar") - F.col("similar2")) <= F.lit(1 - percent / 100 + 1e-9)
+    window = F.coalesce(F.abs(F.col("similar") - F.col("similar2")) <= F.lit(1 - percent / 100 + 1e-9), F.lit(True))
     again = far.join(rest, ["region", "band"]).where(
         fits & window & (F.col("rep") != F.col("rep2")) & (F.col("linked") | (F.col("rep") < F.col("rep2"))))
-    again = again.select(*pairs_of(F.col("rep"), F.col("rep2"))).distinct().join(first, ["a", "b"], "left_anti")
-    second = verified(stored(again, "join-again"), sets, percent)
+    again = again.select(*pairs_of(F.col("rep"), F.col("rep2"))).distinct().join(near_pairs, ["a", "b"], "left_anti")
+    again = stored(alike(stored(again, "join-again"), reps, percent), "join-again-alike")
+    second = verified(again, stored(_sets(narrow, again, size), "join-again-sets"), percent)
     return stored(first.unionByName(second).where("linked").select("a", "b"), "join-links")
 
 
 def _sets(narrow: DataFrame, pairs: DataFrame, size: int) -> DataFrame:
-    """Shingle sets of the points in some pair, from the texts."""
+    """Shingle sets of the points in some pair (and of a few others), from the texts.
+
+    The points are marked in a bitmap of fixed size, so that no text is shuffled. An identifier that
+    repeats has a row for each of its texts: its links are those of any of them.
+    """
+    shared = narrow.sparkSession.sparkContext.broadcast(marks(pairs.select(F.explode(F.array("a", "b")))))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text"):
-            _, sets = shingle_sets(batch, size)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), ragged([s.view(np.int64) for s in sets], pa.int64())], names=["doc_id", "held"])
+        for batch in batches:
+            chosen = marked(shared.value, batch.column("at").to_numpy())
+            for part in sliced([batch.filter(pa.array(chosen))], "text", SLICE):
+                _, sets = shingle_sets(part, size)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), ragged([s.view(np.int64) for s in sets], pa.int64())], names=["doc_id", "held"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    # One text speaks for a repeated identifier.
-    held = narrow.join(wanted, "doc_id", "left_semi").mapInArrow(run, "doc_id long, held array<long>")
-    return held.groupBy("doc_id").agg(F.max("held").alias("held"))
+    known = narrow.where(F.col("doc_id").isNotNull()).select("doc_id", "text", high_bits("doc_id").alias("at"))
+    return known.mapInArrow(run, "doc_id long, held array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -201,6 +265,19 @@ def components(edges: DataFrame) -> DataFrame:
     return nodes.unionByName(current.select(F.col("low").alias("node"), F.col("low").alias("component")).distinct())
 
 
+def _rows_of(sets: DataFrame, reps: DataFrame) -> DataFrame:
+    """The points of the representatives (and of a few others), without a shuffle of their pivots."""
+    held = sets.sparkSession.sparkContext.broadcast(marks(reps.select("rep")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chosen = marked(held.value, batch.column("at").to_numpy())
+            yield batch.drop_columns(["at"]).filter(pa.array(chosen))
+
+    named = sets.select(F.col("doc_id").alias("rep"), "n", "pivots", "shape", high_bits("doc_id").alias("at"))
+    return named.mapInArrow(run, "rep long, n long, pivots array<long>, shape array<smallint>")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
                        percent: int = 90) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest identifier reachable by links).
@@ -210,12 +287,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     is linked to one is linked to all. An empty table gives no rows; other columns are not read.
     """
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    small_batches(docs.sparkSession)
     known = stored(points(narrow, shingle_counts(narrow, size), size, percent), "join-points")
     key = ["key_a", "key_b", "n"]
     sets = known.where((F.col("n") > 0) & F.col("doc_id").isNotNull())
-    reps = stored(sets.groupBy(*key).agg(F.min(F.struct("doc_id", "pivots")).alias("first")).select(
-        *key, F.col("first.doc_id").alias("rep"), F.col("first.pivots").alias("pivots")), "join-reps")
-    found = links(narrow, reps, size, percent)
+    reps = stored(sets.groupBy(*key).agg(F.min("doc_id").alias("rep")), "join-reps")
+    found = links(narrow, _rows_of(sets, reps), size, percent)
     # A repeated identifier ties its sets together, too.
     repeated = sets.groupBy("doc_id").agg(F.count_distinct("key_a", "key_b", "n").alias("sets")).where("sets > 1")
     ties = sets.join(repeated.select("doc_id"), "doc_id").join(reps.select(*key, "rep"), key).select(
@@ -251,3 +328,27 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's set size and component under links of at least 0.9."""
     return jaccard_components(read_parquet(spark, f"{sf_dir}/documents.parquet"))
+
+
+JACCARD_JOIN_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS shingle
+  FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, least(len(words), 1)) + 1)) AS i FROM d)
+), n AS (
+  SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id
+), links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b USING (shingle) JOIN n x ON x.doc_id = a.doc_id JOIN n y ON y.doc_id = b.doc_id
+  WHERE a.doc_id <> b.doc_id AND 10 * x.n_shingles >= 9 * y.n_shingles AND 10 * y.n_shingles >= 9 * x.n_shingles
+  GROUP BY a.doc_id, b.doc_id, x.n_shingles, y.n_shingles
+  HAVING 100 * count(*) >= 90 * (x.n_shingles + y.n_shingles - count(*))
+), reach AS (
+  SELECT a AS node, a AS other FROM links
+  UNION
+  SELECT node, b AS other FROM reach JOIN links ON a = other
+)
+SELECT doc_id, coalesce(n_shingles, 0) AS n_shingles, coalesce(least, doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node AS doc_id, min(other) AS least FROM reach GROUP BY node) USING (doc_id)
+"""

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import remainder, sliced, text_buffer
+from hirelens.llm.common import remainder, sliced, small_batches, text_buffer
 from hirelens.sources.tables import read_parquet
 
 WINDOW = 96
@@ -237,6 +237,7 @@ def identify(docs: DataFrame, net: Network | None, text_col: str = "text") -> Da
     there is no network, are ``und`` with score 0. A column that is already called lang_pred or
     score is replaced.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(net)
     has_letter = F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("has_letter")
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]

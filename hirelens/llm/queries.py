@@ -5,13 +5,13 @@ from __future__ import annotations
 from hirelens.llm.bpe import bpe
 from hirelens.llm.decontaminate import decontamination
 from hirelens.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
-from hirelens.llm.jaccard_join import jaccard_join
+from hirelens.llm.jaccard_join import JACCARD_JOIN_SQL, jaccard_join
 from hirelens.llm.language_id import language_id
-from hirelens.llm.substring_dedup import substring_dedup
+from hirelens.llm.substring_dedup import SUBSTRING_DEDUP_SQL, substring_dedup
 from hirelens.llm.token_counts import token_counts
 from hirelens.llm.toxicity import toxicity
 from hirelens.llm.url_rules import url_rules
-from hirelens.llm.warc import warc
+from hirelens.llm.warc import WARC_SQL, warc
 
 QUERIES = {
     "op1_language_id": language_id,
@@ -27,5 +27,8 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op4_warc": WARC_SQL,
     "op5_exact_dedup": EXACT_DEDUP_SQL,
+    "op9_substring_dedup": SUBSTRING_DEDUP_SQL,
+    "op10_jaccard_join": JACCARD_JOIN_SQL,
 }

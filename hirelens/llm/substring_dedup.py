@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import ragged, sliced, stored
+from hirelens.llm.common import bitmap, marked, ragged, sliced, small_batches, stored
 from hirelens.llm.words import MULTIPLIER, mix, run_hashes, split_words, word_hashes
 from hirelens.sources.tables import read_parquet
 
@@ -82,22 +82,6 @@ def place_bits(doc_id: np.ndarray, variant: np.ndarray, start: np.ndarray) -> np
     return (mix(code + start.astype(np.uint64) * MULTIPLIER) >> np.uint64(64 - ANCHOR_BITS)).astype(np.int64)
 
 
-def bitmap(positions: DataFrame, bits: int) -> np.ndarray:
-    """The positions (one long column) as one packed array of 2^bits bits; its size does not depend on the data."""
-    column = positions.columns[0]
-    # Spark's bitmaps hold 32768 bits each.
-    rows = positions.select((F.col(column) / 32768).cast("long").alias("part"), (F.col(column) % 32768).alias("bit")).groupBy(
-        "part").agg(F.bitmap_construct_agg("bit").alias("held")).toPandas()
-    held = np.zeros((max(1, (1 << bits) // 32768), 4096), dtype=np.uint8)
-    for part, content in zip(rows["part"], rows["held"]):
-        held[part] = np.frombuffer(content, dtype=np.uint8)
-    return held.reshape(-1)
-
-
-def marked(held: np.ndarray, positions: np.ndarray) -> np.ndarray:
-    return (held[positions >> 3] >> (positions & 7).astype(np.uint8)) & 1 == 1
-
-
 def high_bits(column: str, bits: int) -> Column:
     return F.shiftrightunsigned(F.col(column), 64 - bits)
 
@@ -290,6 +274,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     if window < ANCHOR:
         raise ValueError(f"a window has at least {ANCHOR} words")
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text_col)).alias("variant"),
                          F.col(text_col).alias("text"))
     gone = spans(narrow, window).groupBy("doc_id", "variant").agg(
@@ -314,3 +299,23 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words, how many are removed, and a digest of what is kept."""
     found = dedup_substrings(read_parquet(spark, f"{sf_dir}/documents.parquet"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+SUBSTRING_DEDUP_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), w AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i + 19], ' ')) AS held
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d)
+), r AS (
+  SELECT doc_id, i, row_number() OVER (PARTITION BY held ORDER BY doc_id, i) > 1 AS again FROM w
+), gone AS (
+  SELECT doc_id, list(DISTINCT j) AS places FROM (SELECT doc_id, unnest(range(i, i + 20)) AS j FROM r WHERE again) GROUP BY doc_id
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS text
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS j FROM d)
+  ANTI JOIN (SELECT doc_id, unnest(places) AS j FROM gone) USING (doc_id, j) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

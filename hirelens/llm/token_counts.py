@@ -18,7 +18,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import as_binary, sliced
+from hirelens.llm.common import as_binary, sliced, small_batches
 from hirelens.sources.tables import read_parquet
 
 NONE = np.int32(2**31 - 1)
@@ -180,6 +180,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, pattern: str = public_to
     token each, as the file's library does by default. Rows with null or repeated identifiers
     are counted as they are; further columns are not read, so their names can't clash.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(vocabulary_path))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

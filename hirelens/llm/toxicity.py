@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hirelens.llm.common import ragged, remainder, sliced, stored, text_buffer
+from hirelens.llm.common import ragged, remainder, sliced, small_batches, stored, text_buffer
 from hirelens.sources.tables import read_parquet
 
 BITS = 22
@@ -220,6 +220,7 @@ def score_texts(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
 
     Identifiers are handed through, null or repeated; other columns are not read.
     """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

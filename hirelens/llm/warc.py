@@ -240,3 +240,20 @@ def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     responses = narrow.where(F.col("refers_urn").isNull()).withColumn("refers_to", F.lit(None).cast("long"))
     revisits = narrow.where(F.col("refers_urn").isNotNull()).join(originals, "refers_urn", "left")
     return responses.select(shown).unionByName(revisits.select(shown))
+
+
+WARC_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS hexed FROM pages
+), d AS (
+  SELECT page_id, octet_length(encode(payload)) AS payload_bytes,
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST((CAST('0x' || substr(hexed, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS BIGINT) + 1, 1)), '')
+           AS payload_digest,
+         min(page_id) OVER (PARTITION BY payload) AS first
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
