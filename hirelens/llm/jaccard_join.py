@@ -29,7 +29,7 @@ from hirelens.llm.common import bitmap, marked, ragged, sliced, small_batches, s
 from hirelens.llm.words import mix, run_hashes, split_words, word_hashes
 from hirelens.sources.tables import read_parquet
 
-COUNT_BITS = 16
+COUNT_BITS = 18
 # Classes of shingles whose sizes describe a set, and bits of the bitmaps of identifiers and regions.
 SHAPE_BITS, MARK_BITS = 7, 26
 # Text bytes handled at once: their words take many times as much memory.
@@ -63,7 +63,7 @@ def least_overlap(a, b, percent: int):
 
 
 def shingle_counts(narrow: DataFrame, size: int) -> np.ndarray:
-    """How often the shingles of each of 2^16 hash buckets occur in all documents. Fixed size."""
+    """How often the shingles of each of 2^18 hash buckets occur in all documents. Fixed size."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1 << COUNT_BITS, dtype=np.int64)
         for batch in sliced(batches, "text", SLICE):
