@@ -25,7 +25,7 @@ from hirelens.llm.common import gathered, small_batches
 from hirelens.sources.tables import read_parquet
 
 # Text bytes whose distinct words are merged together.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 ID_BITS = 20
 NO_PAIR = 1 << ID_BITS
 
