@@ -306,12 +306,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return full.unionByName(empty)
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
     """One row of each component, the one with the smallest identifier, with all its columns.
 
     Rows without words or identifier all stay. Of rows that repeat an identifier one stays.
     """
-    found = stored(jaccard_components(docs, id_col, text_col).where(F.col("doc_id").isNotNull()), "join-result")
+    found = stored(jaccard_components(docs, id_col, text_col, size, percent).where(F.col("doc_id").isNotNull()), "join-result")
     leaving = found.where((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select(
         F.col("doc_id").alias(id_col)).distinct()
     staying = docs.join(leaving, id_col, "left_anti")
