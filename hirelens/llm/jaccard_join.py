@@ -325,6 +325,32 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return staying.join(again, id_col, "left_anti").unionByName(one.select(*docs.columns))
 
 
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """A file-backed frame with a long that names each row for good: number of its file, then index in the file."""
+    spark = docs.sparkSession
+    paths = sorted(r.path for r in docs.select(F.col("_metadata.file_path").alias("path")).distinct().collect())
+    files = spark.createDataFrame(list(enumerate(paths)), "__file long, __path string")
+    placed = docs.withColumns({"__path": F.col("_metadata.file_path"), "__index": F.col("_metadata.row_index")})
+    number = F.shiftleft("__file", 40).bitwiseOR(F.col("__index")).alias(name)
+    return placed.join(F.broadcast(files), "__path").select(*docs.columns, number)
+
+
+def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
+    """The rows of a file-backed frame that stay, with all their columns: one of each group of linked texts.
+
+    Rows are documents of their own, whatever their identifiers: only texts link them. The row with the
+    smallest identifier stays (null last), then the first by file and place. Rows without words all stay.
+    """
+    rows = numbered(docs, "__row")
+    found = stored(jaccard_components(rows, "__row", text_col, size, percent).where("n_shingles > 0")
+                   .select(F.col("doc_id").alias("__row"), "component_id"), "join-result")
+    order = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("named"), F.col("__row").alias("row"))
+    first = found.join(rows.select("__row", order.alias("order")), "__row").groupBy("component_id").agg(
+        F.min("order").alias("order")).select(F.col("order.row").alias("__row"))
+    leaving = stored(found.select("__row").join(first, "__row", "left_anti"), "join-leaving")
+    return rows.join(leaving, "__row", "left_anti").select(*docs.columns)
+
+
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's set size and component under links of at least 0.9."""
     return jaccard_components(read_parquet(spark, f"{sf_dir}/documents.parquet"))
