@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hirelens.llm.common import remainder, sliced, small_batches, text_buffer
@@ -202,25 +202,30 @@ def document_scores(net: Network, texts: pa.Array) -> np.ndarray:
 
 def labelled_sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str, per_language: int,
                     excerpt: int) -> list[tuple[str, str]]:
-    """(language, excerpt) of about ``per_language`` rows a language, at most twice as many, drawn by a hash.
+    """(language, excerpt) of at most ``per_language`` rows of each language, those with the smallest hashes.
 
-    The excerpt starts at a hashed place of the text, so training sees all parts of texts.
+    The hash is of identifier and text, so null or repeated identifiers draw like others; rows equal in
+    both count once. The excerpt starts at a hashed place of the text, so training sees all parts of texts.
     """
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    named = docs.where(F.col(lang_col).isNotNull()).groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    sizes = {r.lang: r.n for r in named.collect()}
-    draw = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(1 << 30)) / (1 << 30)
-    begin = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(7)), F.greatest(F.length(text_col) - excerpt, F.lit(0)) + 1)
-    rows: list[tuple[str, str]] = []
+    draw = F.xxhash64(F.col(id_col).cast("string"), F.col(text_col))
+    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}")).select(
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), draw.alias("draw"))
+    named = known.groupBy("lang").agg(F.approx_count_distinct("draw").alias("n"))
+    share = F.pmod("draw", F.lit(1 << 30)) / (1 << 30)
     wanted = None
-    for lang, n in sorted(sizes.items()):
-        part = (F.col(lang_col) == lang) & (draw < per_language / n)
+    for lang, n in sorted((r.lang, r.n) for r in named.collect()):
+        # Twice the rows wanted, as their number is only about known.
+        part = (F.col("lang") == lang) & (share < 2 * per_language / max(n, 1))
         wanted = part if wanted is None else wanted | part
-    if wanted is not None:
-        shown = known.where(wanted).select(
-            F.col(lang_col).alias("lang"), F.substring(F.col(text_col), begin.cast("int") + 1, F.lit(excerpt)).alias("text"))
-        rows = [(r.lang, r.text) for r in shown.limit(2 * per_language * len(sizes)).collect()]
-    return sorted(rows)
+    if wanted is None:
+        return []
+    begin = F.pmod(F.xxhash64("draw", F.lit(7)), F.greatest(F.length("text") - excerpt, F.lit(0)) + 1)
+    shown = known.where(wanted).select(
+        "lang", share.alias("share"), "draw", F.substring("text", begin.cast("int") + 1, F.lit(excerpt)).alias("text"))
+    once = shown.groupBy("lang", "share", "draw").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("share", "draw"))
+    rows = once.withColumn("place", place).where(F.col("place") <= per_language).collect()
+    return sorted((r.lang, r.text) for r in rows)
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
