@@ -5,7 +5,12 @@ Benchmark items are cut into overlapping probes. A text region within k edits of
 shares at least m + 1 - q (k + 1) of its q-grams, all within k + 1 neighbouring diagonals (text
 position minus probe position). So shared q-grams are counted in diagonal bands that overlap such
 that every k + 1 diagonals lie inside one band; bands under the bound fall away, the others are
-verified by an alignment limited to the band. No match is lost, and none is reported unverified.
+verified by an alignment limited to the band. No probe within its edits is lost, and none is reported
+unverified.
+
+A document that quotes less than a probe is found by its verbatim runs: an item's q-grams at every
+SEED-th place are seeds, one of which lies in every run of RUN_WORDS words, and each shared seed is extended
+on both sides. Items too short for probes are found as whole words.
 """
 
 from __future__ import annotations
@@ -23,10 +28,14 @@ from hirelens.sources.tables import read_parquet
 
 Q = 8
 FILTER_BITS = 22
+# A verbatim run of so many whole words or canonical bytes counts as part of an item; words have a letter at least.
+RUN_WORDS, RUN_BYTES = 13, 60
+SEED = 2 * RUN_WORDS - 1 - Q + 1
 SPACE = 32
 CANON = np.arange(256, dtype=np.uint8)
 CANON[65:91] += 32
 CANON[[b for b in range(128) if not chr(b).isalnum()]] = SPACE
+# Without a probe (null) and edits: a verbatim run of an item of which no probe is found, or a short item.
 FOUND = "doc_id long, item_id long, probe int, probes int, edits int, start long, stop long"
 
 
@@ -72,19 +81,30 @@ class Index:
     probes: np.ndarray
     places: np.ndarray
     wanted: np.ndarray
+    seeds: np.ndarray      # of codes: whether a verbatim run is looked for from here
+    content: np.ndarray    # canonical bytes of all items with probes
+    spans: np.ndarray      # of probes: where the item begins and ends in content, and the probe begins
+    begins: np.ndarray     # where words begin in content
+    ends: np.ndarray
+    short: list[tuple[int, bytes]]  # items without probes
 
     @classmethod
     def build(cls, items: list[tuple[int, str | None]], probe_bytes: int, error: float, least_bytes: int) -> "Index":
-        found = []
+        found, spans, held, size, short = [], [], [], 0, []
         for item, text in items:
             content = np.frombuffer((text or "").encode(), dtype=np.uint8)
             letters = canonical(content, np.array([0, len(content)]))[0]
             if len(letters) < max(least_bytes, Q):
+                short.append((item, letters.tobytes().strip()))
                 continue
             starts = list(range(0, max(len(letters) - probe_bytes, 0) + 1, probe_bytes // 2))
             if starts[-1] + probe_bytes < len(letters):
                 starts.append(len(letters) - probe_bytes)
             found += [(item, k, len(starts), letters[s:s + probe_bytes]) for k, s in enumerate(starts)]
+            spans += [(size, size + len(letters), size + s) for s in starts]
+            # A space between items, so that no word goes on in the next one.
+            held += [letters, np.array([SPACE], np.uint8)]
+            size += len(letters) + 1
         sizes = np.array([len(f[3]) for f in found], dtype=np.int64)
         letters = np.zeros((len(found), probe_bytes), dtype=np.uint8)
         for k, f in enumerate(found):
@@ -94,32 +114,47 @@ class Index:
         codes = np.concatenate([np.zeros(0, np.uint64), *grams])
         probes = np.repeat(np.arange(len(found)), [len(g) for g in grams])
         places = np.concatenate([np.zeros(0, np.int64), *(np.arange(len(g)) for g in grams)])
+        spans = np.array(spans, dtype=np.int64).reshape(-1, 3)
+        at = spans[probes, 2] + places
+        seeds = (at - spans[probes, 0]) % SEED == 0
+        seeds[seeds] = np.arange(seeds.sum()) == np.unique(at[seeds], return_index=True)[1][
+            np.unique(at[seeds], return_inverse=True)[1]]
+        content = np.concatenate([np.zeros(0, np.uint8), *held])
+        letter = np.r_[False, content != SPACE, False]
         order = np.argsort(codes, kind="stable")
         wanted = np.zeros(1 << FILTER_BITS, dtype=bool)
         wanted[_buckets(codes)] = True
         column = lambda k: np.array([f[k] for f in found], dtype=np.int64)
         return cls(column(0), column(1), column(2), letters, sizes, budgets, sizes + 1 - Q * (budgets + 1),
-                   codes[order], probes[order], places[order], wanted)
+                   codes[order], probes[order], places[order], wanted, seeds[order], content, spans,
+                   np.flatnonzero(~letter[:-1] & letter[1:]), np.flatnonzero(letter[:-1] & ~letter[1:]),
+                   sorted({(item, text) for item, text in short if text}))
 
-    def hits(self, codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(text place, probe, probe place) of every shared q-gram."""
+    def hits(self, codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(text place, entry) of every shared q-gram."""
         low, high = np.searchsorted(self.codes, codes), np.searchsorted(self.codes, codes, side="right")
         many = high - low
         entry = np.repeat(low - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
-        return np.repeat(at, many), self.probes[entry], self.places[entry]
+        return np.repeat(at, many), entry
 
 
-def candidates(index: Index, letters: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, probe, first diagonal) of the bands with enough shared q-grams."""
+def shared_qgrams(index: Index, letters: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, text place, entry of the index) of every shared q-gram."""
     codes = qgrams(letters)
     at = np.flatnonzero(index.wanted[_buckets(codes)])
     rows = np.searchsorted(offsets, at, side="right") - 1
     inside = at + Q <= offsets[rows + 1]
     at = at[inside]
-    place, probe, offset = index.hits(codes[at], at)
+    place, entry = index.hits(codes[at], at)
+    return np.searchsorted(offsets, place, side="right") - 1, place, entry
+
+
+def candidates(index: Index, offsets: np.ndarray, rows: np.ndarray, place: np.ndarray,
+               entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, probe, first diagonal) of the bands with enough shared q-grams."""
     if not len(place):
         return (np.zeros(0, np.int64),) * 3
-    rows = np.searchsorted(offsets, place, side="right") - 1
+    probe, offset = index.probes[entry], index.places[entry]
     # Diagonals are counted from the text's own start, shifted so that none is negative.
     diagonal = place - offsets[rows] - offset + index.letters.shape[1]
     stride = index.budgets[probe] + 1
@@ -171,11 +206,98 @@ def align(index: Index, letters: np.ndarray, offsets: np.ndarray, rows: np.ndarr
     return last_cost[pick, at], base + start, base + stop
 
 
+def runs(index: Index, letters: np.ndarray, offsets: np.ndarray, rows: np.ndarray, place: np.ndarray,
+         entry: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, probe, start, stop) of verbatim runs of enough words or bytes; the probe names the item."""
+    seed = index.seeds[entry]
+    rows, place, entry = rows[seed], place[seed], entry[seed]
+    probe = index.probes[entry]
+    at = index.spans[probe, 2] + index.places[entry]
+    # Seeds stand closer than RUN_BYTES, so a longer run is pieced together by the next ones.
+    low = -np.minimum(np.minimum(place - offsets[rows], at - index.spans[probe, 0]), RUN_BYTES)
+    high = np.minimum(np.minimum(offsets[rows + 1] - place, index.spans[probe, 1] - at), Q + RUN_BYTES)
+    start, stop = np.zeros(len(at), np.int64), np.full(len(at), Q)
+    for edge, step, bound in ((stop, 1, high), (start, -1, low)):
+        going = np.flatnonzero(edge != bound)
+        while len(going):
+            ahead = edge[going] if step > 0 else edge[going] - 1
+            going = going[letters[place[going] + ahead] == index.content[at[going] + ahead]]
+            edge[going] += step
+            going = going[edge[going] != bound[going]]
+    words = np.searchsorted(index.ends, at + stop, side="right") - np.searchsorted(index.begins, at + start)
+    keep = (words >= RUN_WORDS) | (stop - start >= RUN_BYTES)
+    return rows[keep], probe[keep], (place + start)[keep], (place + stop)[keep]
+
+
+def short_items(index: Index, letters: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(row, number in index.short, start, stop) of every short item that occurs as whole words."""
+    none = (np.zeros(0, np.int64),) * 4
+    if not index.short or not len(letters):
+        return none
+    edge = letters == SPACE
+    first = np.zeros(len(letters) + 1, dtype=bool)
+    first[offsets] = True
+    begins = np.flatnonzero(~edge & (first[:-1] | np.r_[True, edge[:-1]]))
+    rows = np.searchsorted(offsets, begins, side="right") - 1
+    codes = qgrams(np.r_[letters, np.zeros(Q - 1, np.uint8)])[begins]
+    parts = [none]
+    for size in sorted({len(text) for _, text in index.short}):
+        numbers = np.array([k for k, (_, text) in enumerate(index.short) if len(text) == size])
+        wide = np.array([list(index.short[k][1].ljust(Q, b"\0")) for k in numbers], dtype=np.uint8)
+        spare = np.uint64(8 * (Q - min(size, Q)))
+        keys = qgrams(wide[:, :Q].reshape(-1))[::Q] >> spare
+        order = np.argsort(keys, kind="stable")
+        whole = begins + size <= offsets[rows + 1]
+        whole &= first[np.minimum(begins + size, len(letters))] | edge[np.minimum(begins + size, len(letters) - 1)]
+        at, row, code = begins[whole], rows[whole], codes[whole] >> spare
+        low, high = np.searchsorted(keys[order], code), np.searchsorted(keys[order], code, side="right")
+        many = high - low
+        pick = order[np.repeat(low - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())] if len(at) else numbers[:0]
+        at, row = np.repeat(at, many), np.repeat(row, many)
+        same = (letters[at[:, None] + np.arange(size)] == wide[pick, :size]).all(axis=1)
+        parts.append((row[same], numbers[pick[same]], at[same], at[same] + size))
+    return tuple(np.concatenate(p) for p in zip(*parts))
+
+
 def matches(index: Index, texts: pa.Array, at_once: int = 4096) -> tuple[np.ndarray, ...]:
     """(row, probe, edits, start, stop) of every probe found; places are bytes of the original text."""
+    return search(index, texts, at_once)[0]
+
+
+def search(index: Index, texts: pa.Array, at_once: int = 4096) -> tuple[tuple[np.ndarray, ...], tuple[np.ndarray, ...]]:
+    """The probes found (see ``matches``), and (row, item, probes, start, stop) of items found without any of their probes."""
     content, offsets = text_buffer(texts)
     letters, origin, inner = canonical(content, offsets)
-    rows, probe, first = candidates(index, letters, inner)
+    shared = shared_qgrams(index, letters, inner)
+    origin_end = np.r_[origin, len(content)]
+    probed = _probes(index, letters, inner, shared, at_once)
+    run_rows, run_probe, run_start, run_stop = runs(index, letters, inner, *shared)
+    short_rows, number, short_start, short_stop = short_items(index, letters, inner)
+    rows = np.concatenate([run_rows, short_rows])
+    items = np.concatenate([index.items[run_probe], np.array([i for i, _ in index.short], dtype=np.int64)[number]])
+    counts = np.concatenate([index.counts[run_probe], np.zeros(len(number), np.int64)])
+    start, stop = np.concatenate([run_start, short_start]), np.concatenate([run_stop, short_stop])
+
+    def original(rows: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return origin_end[start] - offsets[rows], origin_end[np.maximum(stop - 1, start)] + 1 - offsets[rows]
+
+    # One row a document and item: the first place to the last.
+    order = np.lexsort((start, items, rows))
+    rows, items, counts, start, stop = (x[order] for x in (rows, items, counts, start, stop))
+    if len(rows):
+        begin = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (items[1:] != items[:-1])])
+        rows, items, counts, start, stop = rows[begin], items[begin], np.maximum.reduceat(counts, begin), start[begin], np.maximum.reduceat(stop, begin)
+        seen = set(zip(probed[0].tolist(), index.items[probed[1]].tolist()))
+        new = np.array([pair not in seen for pair in zip(rows.tolist(), items.tolist())])
+        rows, items, counts, start, stop = (x[new] for x in (rows, items, counts, start, stop))
+    found = (*probed[:3], *original(probed[0], *probed[3:]))
+    return found, (rows, items, counts, *original(rows, start, stop))
+
+
+def _probes(index: Index, letters: np.ndarray, inner: np.ndarray, shared: tuple[np.ndarray, ...],
+            at_once: int) -> tuple[np.ndarray, ...]:
+    """(row, probe, edits, start, stop) of every probe found; places are canonical bytes of the batch."""
+    rows, probe, first = candidates(index, inner, *shared)
     parts = []
     for k in range(0, len(rows), at_once):
         part = slice(k, k + at_once)
@@ -190,8 +312,7 @@ def matches(index: Index, texts: pa.Array, at_once: int = 4096) -> tuple[np.ndar
     rows, probe, edits, start, stop = (x[order] for x in (rows, probe, edits, start, stop))
     keep = np.r_[True, (rows[1:] != rows[:-1]) | (probe[1:] != probe[:-1])][:len(rows)]
     rows, probe, edits, start, stop = (x[keep] for x in (rows, probe, edits, start, stop))
-    origin = np.r_[origin, len(content)]
-    return rows, probe, edits, origin[start] - offsets[rows], origin[np.maximum(stop - 1, start)] + 1 - offsets[rows]
+    return rows, probe, edits, start, stop
 
 
 def indexes(benchmark: DataFrame, item_col: str, text_col: str, probe_bytes: int, error: float, least_bytes: int,
@@ -209,9 +330,10 @@ def indexes(benchmark: DataFrame, item_col: str, text_col: str, probe_bytes: int
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
          item_text: str = "text", probe_bytes: int = 100, error: float = 0.1, least_bytes: int = 30,
          block_bytes: int = 4 << 20) -> DataFrame:
-    """One row per document row and probe found: FOUND. Probes overlap by half.
+    """One row per document row and probe found, or item found without a probe: FOUND. Probes overlap by half.
 
-    Null and empty texts match nothing; items under ``least_bytes`` canonical bytes have no probe.
+    Null and empty texts match nothing. Items under ``least_bytes`` canonical bytes have no probe and must
+    occur as whole words; of others a verbatim run of RUN_WORDS words or RUN_BYTES bytes suffices.
     Rows with repeated or null identifiers are searched like any other. Without items there is no row.
     Other columns are not read. A benchmark larger than ``block_bytes`` takes one pass a block.
     """
@@ -228,11 +350,13 @@ def _finder(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text", 4 << 20):
             index = shared.value
-            rows, probe, edits, start, stop = matches(index, batch.column("text"))
+            (rows, probe, edits, start, stop), (others, items, counts, begin, end) = search(index, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(rows)), pa.array(index.items[probe]),
-                 pa.array(index.numbers[probe].astype(np.int32)), pa.array(index.counts[probe].astype(np.int32)),
-                 pa.array(edits.astype(np.int32)), pa.array(start), pa.array(stop)],
+                [batch.column("doc_id").take(pa.array(np.r_[rows, others])), pa.array(np.r_[index.items[probe], items]),
+                 pa.concat_arrays([pa.array(index.numbers[probe].astype(np.int32)), pa.nulls(len(others), pa.int32())]),
+                 pa.array(np.r_[index.counts[probe], counts].astype(np.int32)),
+                 pa.array(np.r_[edits, np.zeros(len(others), np.int64)].astype(np.int32)),
+                 pa.array(np.r_[start, begin]), pa.array(np.r_[stop, end])],
                 names=["doc_id", "item_id", "probe", "probes", "edits", "start", "stop"])
     return run
 
@@ -240,7 +364,7 @@ def _finder(shared):
 def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                item_text: str = "text", probe_bytes: int = 100, error: float = 0.1, least_bytes: int = 30,
                block_bytes: int = 4 << 20) -> DataFrame:
-    """The rows in which no probe is found, with all their columns and without a shuffle."""
+    """The rows in which no item is found, in whole or in part, with all their columns and without a shuffle."""
     small_batches(docs.sparkSession)
     for index in indexes(benchmark, item_col, item_text, probe_bytes, error, least_bytes, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(index)
@@ -248,7 +372,9 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in sliced(batches, text_col, 4 << 20):
                 keep = np.ones(batch.num_rows, dtype=bool)
-                keep[matches(shared.value, batch.column(text_col))[0]] = False
+                probed, others = search(shared.value, batch.column(text_col))
+                keep[probed[0]] = False
+                keep[others[0]] = False
                 yield batch.filter(pa.array(keep))
 
         docs = docs.mapInArrow(run, docs.schema)
