@@ -5,6 +5,7 @@ from __future__ import annotations
 from hirelens.llm.bpe import bpe
 from hirelens.llm.decontaminate import decontamination
 from hirelens.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
+from hirelens.llm.hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
 from hirelens.llm.jaccard_join import JACCARD_JOIN_SQL, jaccard_join
 from hirelens.llm.language_id import language_id
 from hirelens.llm.substring_dedup import SUBSTRING_DEDUP_SQL, substring_dedup
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_decontamination": decontamination,
     "op9_substring_dedup": substring_dedup,
     "op10_jaccard_join": jaccard_join,
+    "op13_hard_negatives": hard_negatives,
 }
 
 ORACLES = {
@@ -31,4 +33,5 @@ ORACLES = {
     "op5_exact_dedup": EXACT_DEDUP_SQL,
     "op9_substring_dedup": SUBSTRING_DEDUP_SQL,
     "op10_jaccard_join": JACCARD_JOIN_SQL,
+    "op13_hard_negatives": HARD_NEGATIVES_SQL,
 }
