@@ -8,6 +8,7 @@ from hirelens.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
 from hirelens.llm.hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
 from hirelens.llm.jaccard_join import JACCARD_JOIN_SQL, jaccard_join
 from hirelens.llm.language_id import language_id
+from hirelens.llm.packing import packing
 from hirelens.llm.substring_dedup import SUBSTRING_DEDUP_SQL, substring_dedup
 from hirelens.llm.token_counts import token_counts
 from hirelens.llm.toxicity import toxicity
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_decontamination": decontamination,
     "op9_substring_dedup": substring_dedup,
     "op10_jaccard_join": jaccard_join,
+    "op12_packing": packing,
     "op13_hard_negatives": hard_negatives,
 }
 
