@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hirelens.llm.bpe import bpe
+from hirelens.llm.conversations import CONVERSATION_REPAIR_SQL, conversation_repair
 from hirelens.llm.decontaminate import decontamination
 from hirelens.llm.exact_dedup import EXACT_DEDUP_SQL, exact_dedup
 from hirelens.llm.hard_negatives import HARD_NEGATIVES_SQL, hard_negatives
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_decontamination": decontamination,
     "op9_substring_dedup": substring_dedup,
     "op10_jaccard_join": jaccard_join,
+    "op11_conversation_repair": conversation_repair,
     "op12_packing": packing,
     "op13_hard_negatives": hard_negatives,
 }
@@ -35,5 +37,6 @@ ORACLES = {
     "op5_exact_dedup": EXACT_DEDUP_SQL,
     "op9_substring_dedup": SUBSTRING_DEDUP_SQL,
     "op10_jaccard_join": JACCARD_JOIN_SQL,
+    "op11_conversation_repair": CONVERSATION_REPAIR_SQL,
     "op13_hard_negatives": HARD_NEGATIVES_SQL,
 }
