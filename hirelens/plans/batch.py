@@ -138,6 +138,7 @@ def store_run(store: JobStore, raw: DataFrame, stats: RunStats, started: datetim
         store.snapshot(stats.run_id, started.date())
         if stats.new:
             store.save_alerts(stats.run_id, keywords)
+        store.fold_if_due()
         stats.status = "success" if not stats.errors else "partial" if stats.fetched else "failed"
     except Exception as crash:
         stats.errors.append(f"run: {crash}")

@@ -517,6 +517,7 @@ def oracles() -> dict[str, str]:
            (SELECT *, min(run_id) OVER (PARTITION BY job_id) AS first, max(run_id) OVER () AS newest FROM observations)
            WHERE run_id = newest QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY ordinal) = 1""",
     )
+    out["newest_run_indexed"] = out["newest_run_records"]
     out["skill_snapshots"] = _with(
         "skill_snaps", "SELECT run_id, CAST(snapshot_date AS VARCHAR) AS snapshot_date, skill, job_count FROM skill_snaps"
     )
@@ -711,6 +712,13 @@ def oracles() -> dict[str, str]:
             '2026-01-02' AS last_seen FROM uniq""",
         **cleaned,
     )
+    day_of = "'2026-01-0' || CASE source WHEN 'src1' THEN {} WHEN 'src2' THEN {} ELSE {} END"
+    out["store_base_delta"] = _with(
+        "raw_postings",
+        f"""SELECT job_id, CAST(CASE source WHEN 'src1' THEN 1 WHEN 'src2' THEN 2 ELSE 3 END AS BIGINT) AS run_id, source, title,
+            {day_of.format(1, 2, 3)} AS first_seen, {day_of.format(4, 5, 3)} AS last_seen FROM uniq""",
+        **cleaned,
+    )
     out["store_snapshots"] = _with(
         "raw_postings",
         f"""SELECT CAST(r AS BIGINT) AS run_id, skill, count(*) AS job_count
@@ -773,4 +781,7 @@ def oracles() -> dict[str, str]:
     out["stream_metrics"] = (
         "SELECT count(*) AS records, count(*) FILTER (event_type = 'error') AS invalid FROM events"
     )
+    out["stream_listener_metrics"] = """
+        SELECT user_id % 2 AS half, event_id % 60 AS part, count(*) AS records, count(*) FILTER (event_type = 'error') AS errors
+        FROM events GROUP BY ALL"""
     return out

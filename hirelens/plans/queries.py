@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
 from hirelens.functions import dates, flags, html, salary, skills, text
-from hirelens.operators import alerts, analytics, clean, enrich, filters, history
+from hirelens.operators import alerts, analytics, clean, enrich, filters, history, known_ids
 from hirelens.plans import batch
 from hirelens.plans.store import JobStore, append_csv
 from hirelens.session import shared_dir
 from hirelens.sources import bridge, comments, listing, tables
-from hirelens.streaming import flows
+from hirelens.streaming import flows, metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -287,6 +287,24 @@ def newest_run_records(spark, sf):
     return new.unionByName(history.known_records(step, known).select("job_id", F.lit("known").alias("kind"), "title"))
 
 
+@query
+def newest_run_indexed(spark, sf):
+    """The same records, found through the skip index over the ids of all earlier runs."""
+    seen = bridge.view(spark, sf, "observations")
+    newest = seen.agg(F.max("run_id")).scalar()
+    path = shared_dir(spark, "known-ids")
+    ids = seen.filter(F.col("run_id") < newest).select("job_id").distinct()
+    buckets, step = 16, clean.keep_first(seen.filter(F.col("run_id") == newest))
+    ids.withColumn("bucket", known_ids.bucket_of(F.col("job_id"), buckets)).repartition(buckets, "bucket").write.partitionBy(
+        "bucket").parquet(f"{path}/ids")
+    known = spark.read.schema("job_id string, bucket int").parquet(f"{path}/ids")
+    chunks = known_ids.chunks_for(known.count(), buckets)
+    known_ids.build_index(known, buckets, chunks).write.parquet(f"{path}/index")
+    old = known_ids.known_among(step, known, spark.read.parquet(f"{path}/index"), buckets, chunks)
+    new = step.join(old, "job_id", "left_anti").select("job_id", F.lit("new").alias("kind"), "title")
+    return new.unionByName(step.join(old, "job_id", "left_semi").select("job_id", F.lit("known").alias("kind"), "title"))
+
+
 def _snapshots(spark, sf):
     jobs = bridge.view(spark, sf, "jobs")
     runs = _runs(jobs)
@@ -701,6 +719,20 @@ def store_jobs(spark, sf):
     return jobs.select("job_id", "run_id", "source", day("first_seen"), day("last_seen"))
 
 
+@query
+def store_base_delta(spark, sf):
+    """Five runs, with a base after the third: the job table is that base plus the last two runs."""
+    store, raw = JobStore(spark, shared_dir(spark, "store")), _raw(spark, sf)
+    for run_id, part in enumerate((["src1"], ["src2"], ["src0", "src1"], ["src1"], ["src2"]), 1):
+        seen = F.lit(f"2026-01-0{run_id} 00:00:00").cast("timestamp")
+        rows = raw.filter(F.col("source").isin(part))
+        store.save_records(batch.process_raw(rows, seen, fuzzy=False).valid, run_id)
+        if run_id == 3:
+            store.fold()
+    day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
+    return store.jobs().select("job_id", "run_id", "source", "title", day("first_seen"), day("last_seen"))
+
+
 @query
 def store_snapshots(spark, sf):
     store = _two_runs(spark, sf)
@@ -820,7 +852,27 @@ def alerts_stored(spark, sf):
 
 @query
 def stream_metrics(spark, sf):
-    path, metrics, checkpoint = (shared_dir(spark, n) for n in ("watched", "metrics", "metrics-checkpoint"))
+    path, counts, checkpoint = (shared_dir(spark, n) for n in ("watched", "metrics", "metrics-checkpoint"))
     errors = F.count_if(F.col("event_type") == "error")
-    flows.run_with_metrics(_event_stream(spark, sf), path, metrics, checkpoint, errors).awaitTermination()
-    return spark.read.parquet(metrics).agg(F.sum("records").alias("records"), F.sum("extra_0").alias("invalid"))
+    flows.run_with_metrics(_event_stream(spark, sf), path, counts, checkpoint, errors).awaitTermination()
+    return spark.read.parquet(counts).agg(F.sum("records").alias("records"), F.sum("extra_0").alias("invalid"))
+
+
+@query
+def stream_listener_metrics(spark, sf):
+    """Two streams of 60 micro-batches with a checkpoint each, their counts in one folder: one row a micro-batch."""
+    landing, out, counts = (shared_dir(spark, n) for n in ("landed-events", "listened", "listener-metrics"))
+    events = bridge.table(spark, sf, "events").withColumn("part", F.pmod("event_id", F.lit(60)).cast("int"))
+    for half in (0, 1):
+        rows = events.filter(F.col("user_id") % 2 == half)
+        rows.repartition(8, "part").write.partitionBy("part").parquet(f"{landing}/{half}")
+    extra = {"errors": F.count_if(F.col("event_type") == "error"), "part": F.max("part"), "half": F.max(F.col("user_id") % 2)}
+    log = metrics.ProgressLog(spark, counts, extra)
+    spark.streams.addListener(log)
+    try:
+        for half in (0, 1):
+            stream = flows.read_folder(spark, f"{landing}/{half}", events.schema, files_per_batch=1)
+            log.wait(flows.run_to_end(metrics.watched(stream, extra), f"{out}/{half}", f"{out}-checkpoint-{half}"))
+    finally:
+        spark.streams.removeListener(log)
+    return metrics.read_metrics(spark, log).filter("records > 0").select("half", "part", "records", "errors")

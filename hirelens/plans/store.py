@@ -7,9 +7,16 @@
     skill_snapshots/run_id=N, market_snapshots/run_id=N
     runs                    appended log, the last row of a run wins
     claims/N                one empty file per run id ever given out
+    bases/seq=S/bucket=B    the job table as of some run, hash-bucketed by job_id
+    base_index/seq=S        Bloom bits of the base's ids, see operators/known_ids
+    bases_log               appended log: which run each base covers, and when runs were written
+    bases_claims/S          one empty file per number of that log
 
 ``first_seen`` comes from ``jobs``, ``last_seen`` from ``observations``, so a run writes in
-proportion to its batch, never to the whole table.
+proportion to its batch, never to the whole table. The job table is read as its newest base plus
+the runs since. A base is written once the runs since the last one hold half as many rows as that,
+so all bases together cost a small multiple of what is stored. A base is valid as long as no run that
+it covers is written after the base was begun.
 """
 
 from __future__ import annotations
@@ -20,18 +27,27 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
 from hirelens import fixed_values as V
 from hirelens.operators.alerts import digest_of, stored_alerts
 from hirelens.operators.analytics import explode_skills
 from hirelens.operators.clean import keep_first
 from hirelens.operators.history import latest_runs, market_totals, new_records, with_average
+from hirelens.operators.known_ids import bucket_of, build_index, chunks_for, known_among
 from hirelens.schemas import MARKET_SNAPSHOT, OBSERVATION, RUN, SKILL_SNAPSHOT
 
 _RUN_LOG = StructType(RUN.fields + [StructField("seq", IntegerType()), StructField("origin", StringType())])
 _ALERT = StructType(
     OBSERVATION.fields + [StructField("total_new", LongType()), StructField("matching", LongType())])
+_SEEN = [StructField(c, OBSERVATION["scraped_at"].dataType) for c in ("first_seen", "last_seen")]
+_BASE = StructType([f for f in OBSERVATION.fields if f.name != "scraped_at"] + _SEEN + [StructField("bucket", IntegerType())])
+_BASE_INDEX = StructType([StructField("bucket", IntegerType()), StructField("chunk", IntegerType()), StructField("bits", BinaryType())])
+# A row with a version tells of a base, one with a run_id of a run that has been written.
+_BASE_LOG = StructType([StructField("seq", LongType()), StructField("version", LongType()), StructField("run_id", LongType()),
+                        StructField("rows", LongType()), StructField("buckets", IntegerType()), StructField("chunks", IntegerType())])
+# Rows of a bucket, rows since the last base under which no new one is due, and their share of its rows.
+BUCKET_ROWS, FOLD_ROWS, FOLD_SHARE = 1_000_000, 100_000, 0.5
 _QUARANTINE = StructType(OBSERVATION.fields + [StructField("violations", ArrayType(StringType()))])
 
 
@@ -70,6 +86,17 @@ def append_csv(records: DataFrame, path: str) -> None:
     writer.option("nullValue", "").option("emptyValue", "").option("escape", '"').csv(path)
 
 
+@dataclass(frozen=True)
+class Base:
+    """A stored state of the job table: all runs up to ``version``."""
+
+    seq: int
+    version: int
+    rows: int
+    buckets: int
+    chunks: int
+
+
 @dataclass(frozen=True)
 class JobStore:
     spark: SparkSession
@@ -93,9 +120,20 @@ class JobStore:
 
     def jobs(self) -> DataFrame:
         """The job table: frozen attributes, ``first_seen`` and ``last_seen``."""
-        last = self.observations().groupBy("job_id").agg(F.max_by("scraped_at", "run_id").alias("last_seen"))
-        first = self.first_records().withColumnRenamed("scraped_at", "first_seen")
-        return first.join(last, "job_id", "left")
+        return self._jobs_since(self.base())
+
+    def _jobs_since(self, base: Base | None, until: int | None = None) -> DataFrame:
+        """The base and the runs after it, up to a run if given."""
+        after = F.lit(True) if base is None else F.col("run_id") > base.version
+        after &= F.lit(True) if until is None else F.col("run_id") <= until
+        first = self.first_records().filter(after).withColumnRenamed("scraped_at", "first_seen")
+        last = self.observations().filter(after).groupBy("job_id").agg(F.max_by("scraped_at", "run_id").alias("_seen"))
+        if base is None:
+            return first.join(last.withColumnRenamed("_seen", "last_seen"), "job_id", "left")
+        stored = self.base_rows(base).drop("bucket").unionByName(first, allowMissingColumns=True)
+        # Small runs since the base are broadcast by Spark; the base then needs no shuffle.
+        return stored.join(last, "job_id", "left").withColumn("last_seen", F.coalesce("_seen", "last_seen")).select(
+            "job_id", *[c for c in stored.columns if c != "job_id"])
 
     def job_skills(self) -> DataFrame:
         return explode_skills(self.first_records(), "run_id").distinct()
@@ -129,15 +167,17 @@ class JobStore:
         self._log(run_id, started_at or _now(), None, "running", 0, 0, 0, None, 0, origin)
         return run_id
 
-    def _claim(self, run_id: int) -> int:
-        """The first free id from ``run_id`` on. Creating the claim fails for all writers but one."""
-        stored = self.observations().agg(F.max("run_id")).first()[0] or 0
-        run_id = max(run_id, stored + 1)
+    def _claim(self, number: int, folder: str = "claims") -> int:
+        """The first free number from ``number`` on. Creating the claim fails for all writers but one.
+
+        Runs stored under a number that nobody claimed are passed over.
+        """
         while True:
-            system, location = _location(self.spark, f"{self._path('claims')}/{run_id}")
-            if system.createNewFile(location):
-                return run_id
-            run_id += 1
+            system, location = _location(self.spark, f"{self._path(folder)}/{number}")
+            taken = folder == "claims" and system.exists(_location(self.spark, self._path("observations", number))[1])
+            if not taken and system.createNewFile(location):
+                return number
+            number += 1
 
     def finish_run(self, run_id: int, started_at: datetime, status: str, fetched: int, new: int,
                    invalid: int, errors: Sequence[str] = (), finished_at: datetime | None = None,
@@ -148,15 +188,83 @@ class JobStore:
     def _log(self, *row) -> None:
         self.spark.createDataFrame([row], _RUN_LOG).write.mode("append").parquet(self._path("runs"))
 
+    # --- bases -----------------------------------------------------------------------------
+
+    def _base_log(self) -> DataFrame:
+        return read_table(self.spark, self._path("bases_log"), _BASE_LOG)
+
+    def _log_base(self, *row) -> None:
+        self.spark.createDataFrame([row], _BASE_LOG).coalesce(1).write.mode("append").parquet(self._path("bases_log"))
+
+    def _next_number(self) -> int:
+        return self._claim(1 + (self._base_log().agg(F.max("seq")).first()[0] or 0), "bases_claims")
+
+    def base(self, until: int | None = None) -> Base | None:
+        """The newest base (that covers no run after ``until``) of whose runs none was written since it was begun."""
+        log = self._base_log()
+        written = log.filter("run_id IS NOT NULL").select(F.col("seq").alias("_seq"), F.col("run_id").alias("_run"))
+        bases = log.filter("version IS NOT NULL")
+        if until is not None:
+            bases = bases.filter(F.col("version") <= until)
+        valid = bases.join(written, (F.col("_seq") > F.col("seq")) & (F.col("_run") <= F.col("version")), "left_anti")
+        best = valid.orderBy(F.desc("version"), F.desc("seq")).first()
+        return best and Base(best.seq, best.version, best.rows, best.buckets, best.chunks)
+
+    def base_rows(self, base: Base) -> DataFrame:
+        return self.spark.read.schema(_BASE).parquet(f"{self._path('bases')}/seq={base.seq}")
+
+    def base_index(self, base: Base) -> DataFrame:
+        return self.spark.read.schema(_BASE_INDEX).parquet(f"{self._path('base_index')}/seq={base.seq}")
+
+    def fold(self) -> Base | None:
+        """Write the job table as of the newest stored run as a new base; older bases stay for whoever reads them.
+
+        The base counts from its log row on, which is written last. Its number is claimed first: a run
+        that ends while the base is being written has a larger one, which voids the base if it covers the run.
+        """
+        seq, last = self._next_number(), self.base()
+        since = F.lit(True) if last is None else F.col("run_id") > last.version
+        version = self.observations().filter(since).agg(F.max("run_id")).first()[0]
+        if version is None:
+            return last
+        rows = (last.rows if last else 0) + self.first_records().filter(since & (F.col("run_id") <= version)).count()
+        buckets = max(1, -(-rows // BUCKET_ROWS))
+        base = Base(seq, version, rows, buckets, chunks_for(rows, buckets))
+        table = self._jobs_since(last, version).withColumn("bucket", bucket_of(F.col("job_id"), buckets))
+        dealt = table.repartition(buckets, "bucket").sortWithinPartitions("bucket", "job_id")
+        dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self._path('bases')}/seq={seq}")
+        index = build_index(self.base_rows(base), buckets, base.chunks)
+        index.write.mode("overwrite").parquet(f"{self._path('base_index')}/seq={seq}")
+        self._log_base(seq, version, None, rows, buckets, base.chunks)
+        return base
+
+    def fold_if_due(self) -> Base | None:
+        """A new base once the runs since the last one are large enough beside it."""
+        base = self.base()
+        since = self.runs() if base is None else self.runs().filter(F.col("run_id") > base.version)
+        grown = since.agg(F.sum("records_fetched")).first()[0] or 0
+        return self.fold() if grown >= max(FOLD_ROWS, FOLD_SHARE * (base.rows if base else 0)) else base
+
     # --- writing ---------------------------------------------------------------------------
 
     def save_records(self, valid: DataFrame, run_id: int) -> DataFrame:
-        """Store a batch, the first row of each job_id, and return the jobs new to the table."""
+        """Store a batch, the first row of each job_id, and return the jobs new to the table.
+
+        Of the base only the buckets that may hold an id of the batch are read, by its skip index.
+        """
         columns = [f.name for f in OBSERVATION.fields if f.name != "run_id"]
         self._write(keep_first(valid.select(*columns)), "observations", run_id)
         batch = self.observations().filter(F.col("run_id") == run_id)
-        known = self.first_records().filter(F.col("run_id") != run_id)
-        self._write(new_records(batch, known), "jobs", run_id)
+        base = self.base(run_id - 1)
+        others = self.first_records().filter(F.col("run_id") != run_id)
+        if base is None:
+            new = new_records(batch, others)
+        else:
+            old = known_among(batch, self.base_rows(base), self.base_index(base), base.buckets, base.chunks)
+            recent = others.filter(F.col("run_id") > base.version)
+            new = new_records(batch, recent).join(old, "job_id", "left_anti")
+        self._write(new, "jobs", run_id)
+        self._log_base(self._next_number(), None, run_id, None, None, None)
         return self.first_records().filter(F.col("run_id") == run_id)
 
     def save_quarantine(self, broken: DataFrame, run_id: int) -> None:

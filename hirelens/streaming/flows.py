@@ -92,19 +92,22 @@ def alert_stream(new_jobs: DataFrame, path: str, checkpoint: str,
 
 def run_with_metrics(stream: DataFrame, path: str, metrics: str, checkpoint: str, *extra: Column,
                      every: str | None = None) -> StreamingQuery:
-    """Append a stream to ``path`` and one row per micro-batch to ``metrics``: run_id, records, extra counts.
+    """Append a stream to ``path`` and one row per micro-batch to ``metrics``: query_id, batch, records, extra counts.
 
-    The counts ride along with the write. A repeated micro-batch replaces its own rows in both folders.
+    The counts ride along with the write. Rows are kept by the checkpoint's id and the batch number: a
+    repeated micro-batch replaces its own rows in both folders, another checkpoint only adds.
     """
+    spark = stream.sparkSession
     names = ["records", *(f"extra_{k}" for k in range(len(extra)))]
 
     def save(batch: DataFrame, number: int) -> None:
+        own = f"query_id={stream_id(spark, checkpoint)}/batch={number}"
         seen = Observation()
         counts = [F.count(F.lit(1)), *extra]
         watched = batch.observe(seen, *[c.alias(n) for c, n in zip(counts, names)])
-        watched.write.mode("overwrite").parquet(f"{path}/run_id={number + 1}")
+        watched.write.mode("overwrite").parquet(f"{path}/{own}")
         found = batch.sparkSession.range(1).select(*[F.lit(seen.get[n]).cast("long").alias(n) for n in names])
-        found.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/run_id={number + 1}")
+        found.coalesce(1).write.mode("overwrite").parquet(f"{metrics}/{own}")
 
     writer = stream.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
     return _start(writer, every)

@@ -166,3 +166,77 @@ def test_run_ids_are_claimed_once(spark, tmp_path):
     store = JobStore(spark, str(tmp_path))
     assert [store._claim(1) for _ in range(3)] == [1, 2, 3]
     assert store.start_run(datetime(2026, 1, 1)) == 4
+
+
+def table_of(store):
+    return {r.job_id: (r.run_id, r.title, r.first_seen.day, r.last_seen.day) for r in store.jobs().collect()}
+
+
+def read_runs(store):
+    """Runs whose folders the job table reads."""
+    files = store.jobs().inputFiles()
+    return {int(f.split("run_id=")[1].split("/")[0]) for f in files if "run_id=" in f}, any("/bases/" in f for f in files)
+
+
+def test_base_and_runs_since(spark, tmp_path):
+    plain, store = JobStore(spark, str(tmp_path / "plain")), JobStore(spark, str(tmp_path / "based"))
+    batches = [("a", "b"), ("b", "c"), ("a", "d"), ("c", "e"), ("f",)]
+    for run, ids in enumerate(batches, 1):
+        rows = records(spark, run, *ids, title=f"t{run}")
+        plain.save_records(rows, run)
+        new = store.save_records(rows, run)
+        assert sorted(r.job_id for r in new.collect()) == sorted(set(ids) - set("".join(map("".join, batches[:run - 1]))))
+        if run == 3:
+            base = store.fold()
+            assert (base.version, base.rows) == (3, 4)
+    assert table_of(store) == table_of(plain) == {
+        "a": (1, "t1", 1, 3), "b": (1, "t1", 1, 2), "c": (2, "t2", 2, 4), "d": (3, "t3", 3, 3), "e": (4, "t4", 4, 4), "f": (5, "t5", 5, 5)}
+    assert set(store.jobs().columns) == set(plain.jobs().columns)
+    assert read_runs(store) == ({4, 5}, True) and read_runs(plain) == ({1, 2, 3, 4, 5}, False)
+    # A base of a base.
+    assert store.fold().rows == 6 and read_runs(store) == (set(), True) and table_of(store) == table_of(plain)
+
+
+def test_a_repeated_run_voids_the_bases_that_cover_it(spark, tmp_path):
+    store = JobStore(spark, str(tmp_path))
+    for run, ids in ((1, "ab"), (2, "bc"), (3, "cd")):
+        store.save_records(records(spark, run, *ids), run)
+        if run < 3:
+            store.fold()
+    assert store.base().version == 2
+    store.save_records(records(spark, 2, "b", "x", title="again"), 2)
+    assert store.base().version == 1
+    assert {j: r[0] for j, r in table_of(store).items()} == {"a": 1, "b": 1, "x": 2, "d": 3}
+    assert store.fold().version == 3 and {j: r[0] for j, r in table_of(store).items()} == {"a": 1, "b": 1, "x": 2, "d": 3}
+
+
+def test_a_run_that_ends_during_a_fold_voids_it(spark, tmp_path):
+    store = JobStore(spark, str(tmp_path))
+    store.save_records(records(spark, 1, "a"), 1)
+    number = store._next_number()
+    store.save_records(records(spark, 2, "b"), 2)
+    store._log_base(number, 2, None, 1, 1, 1)
+    assert store.base() is None and set(table_of(store)) == {"a", "b"}
+
+
+def test_bases_of_an_empty_store(spark, tmp_path):
+    store = JobStore(spark, str(tmp_path))
+    assert store.fold() is None and store.base() is None and store.fold_if_due() is None
+
+
+def test_a_base_is_due_by_rows(spark, tmp_path, monkeypatch):
+    from hirelens.plans import store as module
+    monkeypatch.setattr(module, "FOLD_ROWS", 3)
+    store = JobStore(spark, str(tmp_path))
+    for fetched in (2, 2, 1, 2):
+        run = store.start_run(datetime(2026, 1, 1))
+        store.save_records(records(spark, run, *[f"{run}-{k}" for k in range(fetched)]), run)
+        store.finish_run(run, datetime(2026, 1, 1), "success", fetched, fetched, 0)
+        base = store.fold_if_due()
+    assert (base.version, base.rows) == (4, 7)
+
+
+def test_claims_pass_over_runs_stored_without_one(spark, tmp_path):
+    store = JobStore(spark, str(tmp_path))
+    store.save_records(records(spark, 1, "a"), 1)
+    assert store.start_run(datetime(2026, 1, 1)) == 2

@@ -1,11 +1,12 @@
 from datetime import date, datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from hirelens.plans.batch import process_raw
 from hirelens.plans.store import JobStore
 from hirelens.schemas import RAW_POSTING
-from hirelens.streaming import flows
+from hirelens.streaming import flows, metrics
 
 def seen():
     return F.lit("2026-03-01 12:00:00").cast("timestamp")
@@ -96,3 +97,48 @@ def test_a_repeated_micro_batch_keeps_its_run(spark, tmp_path):
     store = JobStore(spark, str(tmp_path))
     started = datetime(2026, 1, 1)
     assert [store.start_run(started, o) for o in ("q#0", "q#1", "q#0", "p#0")] == [1, 2, 1, 3]
+
+
+def test_metrics_of_two_checkpoints_in_one_folder(spark, tmp_path):
+    out, counts = str(tmp_path / "out"), str(tmp_path / "metrics")
+    for name, start in (("one", 0), ("two", 100)):
+        landing = str(tmp_path / name)
+        spark.range(start, start + 5).coalesce(1).write.parquet(landing)
+        stream = flows.read_folder(spark, landing, spark.range(1).schema)
+        flows.run_with_metrics(stream, out, counts, str(tmp_path / f"c-{name}")).awaitTermination()
+    assert sorted(r.id for r in spark.read.parquet(out).collect()) == [*range(5), *range(100, 105)]
+    rows = spark.read.parquet(counts)
+    assert rows.agg(F.sum("records")).first()[0] == 10 and rows.select("query_id").distinct().count() == 2
+
+
+def test_listener_keeps_more_than_spark_does(spark, tmp_path):
+    counts = {"small": F.count_if(F.col("id") < 50)}
+    log = metrics.ProgressLog(spark, str(tmp_path / "metrics"), counts)
+    spark.streams.addListener(log)
+    try:
+        for name, files in (("one", 110), ("two", 5)):
+            landing = str(tmp_path / name)
+            spark.range(files).repartitionByRange(files, "id").write.parquet(landing)
+            stream = metrics.watched(flows.read_folder(spark, landing, spark.range(1).schema, files_per_batch=1), counts)
+            log.wait(flows.run_to_end(stream, str(tmp_path / "out" / name), str(tmp_path / f"c-{name}")))
+    finally:
+        spark.streams.removeListener(log)
+    rows = metrics.read_metrics(spark, log).filter("records > 0").groupBy("query_id").agg(
+        F.count("*").alias("batches"), F.countDistinct("batch").alias("numbers"), F.sum("records").alias("records"),
+        F.sum("small").alias("small"), F.sum("input_rows").alias("rows")).collect()
+    got = sorted((r.batches, r.numbers, r.records, r.small, r.rows) for r in rows)
+    assert got[0][2:] == (5, 5, 5) and got[1][2:] == (110, 50, 110) and got[1][0] == got[1][1] > 100
+
+
+def test_listener_reports_failed_writes(spark, tmp_path):
+    (tmp_path / "metrics").write_text("not a folder")
+    log = metrics.ProgressLog(spark, str(tmp_path / "metrics"), {})
+    spark.range(3).write.parquet(str(tmp_path / "in"))
+    spark.streams.addListener(log)
+    try:
+        stream = metrics.watched(flows.read_folder(spark, str(tmp_path / "in"), spark.range(1).schema), {})
+        query = flows.run_to_end(stream, str(tmp_path / "out"), str(tmp_path / "c"))
+        with pytest.raises(RuntimeError):
+            log.wait(query)
+    finally:
+        spark.streams.removeListener(log)
