@@ -172,10 +172,12 @@ def table_of(store):
     return {r.job_id: (r.run_id, r.title, r.first_seen.day, r.last_seen.day) for r in store.jobs().collect()}
 
 
-def read_runs(store):
-    """Runs whose folders the job table reads."""
-    files = store.jobs().inputFiles()
-    return {int(f.split("run_id=")[1].split("/")[0]) for f in files if "run_id=" in f}, any("/bases/" in f for f in files)
+def damage(root, *runs):
+    """Make the files of some runs unreadable."""
+    for run in runs:
+        for file in [f for t in ("observations", "jobs") for f in (root / t / f"run_id={run}").glob("*.parquet")]:
+            (file.parent / f".{file.name}.crc").unlink()
+            file.write_bytes(b"damaged")
 
 
 def test_base_and_runs_since(spark, tmp_path):
@@ -192,9 +194,13 @@ def test_base_and_runs_since(spark, tmp_path):
     assert table_of(store) == table_of(plain) == {
         "a": (1, "t1", 1, 3), "b": (1, "t1", 1, 2), "c": (2, "t2", 2, 4), "d": (3, "t3", 3, 3), "e": (4, "t4", 4, 4), "f": (5, "t5", 5, 5)}
     assert set(store.jobs().columns) == set(plain.jobs().columns)
-    assert read_runs(store) == ({4, 5}, True) and read_runs(plain) == ({1, 2, 3, 4, 5}, False)
-    # A base of a base.
-    assert store.fold().rows == 6 and read_runs(store) == (set(), True) and table_of(store) == table_of(plain)
+    # Runs that the base covers are read no more, neither by the table nor by the next run or base.
+    damage(tmp_path / "based", 1, 2, 3)
+    assert table_of(store) == table_of(plain)
+    assert store.save_records(records(spark, 6, "a", "g"), 6).count() == 1
+    assert store.fold().rows == 7
+    damage(tmp_path / "based", 4, 5, 6)
+    assert {j: r[3] for j, r in table_of(store).items()} == {"a": 6, "b": 2, "c": 4, "d": 3, "e": 4, "f": 5, "g": 6}
 
 
 def test_a_repeated_run_voids_the_bases_that_cover_it(spark, tmp_path):

@@ -112,22 +112,26 @@ def test_metrics_of_two_checkpoints_in_one_folder(spark, tmp_path):
 
 
 def test_listener_keeps_more_than_spark_does(spark, tmp_path):
-    counts = {"small": F.count_if(F.col("id") < 50)}
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", 3)
+    counts = {"small": F.count_if(F.col("id") < 4)}
     log = metrics.ProgressLog(spark, str(tmp_path / "metrics"), counts)
     spark.streams.addListener(log)
     try:
-        for name, files in (("one", 110), ("two", 5)):
+        for name, files in (("one", 12), ("two", 5)):
             landing = str(tmp_path / name)
             spark.range(files).repartitionByRange(files, "id").write.parquet(landing)
             stream = metrics.watched(flows.read_folder(spark, landing, spark.range(1).schema, files_per_batch=1), counts)
-            log.wait(flows.run_to_end(stream, str(tmp_path / "out" / name), str(tmp_path / f"c-{name}")))
+            query = flows.run_to_end(stream, str(tmp_path / "out" / name), str(tmp_path / f"c-{name}"))
+            log.wait(query)
+            assert len(query.recentProgress) <= 3
     finally:
         spark.streams.removeListener(log)
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     rows = metrics.read_metrics(spark, log).filter("records > 0").groupBy("query_id").agg(
         F.count("*").alias("batches"), F.countDistinct("batch").alias("numbers"), F.sum("records").alias("records"),
         F.sum("small").alias("small"), F.sum("input_rows").alias("rows")).collect()
     got = sorted((r.batches, r.numbers, r.records, r.small, r.rows) for r in rows)
-    assert got[0][2:] == (5, 5, 5) and got[1][2:] == (110, 50, 110) and got[1][0] == got[1][1] > 100
+    assert got[0][2:] == (5, 4, 5) and got[1][2:] == (12, 4, 12) and got[1][0] == got[1][1] > 10
 
 
 def test_listener_reports_failed_writes(spark, tmp_path):
