@@ -60,28 +60,39 @@ def fuzzy_vocabulary(texts: DataFrame, text: Column, taxonomy: Taxonomy = V.TAXO
     )
 
 
+def _run_codes(words: Column) -> list[Column]:
+    """Two 64-bit hashes of a run of words: together they stand for its text."""
+    return [F.xxhash64(words).alias("_code"), F.xxhash64(words, F.lit("check")).alias("_check")]
+
+
 def entity_mentions(records: DataFrame, gazetteer: DataFrame) -> DataFrame:
     """(job_id, company, location): first organisation and first place named in each text.
 
-    ``gazetteer`` has ``name`` (words of any number) and ``kind`` ('ORG' or 'GPE'). A text's words
-    look up names by their first word; the rest of the name is then compared with the words that
-    follow. Its size is not assumed: the join carries no hint, Spark broadcasts it only below its
-    own size limit and otherwise shuffles both sides, splitting hot words.
+    ``gazetteer`` has ``name`` (words of any number) and ``kind`` ('ORG' or 'GPE'). For each number of
+    words that a name has, each run of so many words of a text becomes a hash, and the hashes look up the
+    names. Only (job_id, place, two hashes) leave a record, never its words. The gazetteer's size is not
+    assumed: the join carries no hint, Spark broadcasts it only below its own size limit and otherwise
+    shuffles both sides, splitting frequent runs. Of several names at one place the longest counts.
     """
     text = F.left(posting_text(), F.lit(V.ENTITY_SCOPE_CHARS))
     words = F.filter(
         F.transform(F.split(text, r"\s+"), lambda w: F.regexp_replace(w, r"^[^\w#@]+|[^\w#+]+$", "")),
         lambda w: w != "",
     )
-    names = gazetteer.select("name", "kind", F.split("name", " ").alias("_parts")).distinct()
-    names = names.withColumn("_first", F.get("_parts", F.lit(0)))
-    following = F.array_join(F.slice("_words", F.col("at") + 1, F.size("_parts")), " ")
-    mentions = (
-        records.select("job_id", words.alias("_words"))
-        .select("job_id", "_words", F.posexplode("_words").alias("at", "_first"))
-        .join(names, "_first")
-        .filter(following == F.col("name"))
-    )
+    parts = F.split("name", " ")
+    names = gazetteer.select("name", "kind", F.size(parts).alias("_size"), *_run_codes(parts)).distinct()
+    # One number for each length of a name, at most as many as a text can have words.
+    sizes = sorted(r[0] for r in names.select("_size").where(F.col("_size") <= V.ENTITY_SCOPE_CHARS).distinct().collect())
+
+    def runs(listed: Column) -> Column:
+        found = [F.transform(
+            F.sequence(F.lit(1), F.size(listed) - size + 1), lambda at: F.struct(
+                at.alias("at"), *_run_codes(F.slice(listed, at, size)))) for size in sizes]
+        nothing = F.array().cast("array<struct<at:int,_code:bigint,_check:bigint>>")
+        return F.concat(nothing, *[F.when(F.size(listed) >= size, f).otherwise(nothing) for size, f in zip(sizes, found)])
+
+    mentions = records.select("job_id", words.alias("_words")).select("job_id", F.inline(runs(F.col("_words")))).join(
+        names, ["_code", "_check"])
 
     def first_of(kind: str) -> Column:
         place = F.when(F.col("kind") == kind, F.struct("at", -F.length("name"), "name"))

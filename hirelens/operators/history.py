@@ -69,35 +69,50 @@ def sightings_per_run(observations: DataFrame) -> DataFrame:
 # --- snapshots -----------------------------------------------------------------------------
 
 
+# Runs of one block of the running sums: no row and no window group holds more runs, or a step for each block.
+BLOCK_RUNS = 64
+
+
+def _block(run_id: Column) -> Column:
+    return F.floor(run_id / BLOCK_RUNS).cast("long")
+
+
 def skill_snapshots(jobs: DataFrame, job_skills: DataFrame, runs: DataFrame) -> DataFrame:
     """Skill counts as of every run, all runs in one job.
 
     A run counts each job first seen at or before it; a skill appears once its count is at
     least one. ``jobs`` is (job_id, run_id), ``runs`` (run_id, snapshot_date).
+
+    Running sums in blocks of run ids: totals per (skill, block) give what a skill has before each of
+    its blocks, and the steps inside a block are spread over the runs of that block only.
     """
     placed = job_skills.select("job_id", "skill").join(jobs.select("job_id", "run_id"), "job_id")
     gained = placed.groupBy("skill", "run_id").agg(F.count(F.lit(1)).alias("n"))
-    # From here on: one row per run, or per run and skill.
-    calendar = runs.agg(
-        F.array_sort(F.collect_set(F.struct("run_id", "snapshot_date"))).alias("r")
-    )
-    places = calendar.select(F.posexplode("r").alias("at", "run")).select("at", F.col("run")["run_id"].alias("run_id"))
-    by_run = Window.partitionBy("skill").orderBy("run_id")
-    steps = gained.join(places, "run_id").select(
-        "skill",
-        "at",
-        F.sum("n").over(by_run.rowsBetween(Window.unboundedPreceding, 0)).alias("job_count"),
-        F.lead("at").over(by_run).alias("until"),
-    )
-    all_runs = calendar.scalar()
-    span = steps.withColumn("r", all_runs)
-    held = F.slice("r", F.col("at") + 1, F.coalesce("until", F.size("r")) - F.col("at"))
-    return span.select("skill", "job_count", F.explode(held).alias("run")).select(
-        F.col("run")["run_id"].alias("run_id"),
-        F.col("run")["snapshot_date"].alias("snapshot_date"),
-        "skill",
-        "job_count",
-    )
+    steps = gained.groupBy("skill", _block(F.col("run_id")).alias("block")).agg(
+        F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct("run_id", "n"))).alias("steps"))
+    calendar = runs.select("run_id", "snapshot_date").distinct()
+    blocks = calendar.groupBy(_block(F.col("run_id")).alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("run_id", "snapshot_date"))).alias("runs"))
+    last = blocks.agg(F.max("block")).scalar()
+    # A skill has a row for each block from its first on: one for up to 64 rows of the result.
+    by_skill = Window.partitionBy("skill").orderBy("block")
+    held = steps.select("skill", "block", "total", "steps", F.lead("block").over(by_skill).alias("next")).select(
+        "skill", "total", "steps", F.col("block").alias("own"),
+        F.explode(F.sequence("block", F.greatest("block", F.coalesce(F.col("next") - 1, last)))).alias("block"))
+    is_own = F.col("block") == F.col("own")
+    rows = held.select(
+        "skill", "block", F.when(is_own, F.col("steps")).alias("steps"),
+        (F.sum(F.when(is_own, F.col("total")).otherwise(0)).over(by_skill.rowsBetween(Window.unboundedPreceding, 0))
+         - F.when(is_own, F.col("total")).otherwise(0)).alias("before")).join(blocks, "block")
+
+    def up_to(run: Column) -> Column:
+        inside = F.filter(F.coalesce("steps", F.array().cast("array<struct<run_id:bigint,n:bigint>>")),
+                          lambda s: s["run_id"] <= run["run_id"])
+        return F.aggregate(inside, F.col("before"), lambda sum_, s: sum_ + s["n"])
+
+    spread = rows.select("skill", F.inline(F.transform("runs", lambda r: F.struct(
+        r["run_id"].alias("run_id"), r["snapshot_date"].alias("snapshot_date"), up_to(r).alias("job_count")))))
+    return spread.filter("job_count > 0").select("run_id", "snapshot_date", "skill", "job_count")
 
 
 def market_totals() -> list[Column]:
@@ -114,16 +129,19 @@ def market_totals() -> list[Column]:
 def market_snapshots(jobs: DataFrame, runs: DataFrame) -> DataFrame:
     """Market totals as of every run: all jobs, remote jobs, average salary midpoint.
 
-    The running sums go over one row per run, which is why they may share one window.
+    Sums run inside blocks of run ids; what lies before a block comes from one row per block, which are
+    the only rows that share a window.
     """
     per_run = jobs.groupBy("run_id").agg(*market_totals())
     totals = ["total_jobs", "remote_jobs", "salary_total", "paid_jobs"]
-    running = Window.orderBy("run_id").rowsBetween(Window.unboundedPreceding, 0)
-    grown = runs.select("run_id", "snapshot_date").distinct().join(per_run, "run_id", "left").select(
-        "run_id",
-        "snapshot_date",
-        *[F.sum(F.coalesce(F.col(t), F.lit(0))).over(running).alias(t) for t in totals],
-    )
+    filled = runs.select("run_id", "snapshot_date").distinct().join(per_run, "run_id", "left").select(
+        _block(F.col("run_id")).alias("block"), "run_id", "snapshot_date", *[F.coalesce(t, F.lit(0)).alias(t) for t in totals])
+    earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = filled.groupBy("block").agg(*[F.sum(t).alias(t) for t in totals]).select(
+        "block", *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(f"_{t}") for t in totals])
+    inside = Window.partitionBy("block").orderBy("run_id").rowsBetween(Window.unboundedPreceding, 0)
+    grown = filled.join(before, "block").select(
+        "run_id", "snapshot_date", *[(F.sum(t).over(inside) + F.col(f"_{t}")).alias(t) for t in totals])
     return with_average(grown)
 
 

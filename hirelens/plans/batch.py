@@ -16,10 +16,18 @@ from hirelens.operators.clean import check, clean, keep_first, violations
 from hirelens.operators.enrich import enrich
 from hirelens.plans.store import JobStore, append_csv
 from hirelens.schemas import RAW_POSTING
-from hirelens.sources.comments import damaged_lines, hiring_threads, parse_comments, read_hits, top_level_comments
+from hirelens.sources.comments import damaged_lines, hiring_threads, parse_comments_counted, read_hits, top_level_comments
 from hirelens.sources.listing import parse_listing, read_pages
 
-Reader = Callable[[SparkSession, Mapping[str, str]], DataFrame]
+@dataclass
+class Counted:
+    """Rows of a source with counters that are there once the rows have been landed."""
+
+    rows: DataFrame
+    counters: list[Observation]
+
+
+Reader = Callable[[SparkSession, Mapping[str, str]], DataFrame | Counted]
 
 
 def _listing_reader(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
@@ -28,22 +36,28 @@ def _listing_reader(spark: SparkSession, options: Mapping[str, str]) -> DataFram
     return parse_listing(pages, base_url=base)
 
 
-def _comment_reader(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
+def _comment_reader(spark: SparkSession, options: Mapping[str, str]) -> Counted:
     """Comments newest first, as the feed gives them."""
     comments = read_hits(spark, options["comments"]).withColumn("ordinal", -F.col("objectID").try_cast("long"))
     threads = read_hits(spark, options["threads"], "thread")
     newest = threads.withColumn("ordinal", -F.coalesce(F.col("objectID").try_cast("long"), F.lit(0)))
     chosen = hiring_threads(newest, int(options.get("limit", "1")))
-    return parse_comments(top_level_comments(comments, chosen))
+    return Counted(*parse_comments_counted(top_level_comments(comments, chosen)))
 
 
 # Add a source by adding its reader.
 READERS: dict[str, Reader] = {V.LISTING_SOURCE: _listing_reader, V.COMMENT_SOURCE: _comment_reader}
 
 # Room for the ordinals of one source, positive or negative; sources keep their order in the combined input.
+# A source that needs more is reported as broken rather than mixed into its neighbours.
 SOURCE_STRIDE = 10**16
 
 
+def _within_stride(ordinal: Column) -> Column:
+    wide = F.concat(F.lit("ordinal beyond 10^16: "), ordinal.cast("string"))
+    return F.when(F.abs(ordinal) >= SOURCE_STRIDE, F.raise_error(wide).cast("long")).otherwise(ordinal)
+
+
 @dataclass
 class RunStats:
     run_id: int = 0
@@ -55,14 +69,17 @@ class RunStats:
     new: int = 0
     errors: list[str] = field(default_factory=list)
     status: str = "running"
+    # Counters of the sources that have any, by source.
+    sources: dict[str, dict[str, int]] = field(default_factory=dict)
 
 
 def collect(spark: SparkSession, active: Sequence[str], options: Mapping[str, Mapping[str, str]], landing: str,
-            readers: Mapping[str, Reader] = READERS) -> tuple[DataFrame, list[str]]:
+            readers: Mapping[str, Reader] = READERS, counters: dict[str, dict[str, int]] | None = None,
+            ) -> tuple[DataFrame, list[str]]:
     """Land every active source and return their union; a failing source is reported, not fatal.
 
     Reads are lazy, so each source is written to the landing folder: that write is where a
-    broken source fails.
+    broken source fails, and where its counters come from, which are put into ``counters``.
     """
     frames: list[DataFrame] = []
     errors: list[str] = []
@@ -72,14 +89,18 @@ def collect(spark: SparkSession, active: Sequence[str], options: Mapping[str, Ma
             errors.append(f"{name}: unknown source")
             continue
         try:
-            rows = readers[name](spark, options.get(name, {}))
+            read = readers[name](spark, options.get(name, {}))
+            rows, watched = (read.rows, read.counters) if isinstance(read, Counted) else (read, [])
             damaged = sum(damaged_lines(spark, options[name][k]) for k in ("comments", "threads") if k in options.get(name, {}))
             if damaged:
                 errors.append(f"{name}: {damaged} damaged lines")
-            shifted = (F.coalesce("ordinal", F.lit(0)) + F.lit((2 * place + 1) * SOURCE_STRIDE)).alias("ordinal")
+            own = _within_stride(F.coalesce("ordinal", F.lit(0)))
+            shifted = (own + F.lit((2 * place + 1) * SOURCE_STRIDE)).alias("ordinal")
             path = f"{landing}/{name}"
             rows.select(shifted, *names[1:]).write.mode("overwrite").parquet(path)
             frames.append(spark.read.schema(RAW_POSTING).parquet(path))
+            if counters is not None and watched:
+                counters[name] = {k: v for observation in watched for k, v in observation.get.items()}
         except Exception as failure:  # noqa: BLE001 - one source must not stop the others
             errors.append(f"{name}: {str(failure).splitlines()[0] if str(failure) else type(failure).__name__}")
     if not frames:
@@ -157,5 +178,5 @@ def run_once(spark: SparkSession, root: str, active: Sequence[str], options: Map
     store = JobStore(spark, root)
     started = started or datetime.now(timezone.utc)
     stats = RunStats(run_id=store.start_run(started))
-    raw, stats.errors = collect(spark, active, options, f"{root}/landing/run_id={stats.run_id}", readers)
+    raw, stats.errors = collect(spark, active, options, f"{root}/landing/run_id={stats.run_id}", readers, stats.sources)
     return store_run(store, raw, stats, started, F.lit(started).cast("timestamp"), keywords, csv_path, taxonomy)

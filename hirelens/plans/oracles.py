@@ -596,6 +596,17 @@ def oracles() -> dict[str, str]:
         feed=_POSTED_COMMENTS,
     )
 
+    out["collect_sources"] = _with(
+        "raw_postings",
+        f"""SELECT 'rows' AS kind, '{V.COMMENT_SOURCE}' AS source, count(*) FILTER (ordinal % 9 <> 0) AS n FROM raw_postings
+            UNION ALL SELECT 'parsed', '{V.COMMENT_SOURCE}', count(*) FILTER (ordinal % 9 <> 0) FROM raw_postings
+            UNION ALL SELECT 'comments', '{V.COMMENT_SOURCE}', count(*) FROM raw_postings
+            UNION ALL SELECT 'error', '{V.COMMENT_SOURCE}', count(*) FILTER (ordinal % 50 = 0) FROM raw_postings
+            UNION ALL SELECT 'rows', 'src2', count(*) FILTER (source = 'src2') FROM raw_postings
+            UNION ALL SELECT 'rows', '{V.LISTING_SOURCE}', count(*) FROM ({_CARDS}) WHERE title <> ''
+            UNION ALL VALUES ('error', 'broken', 1), ('error', 'nowhere', 1)""",
+    )
+
     # --- enrichment ---
     out["salary_extract"] = _with(
         "raw_postings",
@@ -628,6 +639,13 @@ def oracles() -> dict[str, str]:
            CAST(posted_date AS VARCHAR) AS posted_date, CAST(len(skills) AS BIGINT) AS n_skills FROM rich""",
         **rich,
     )
+    out["run_counters"] = _with(
+        "raw_postings",
+        """SELECT 'fetched' AS counter, count(*) AS n FROM raw_postings UNION ALL SELECT 'unique', count(*) FROM rich
+           UNION ALL SELECT 'with_skills', count(*) FILTER (len(skills) > 0) FROM rich UNION ALL SELECT 'valid', count(*) FROM rich
+           UNION ALL SELECT 'invalid', 0 UNION ALL SELECT 'new', count(*) FILTER (source <> 'src1') FROM rich""",
+        **rich,
+    )
     text = f"left({_TEXT}, {V.ENTITY_SCOPE_CHARS})"
     out["entity_fill"] = _with(
         "raw_postings",
@@ -649,6 +667,16 @@ def oracles() -> dict[str, str]:
           count(*) FILTER (contains(e, ' class="')) AS with_class, count(*) FILTER (contains(e, ' href="')) AS with_href
         FROM (SELECT unnest(regexp_extract_all(html, '<[a-z][^>]*>')) AS e FROM pages) GROUP BY tag"""
     out["page_cards"] = f"SELECT * FROM ({_CARDS}) WHERE title <> ''"
+    out["page_files"] = f"""
+        SELECT ordinal, title, company, location, 'https://landed.example' || regexp_extract(url, '^[a-z]+://[^/?#]*(.*)$', 1) AS url
+        FROM ({_CARDS}) WHERE title <> ''"""
+    day = "strftime(DATE '2024-01-01' + CAST(ordinal // 1000000 % 60 AS INTEGER), '%Y-%m-%d')"
+    out["card_dates"] = f"""
+        SELECT ordinal, title, CASE ordinal // 1000000 % 4 WHEN 0 THEN {day} WHEN 1 THEN {day} WHEN 2 THEN 'on ' || {day} END AS posted
+        FROM ({_CARDS}) WHERE title <> ''"""
+    shown = "['é', 'é', 'é', '©', '½', '&nosuch;', '😀', '<b>', '≂̸']"
+    out["html_entities"] = _with(
+        "raw_postings", f"SELECT ordinal, 'a ' || {shown}[CAST(ordinal % 9 AS INTEGER) + 1] || ' & ' || company AS text FROM raw_postings")
     out["page_links"] = f"""
         SELECT page_id, CAST(unnest(range(0, len(l))) AS BIGINT) AS seq, {_ORIGIN} || unnest(l) AS link
         FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) AS l FROM pages)"""
@@ -657,6 +685,12 @@ def oracles() -> dict[str, str]:
         SELECT page_id, url, CASE WHEN starts_with({_HOST}, 'm.') THEN true
           WHEN starts_with({path}, '/en/1') THEN true WHEN starts_with({path}, '/en') THEN false
           WHEN starts_with({path}, '/de/2') THEN false ELSE true END AS allowed FROM pages"""
+    out["url_allowed_many_rules"] = """
+        WITH p AS (SELECT page_id, 'https://rules.example/' || array_to_string(string_split(url, '/')[-2:], '/') AS url FROM pages),
+        r AS (SELECT o_orderkey AS ord, ['/en/', '/de/', '/fr/', '/es/'][o_custkey % 4 + 1] || (o_orderkey % 1000) AS prefix,
+              o_orderkey % 3 = 0 AS allow FROM orders)
+        SELECT page_id, url, coalesce(arg_min(allow, ord), true) AS allowed
+        FROM p LEFT JOIN r ON starts_with(substr(url, 22), prefix) GROUP BY page_id, url"""
     out["header_split"] = _with(
         "raw_postings",
         f"SELECT ordinal, {_HEADER}[1] AS company, {_HEADER}[2] AS title, {_HEADER}[3] AS location FROM raw_postings",

@@ -465,6 +465,58 @@ def source_union(spark, sf):
 # --- enrichment ------------------------------------------------------------------------------
 
 
+def _land_feed(spark, sf, path):
+    """The postings as a comment feed in JSON lines; after every fiftieth a line that breaks off, some comments no posting."""
+    chat = F.when(F.col("ordinal") % 9 == 0, F.lit("Any news?")).otherwise(F.col("comment_text"))
+    hit = F.struct("objectID", F.lit("1").alias("parent_id"), "created_at", chat.alias("comment_text"))
+    line = F.to_json(F.struct(F.array(hit).alias("hits"), F.lit(1).alias("nbPages")))
+    feed = _feed(spark, sf).select(F.explode(F.when(F.col("ordinal") % 50 == 0, F.array(line, F.left(line, F.lit(25)))).otherwise(
+        F.array(line))).alias("value"))
+    feed.write.text(f"{path}/comments")
+    thread = F.to_json(F.struct(F.array(F.struct(F.lit("1").alias("objectID"), F.lit("Ask HN: Who is hiring?").alias("title"))).alias("hits")))
+    spark.range(1).select(thread.alias("value")).write.text(f"{path}/threads")
+
+
+@query
+def collect_sources(spark, sf):
+    """Five sources in one run, two of them out of order: rows by source, counters, and what went wrong."""
+    path = shared_dir(spark, "sources")
+    _land_feed(spark, sf, path)
+
+    def broken(spark, options):
+        return _raw(spark, sf).withColumn("title", F.raise_error(F.lit("feed is down")))
+
+    def table(spark, options):
+        return _raw(spark, sf).filter(F.col("source") == options["source"])
+
+    def cards(spark, options):
+        return listing.parse_listing(listing.read_pages(spark, options["pages"]), PAGE_SELECTORS)
+
+    readers = {**batch.READERS, "broken": broken, "table": table, "cards": cards}
+    options = {V.COMMENT_SOURCE: {"comments": f"{path}/comments", "threads": f"{path}/threads"},
+               "table": {"source": "src2"}, "cards": {"pages": f"{sf}/pages.parquet"}}
+    counters: dict[str, dict[str, int]] = {}
+    active = [V.COMMENT_SOURCE, "broken", "table", "nowhere", "cards"]
+    rows, errors = batch.collect(spark, active, options, f"{path}/landing", readers, counters)
+    # "source: what went wrong", for damaged lines with their number.
+    told = [("error", e.split(":")[0], int(e.split(": ")[1].split(" ")[0]) if e.endswith("damaged lines") else 1) for e in errors]
+    told += [(kind, name, n) for name, found in counters.items() for kind, n in found.items()]
+    return rows.groupBy(F.lit("rows").alias("kind"), "source").agg(F.count(F.lit(1)).alias("n")).unionByName(
+        spark.createDataFrame(told, "kind string, source string, n long"))
+
+
+@query
+def run_counters(spark, sf):
+    """Counters of the second of two runs, the first of which had the postings of one source."""
+    store, raw = JobStore(spark, shared_dir(spark, "counters")), _raw(spark, sf)
+    started = datetime(2026, 1, 1, tzinfo=timezone.utc)
+    for part in (raw.filter("source = 'src1'"), raw):
+        stats = batch.RunStats(run_id=store.start_run(started))
+        batch.store_run(store, part, stats, started, _scraped())
+    names = ["fetched", "unique", "with_skills", "valid", "invalid", "new"]
+    return spark.createDataFrame([(n, getattr(stats, n)) for n in names], "counter string, n long")
+
+
 @query
 def salary_extract(spark, sf):
     found = _raw(spark, sf).select("ordinal", salary.extract_salary(F.col("description")).alias("s"))
@@ -566,6 +618,35 @@ def page_cards(spark, sf):
     return listing.parse_listing(_pages(spark, sf), PAGE_SELECTORS).drop("description", "posted")
 
 
+@query
+def page_files(spark, sf):
+    """Pages landed as one HTML file each, numbered by path, and their cards."""
+    path = shared_dir(spark, "page-files")
+    _pages(spark, sf).select("page_id", "html").write.partitionBy("page_id").text(path)
+    cards = listing.parse_listing(listing.read_pages(spark, path), PAGE_SELECTORS, F.lit("https://landed.example/list/"))
+    return cards.select("ordinal", "title", "company", "location", "url")
+
+
+@query
+def card_dates(spark, sf):
+    """Dates of cards: the attribute before the visible text, an empty one of them passed over."""
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 60).cast("int")), "yyyy-MM-dd")
+    time = F.when(F.col("page_id") % 4 == 0, F.concat(F.lit('<time datetime="'), day, F.lit('">some day</time>'))).when(
+        F.col("page_id") % 4 == 1, F.concat(F.lit("<time> <b>"), day, F.lit("</b> </time>"))).when(
+        F.col("page_id") % 4 == 2, F.concat(F.lit('<time datetime="">on '), day, F.lit("</time>"))).otherwise(F.lit("<time></time>"))
+    dated = _pages(spark, sf).withColumn("html", F.concat(
+        F.substring_index("html", "<article>", 1), time, F.lit("<article>"), F.substring_index("html", "<article>", -1)))
+    return listing.parse_listing(dated, PAGE_SELECTORS).select("ordinal", "title", "posted")
+
+
+@query
+def html_entities(spark, sf):
+    """Entities by name, decimal and hexadecimal number, without semicolon, and such that are none."""
+    forms = F.array(*map(F.lit, ["&eacute;", "&#233;", "&#xE9;", "&copy", "&frac12;", "&nosuch;", "&#x1F600;", "&lt;b&gt;", "&NotEqualTilde;"]))
+    texts = _raw(spark, sf).select("ordinal", F.concat(F.lit("a "), F.get(forms, (F.col("ordinal") % 9).cast("int")), F.lit(" &amp; "), "company").alias("t"))
+    return texts.select("ordinal", html.unescape(F.col("t")).alias("text"))
+
+
 @query
 def page_links(spark, sf):
     pages = _pages(spark, sf)
@@ -591,6 +672,19 @@ def url_allowed(spark, sf):
     return listing.url_allowed(pages, rules)
 
 
+@query
+def url_allowed_many_rules(spark, sf):
+    """Every order is a rule on one host, every page lies on it: the first of the rules that begin its path decides."""
+    paths = _pages(spark, sf).select("page_id", F.concat(
+        F.lit("https://rules.example/"), F.substring_index("url", "/", -2)).alias("url"))
+    rules = bridge.table(spark, sf, "orders").select(
+        F.lit("rules.example").alias("host"), F.col("o_orderkey").alias("ord"), F.concat(
+            F.element_at(F.array(*map(F.lit, ["/en/", "/de/", "/fr/", "/es/"])), (F.col("o_custkey") % 4 + 1).cast("int")),
+            (F.col("o_orderkey") % 1000).cast("string")).alias("prefix"),
+        (F.col("o_orderkey") % 3 == 0).alias("allow"))
+    return listing.url_allowed(paths, rules)
+
+
 @query
 def header_split(spark, sf):
     lines = _raw(spark, sf).select("ordinal", F.substring_index("description", "<p>", 1).alias("line"))

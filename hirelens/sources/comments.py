@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
@@ -101,3 +101,19 @@ def parse_comments(comments: DataFrame, max_chars: int = V.MAX_DESCRIPTION_CHARS
         F.when(F.col("objectID") != "", F.concat(F.lit(V.COMMENT_URL_PREFIX), F.col("objectID"))).alias("url"),
         truncate(F.array_join("lines", "\n"), max_chars).alias("description"),
     )
+
+
+def parse_comments_counted(comments: DataFrame, max_chars: int = V.MAX_DESCRIPTION_CHARS,
+                           source: str = V.COMMENT_SOURCE) -> tuple[DataFrame, list[Observation]]:
+    """Postings, and counters ``comments`` and ``parsed`` that ride along: their quotient is the parse rate.
+
+    The counters are there after an action on the postings.
+    """
+    read, parsed = Observation(), Observation()
+    postings = parse_comments(comments.observe(read, F.count(F.lit(1)).alias("comments")), max_chars, source)
+    return postings.observe(parsed, F.count(F.lit(1)).alias("parsed")), [read, parsed]
+
+
+def parse_rate(counters: dict[str, int]) -> float | None:
+    """Share of the comments that are postings; none without comments."""
+    return counters["parsed"] / counters["comments"] if counters.get("comments") else None

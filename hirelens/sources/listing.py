@@ -10,7 +10,6 @@ from pyspark.sql import Window
 
 from hirelens import fixed_values as V
 from hirelens.functions.html import element_matches, resolve_url, selector_tags, shred
-from hirelens.operators.salting import join_per_key, salt
 from hirelens.session import shared_dir
 
 Selectors = Mapping[str, Sequence[str]]
@@ -128,25 +127,25 @@ def allowed_pages(pages: DataFrame, rules: DataFrame, respect: bool = True) -> D
 def url_allowed(pages: DataFrame, rules: DataFrame, respect: bool = True) -> DataFrame:
     """Add ``allowed``: the first rule of the host whose prefix starts the path decides.
 
-    ``rules`` is (host, ord, prefix, allow). A host's rules become one small array, so every
-    page joins at most one row; the pages of a very large host are spread by a salt.
+    ``rules`` is (host, ord, prefix, allow), any number a host. A path is expanded into its prefixes of
+    the lengths that the rules of its host have, and these are joined with the rules by equality; so
+    no list of rules is compared one by one. Equal paths of a host are decided once. Hosts with many
+    paths, or prefixes with many rules, are rows that Spark's skew join may split.
     """
     if not respect:
         return pages.withColumn("allowed", F.lit(True))
-    per_host = rules.groupBy("host").agg(
-        F.array_sort(F.collect_list(F.struct("ord", "prefix", "allow"))).alias("_rules")
-    )
     path = F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*(.*)$", 1)
-    keyed = pages.withColumns(
-        {
-            "host": F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1)),
-            "_path": F.when(path == "", F.lit("/")).otherwise(path),
-        }
-    )
-    decided = F.get(
-        F.filter("_rules", lambda r: (r["prefix"] != "") & F.startswith(F.col("_path"), r["prefix"])), F.lit(0)
-    )
-    salted = keyed.withColumn("_salt", salt("url"))
-    return join_per_key(salted, per_host, ["host"], "left").select(
-        *pages.columns, F.coalesce(decided["allow"], F.lit(True)).alias("allowed")
-    )
+    host = F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.\-]*://([^/?#]*)", 1))
+    keyed = pages.withColumns({"_host": host, "_path": F.when(path == "", F.lit("/")).otherwise(path)})
+    # The first of equal prefixes is the only one that can decide; empty ones say nothing.
+    first = rules.where(F.col("prefix") != "").groupBy(F.col("host").alias("_host"), F.col("prefix").alias("_prefix")).agg(
+        F.min(F.struct("ord", "allow")).alias("_rule"))
+    # At most one length a letter of the longest path that counts.
+    lengths = first.groupBy("_host").agg(F.collect_set(F.length("_prefix")).alias("_lengths"))
+    prefixes = keyed.select("_host", "_path").distinct().join(lengths, "_host").select(
+        "_host", "_path", F.explode(F.filter("_lengths", lambda n: n <= F.length("_path"))).alias("_n")).withColumn(
+        "_prefix", F.expr("substring(_path, 1, _n)"))
+    decided = prefixes.join(first, ["_host", "_prefix"]).groupBy("_host", "_path").agg(F.min("_rule").alias("_rule"))
+    # Only what is forbidden is looked up: the rest is allowed anyway.
+    forbidden = decided.where(~F.col("_rule.allow")).select("_host", "_path", F.lit(False).alias("_no"))
+    return keyed.join(forbidden, ["_host", "_path"], "left").select(*pages.columns, F.col("_no").isNull().alias("allowed"))
