@@ -481,6 +481,7 @@ def oracles() -> dict[str, str]:
         """SELECT job_id, title, company, location FROM full_prepared
            WHERE contains(lower(title || ' ' || company || ' ' || location || ' ' || skill_text), 'nation_1 brand#2')""",
     )
+    out["search_jobs_indexed"] = out["search_jobs"]
     out["filter_domains"] = _with(
         "prepared job_skills",
         """SELECT DISTINCT 'source' AS domain, source AS option FROM prepared
@@ -626,6 +627,21 @@ def oracles() -> dict[str, str]:
         choices=_CHOICES,
         near=_FUZZY,
     )
+    out["fuzzy_large_names"] = f"""
+        WITH names AS (SELECT c_name AS name FROM customer UNION SELECT p_name FROM part),
+        places AS (SELECT c_name AS n, CAST(o_orderkey % 17 + 1 AS INTEGER) AS i, o_orderkey % 4 AS kind
+                   FROM orders JOIN customer ON o_custkey = c_custkey),
+        tokens AS (SELECT DISTINCT substr(n, 1, i - 1) || CASE kind WHEN 0 THEN substr(n, i + 1)
+            WHEN 1 THEN substr(n, i, 1) || substr(n, i) WHEN 2 THEN substr(n, i + 1, 1) || substr(n, i, 1) || substr(n, i + 2)
+            ELSE 'x' || substr(n, i + 1) END AS token FROM places),
+        pairs AS (SELECT token, name, levenshtein(token, name) AS d, length(token) - length(name) AS gap
+                  FROM tokens, names WHERE abs(length(token) - length(name)) <= 2 AND levenshtein(token, name) <= 2),
+        cut AS (SELECT *, list_transform(range(1, length(token) + 1), lambda k: substr(token, 1, k - 1) || substr(token, k + 1)) AS a,
+                list_transform(range(1, length(name) + 1), lambda k: substr(name, 1, k - 1) || substr(name, k + 1)) AS b FROM pairs),
+        rated AS (SELECT token, name, 100.0 * (length(token) + length(name) - CASE WHEN d = abs(gap) THEN d WHEN d = 1 THEN 2
+                  WHEN gap = 0 AND list_has_any(a, b) THEN 2 ELSE 99 END) / (length(token) + length(name)) AS ratio FROM cut)
+        SELECT token, name, round(ratio, 4) AS ratio FROM rated WHERE ratio >= {V.FUZZY_THRESHOLD}
+        QUALIFY row_number() OVER (PARTITION BY token ORDER BY ratio DESC, name) = 1"""
     rich = _enriched(True)
     out["enriched"] = _with(
         "raw_postings",
@@ -764,6 +780,11 @@ def oracles() -> dict[str, str]:
         SELECT CAST(CAST(week AS DATE) AS VARCHAR) AS week, count(*) AS jobs FROM
         (SELECT date_trunc('week', ts) + INTERVAL 6 DAY AS week FROM events)
         WHERE week + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY week"""
+    out["stream_weekly_filled"] = """
+        WITH e AS (SELECT * FROM events WHERE week(ts) % 3 <> 0), w AS (SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS week FROM e),
+        r AS (SELECT CAST(unnest(generate_series((SELECT min(week) FROM w), (SELECT max(week) FROM w), INTERVAL 7 DAY)) AS DATE) AS week)
+        SELECT CAST(r.week AS VARCHAR) AS week, (SELECT count(*) FROM w WHERE w.week = r.week) AS jobs FROM r
+        WHERE r.week + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM e)"""
     out["stream_dedup"] = "SELECT DISTINCT user_id, event_type FROM events"
     out["stream_ingest"] = _with(
         "raw_postings",

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
 from hirelens.functions import dates, flags, html, salary, skills, text
-from hirelens.operators import alerts, analytics, clean, enrich, filters, history, known_ids
+from hirelens.operators import alerts, analytics, clean, enrich, filters, history, known_ids, near_names, trigrams
 from hirelens.plans import batch
 from hirelens.plans.store import JobStore, append_csv
 from hirelens.session import shared_dir
 from hirelens.sources import bridge, comments, listing, tables
-from hirelens.streaming import flows, metrics
+from hirelens.streaming import flows, metrics, weeks
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -236,6 +236,14 @@ def search_jobs(spark, sf):
     return filters.filter_jobs(jobs, query="  NATION_1 Brand#2").select("job_id", "title", "company", "location")
 
 
+@query
+def search_jobs_indexed(spark, sf):
+    """The same search through a stored trigram index over all jobs."""
+    jobs = filters.prepare_jobs(_full_jobs(spark, sf))
+    index = trigrams.TrigramIndex.build(jobs, "job_id", filters.search_text(), shared_dir(spark, "trigrams"))
+    return index.search(jobs, filters.search_text(), "NATION_1 Brand#2").select("job_id", "title", "company", "location")
+
+
 @query
 def filter_domains(spark, sf):
     return filters.filter_domains(_jobs(spark, sf), bridge.view(spark, sf, "job_skills"))
@@ -548,6 +556,25 @@ def fuzzy_vocab(spark, sf):
     return enrich.fuzzy_vocabulary(texts, F.col("t")).withColumn("ratio", F.round("ratio", 4))
 
 
+def _damaged_names(spark, sf):
+    """Customer names with a letter lost, doubled, swapped with the next, or replaced, by order."""
+    name, at = F.col("c_name"), (F.col("o_orderkey") % 17 + 1).cast("int")
+    head, letter, following, tail = F.substr(name, F.lit(1), at - 1), F.substr(name, at, F.lit(1)), F.substr(name, at + 1, F.lit(1)), F.substr(name, at + 2)
+    kind = F.col("o_orderkey") % 4
+    token = F.when(kind == 0, F.concat(head, following, tail)).when(kind == 1, F.concat(head, letter, letter, following, tail)).when(
+        kind == 2, F.concat(head, following, letter, tail)).otherwise(F.concat(head, F.lit("x"), following, tail))
+    orders, customers = bridge.table(spark, sf, "orders"), bridge.table(spark, sf, "customer")
+    return orders.join(customers, orders.o_custkey == customers.c_custkey).select(token.alias("token"))
+
+
+@query
+def fuzzy_large_names(spark, sf):
+    """The nearest of all customer and part names to each damaged name."""
+    names = bridge.table(spark, sf, "customer").select(F.col("c_name").alias("name")).unionByName(
+        bridge.table(spark, sf, "part").select(F.col("p_name").alias("name")))
+    return near_names.nearest_names(_damaged_names(spark, sf), names, V.FUZZY_THRESHOLD).select("token", "name", *_money("ratio"))
+
+
 @query
 def enriched(spark, sf):
     rich = enrich.enrich(_unique(spark, sf))
@@ -856,6 +883,20 @@ def stream_weekly(spark, sf):
     return done.select(_text("week"), "jobs")
 
 
+@query
+def stream_weekly_filled(spark, sf):
+    """The same with every third week's events left out: those weeks are told with 0."""
+    kept = _event_stream(spark, sf).filter(F.weekofyear("ts") % 3 != 0)
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    weeks.use_rocksdb(spark)
+    try:
+        done = _finished(spark, "weekly-filled", weeks.filled_weeks(kept))
+    finally:
+        spark.conf.set(setting, before)
+    return done.select(_text("week"), "jobs")
+
+
 @query
 def stream_dedup(spark, sf):
     keyed = _event_stream(spark, sf).select("ts", "user_id", "event_type")
