@@ -2,15 +2,17 @@
 
 Tasks cut texts into pre-tokens and number the distinct ones of a batch of texts, so that a word
 is merged once a batch. The merging is a fold over the word's array of byte symbols: each step
-takes the pair of lowest rank (leftmost first) and puts the merged symbol in its place. Ranks come
-from a literal map in the plan: long arrays addressed by hash and displacement, whose entries tell
-the pair and the merged symbol. Decoding looks up
-the binary piece of every id and concatenates the pieces.
+takes the pair of lowest rank (leftmost first), puts the merged symbol in its place and looks up the
+two pairs that this symbol is part of. Ranks come from a literal map in the plan: long arrays
+addressed by hash and displacement, whose entries tell the pair and the merged symbol. The words'
+ids are then laid out text by text. Decoding looks up the binary piece of every id and concatenates
+the pieces.
 """
 
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -25,9 +27,11 @@ from hirelens.llm.common import gathered, small_batches
 from hirelens.sources.tables import read_parquet
 
 # Text bytes whose distinct words are merged together.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 8 << 20
 ID_BITS = 20
 NO_PAIR = 1 << ID_BITS
+# Stands before and after a word; it is no rank, so it merges with nothing.
+EDGE = NO_PAIR - 1
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -47,8 +51,8 @@ class RankMap:
     BUCKETS, PLACES = 1 << 15, 1 << 18
 
     def __init__(self, ranks: dict[bytes, int]):
-        if max(ranks.values()) >= NO_PAIR:
-            raise ValueError(f"ranks must stay below {NO_PAIR}")
+        if max(ranks.values()) >= EDGE:
+            raise ValueError(f"ranks must stay below {EDGE}")
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"no piece for the bytes {missing}")
@@ -105,24 +109,35 @@ def merged_id(ranks: RankMap, shifts: Column, entries: Column):
 
 
 def merge_word(symbols: Column, look_up) -> Column:
-    """Fold an array of byte symbols (longs) into the ids of its pieces.
+    """Fold an array of byte symbols (longs, between two EDGEs) into the ids of its pieces.
 
-    A step looks up what each symbol and its right neighbour merge into; the lowest id is the lowest
-    rank. It replaces the leftmost such pair; once no pair merges, the remaining steps change nothing.
+    The state holds the symbols and what each merges into with its right neighbour; the lowest id is the
+    lowest rank. A step replaces the leftmost such pair and looks up the two pairs around the new symbol,
+    so a word needs look-ups in proportion to its length. Once no pair merges, nothing changes any more.
     """
-    def step(ids: Column, _: Column) -> Column:
-        def replaced(pairs: Column) -> Column:
-            low = F.array_min(pairs)
-            return F.when(low < NO_PAIR, named_once(F.array_position(pairs, low).cast("int"), lambda at: F.concat(
-                F.slice(ids, 1, at - 1), F.array(F.get(pairs, at - 1)), F.slice(ids, at + 2, F.size(ids))))).otherwise(ids)
+    def step(state: Column, _: Column) -> Column:
+        ids, pairs = state["ids"], state["pairs"]
 
-        return named_once(F.zip_with(ids, F.slice(ids, 2, F.size(ids)), look_up), replaced)
+        def replaced(low: Column, at: Column) -> Column:
+            around = F.zip_with(F.array(F.get(ids, at - 2), low), F.array(low, F.get(ids, at + 1)), look_up)
+            return F.struct(
+                F.concat(F.slice(ids, 1, at - 1), F.array(low), F.slice(ids, at + 2, F.size(ids))).alias("ids"),
+                F.concat(F.slice(pairs, 1, at - 2), around, F.slice(pairs, at + 2, F.size(pairs))).alias("pairs"))
 
-    return F.aggregate(F.sequence(F.lit(2), F.greatest(F.size(symbols), F.lit(2))), symbols, step)
+        def lowest(low: Column) -> Column:
+            at = F.array_position(pairs, low).cast("int")
+            return F.when(low < NO_PAIR, named_once(at, lambda place: replaced(low, place))).otherwise(state)
+
+        return named_once(F.array_min(pairs), lowest)
+
+    first = F.struct(symbols.alias("ids"), F.zip_with(symbols, F.slice(symbols, 2, F.size(symbols)), look_up).alias("pairs"))
+    steps = F.sequence(F.lit(2), F.greatest(F.size(symbols) - 2, F.lit(2)))
+    return F.aggregate(steps, first, step, lambda s: F.slice(s["ids"], 2, F.size(s["ids"]) - 2))
 
 
 def word_batches(docs: DataFrame, ranks: RankMap, pattern: str) -> DataFrame:
-    """One row per batch of texts: its distinct words as arrays of byte symbols, and each text as word numbers."""
+    """One row per batch of texts: the keys, how many words each has, all words by number (32-bit, in order), and
+    the distinct words as arrays of byte symbols."""
     byte_ids = ranks.byte_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,21 +145,27 @@ def word_batches(docs: DataFrame, ranks: RankMap, pattern: str) -> DataFrame:
         for batch in gathered(batches, "text", BATCH_BYTES):
             number: defaultdict = defaultdict()
             number.default_factory = number.__len__
-            texts = [list(map(number.__getitem__, cut.findall(t or ""))) for t in batch.column("text").to_pylist()]
+            sizes, places = [], []
+            for text in batch.column("text").to_pylist():
+                found = cut.findall(text) if text else ()
+                sizes.append(len(found))
+                places.append(np.fromiter(map(number.__getitem__, found), "<i4", len(found)))
             words = [w.encode() for w in number]
-            ends = np.cumsum([0, *map(len, words)]).astype(np.int32)
-            symbols = byte_ids[np.frombuffer(b"".join(words), np.uint8)]
-            word_list = pa.ListArray.from_arrays(pa.array(ends), pa.array(symbols))
-            places = pa.ListArray.from_arrays(
-                pa.array(np.cumsum([0, *map(len, texts)]).astype(np.int32)),
-                pa.array(np.fromiter((w for t in texts for w in t), np.int32)))
-            rows = pa.StructArray.from_arrays([batch.column("key"), places], names=["key", "places"])
-            whole = lambda n, values: pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), values)
-            yield pa.RecordBatch.from_arrays([whole(len(words), word_list), whole(len(texts), rows)], names=["words", "texts"])
+            # EDGE, the bytes, EDGE, for each word.
+            ends = np.cumsum([0, *(len(w) + 2 for w in words)])
+            symbols = np.full(ends[-1], EDGE, dtype=np.int64)
+            inner = np.ones(len(symbols), dtype=bool)
+            inner[ends[:-1]] = inner[ends[1:] - 1] = False
+            symbols[inner] = byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+            word_list = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(symbols))
+            whole = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+            yield pa.RecordBatch.from_arrays(
+                [whole(batch.column("key")), whole(pa.array(sizes, pa.int32())), pa.array([b"".join(p.tobytes() for p in places)]),
+                 whole(word_list)], names=["keys", "sizes", "places", "words"])
 
     key = docs.schema["key"].dataType.simpleString()
     return docs.select("key", "text").mapInArrow(
-        run, f"words array<array<bigint>>, texts array<struct<key:{key}, places:array<int>>>")
+        run, f"keys array<{key}>, sizes array<int>, places binary, words array<array<bigint>>")
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, key: Column | None = None,
@@ -152,21 +173,39 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
     """Per row: key (its identifier, or ``key``) and ids, an array of the text's token ids.
 
     Null and empty texts have no ids. Rows with repeated or null identifiers are encoded like any
-    other; columns other than those named are not read.
+    other; columns other than those named are not read. A pre-token of many thousand letters takes as
+    many steps of the fold, each of them over an array of its length.
     """
     small_batches(docs.sparkSession)
     table = RankMap(ranks)
     named = docs.select((F.col(id_col) if key is None else key).alias("key"), F.col(text_col).alias("text"))
     batches = word_batches(named, table, pattern)
 
-    def per_text(literals: Column) -> Column:
+    def merged(literals: Column) -> Column:
         look_up = merged_id(table, literals["shifts"], literals["entries"])
-        merged = F.transform("words", lambda w: merge_word(w, look_up))
-        return named_once(merged, lambda pieces: F.transform("texts", lambda t: F.struct(
-            t["key"].alias("key"), F.flatten(F.transform(t["places"], lambda p: F.get(pieces, p))).alias("ids"))))
+        return F.transform("words", lambda w: merge_word(w, look_up))
 
     literals = F.struct(long_literal(table.shifts).alias("shifts"), long_literal(table.entries).alias("entries"))
-    return batches.select(F.explode(named_once(literals, per_text)).alias("t")).select("t.key", "t.ids")
+    kind = named.schema["key"].dataType.simpleString()
+    return batches.select("keys", "sizes", "places", named_once(literals, merged).alias("pieces")).mapInArrow(
+        laid_out, f"key {kind}, ids array<int>")
+
+
+def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids of every text: those of its words, one word after the other."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            keys, sizes, words = (batch.column(c).slice(row, 1).flatten() for c in ("keys", "sizes", "pieces"))
+            places = np.frombuffer(batch.column("places")[row].as_buffer(), dtype="<i4")
+            bounds = words.offsets.to_numpy().astype(np.int64)
+            ids = words.flatten().to_numpy().astype(np.int32)
+            starts, lengths = bounds[:-1] - bounds[0], np.diff(bounds)
+            counts = lengths[places]
+            ends = np.cumsum(counts)
+            flat = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[places] - (ends - counts), counts)]
+            borders = np.r_[0, ends][np.r_[0, np.cumsum(sizes.to_numpy())]]
+            yield pa.RecordBatch.from_arrays(
+                [keys, pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(flat))], names=["key", "ids"])
 
 
 def named_once(value: Column, use) -> Column:
@@ -174,11 +213,16 @@ def named_once(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes of an array of ids: their pieces one after the other. An id without a piece gives null."""
+def piece_list(ranks: dict[bytes, int]) -> list[bytes]:
     pieces = [b""] * (max(ranks.values()) + 1)
     for piece, rank in ranks.items():
         pieces[rank] = piece
+    return pieces
+
+
+def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
+    """The bytes of an array of ids: their pieces one after the other. An id without a piece gives null."""
+    pieces = piece_list(ranks)
     # One Latin-1 letter per byte, pieces parted by a letter beyond them: a text that the optimiser folds into an array.
     parted = "\u0100".join(p.decode("latin-1") for p in pieces)
     listed = F.split(F.lit(parted), "\u0100")
@@ -186,11 +230,50 @@ def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
     return F.when(known, F.encode(F.array_join(F.transform(ids, lambda i: F.get(listed, i.cast("int"))), ""), "ISO-8859-1"))
 
 
+def _id_lists(column: pa.ListArray) -> Iterator[list[int]]:
+    """Each row's ids."""
+    bounds = column.offsets.to_numpy()
+    flat = column.flatten().to_numpy()
+    for first, last in zip(bounds[:-1] - bounds[0], bounds[1:] - bounds[0]):
+        yield flat[first:last].tolist()
+
+
+def with_decoded(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """Rows of ``encode`` with ``decoded``, the bytes of their ids; in batches, where whole tables are decoded."""
+    shared = encoded.sparkSession.sparkContext.broadcast(piece_list(ranks))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        piece = shared.value.__getitem__
+        for batch in batches:
+            texts = pa.array([b"".join(map(piece, ids)) for ids in _id_lists(batch.column("ids"))], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("ids"), texts], names=["key", "ids", "decoded"])
+
+    kind = encoded.schema["key"].dataType.simpleString()
+    return encoded.mapInArrow(run, f"key {kind}, ids array<int>, decoded binary")
+
+
+def digests(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """Of rows of ``encode``: doc_id, how many ids, SHA-256 of the ids in decimal parted by spaces, and of the decoded bytes."""
+    shared = encoded.sparkSession.sparkContext.broadcast(piece_list(ranks))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = shared.value
+        piece, numeral = pieces.__getitem__, [b"%d" % k for k in range(len(pieces))].__getitem__
+        for batch in batches:
+            counts, own, back = [], [], []
+            for ids in _id_lists(batch.column("ids")):
+                counts.append(len(ids))
+                own.append(hashlib.sha256(b" ".join(map(numeral, ids))).hexdigest())
+                back.append(hashlib.sha256(b"".join(map(piece, ids))).hexdigest())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(counts, pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string())],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    kind = encoded.schema["key"].dataType.simpleString()
+    return encoded.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+
+
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: digests of the ids and of the decoded bytes."""
     ranks = load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    ids = encode(read_parquet(spark, f"{sf_dir}/documents.parquet"), ranks)
-    return ids.select(
-        F.col("key").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.transform("ids", lambda i: i.cast("string")), " ").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(decode(F.col("ids"), ranks), 256).alias("decoded_sha256"))
+    return digests(encode(read_parquet(spark, f"{sf_dir}/documents.parquet"), ranks), ranks)

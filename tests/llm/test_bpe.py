@@ -6,7 +6,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from hirelens.llm.bpe import bpe, decode, encode, load_ranks
+from hirelens.llm.bpe import bpe, decode, encode, load_ranks, with_decoded
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -44,6 +44,15 @@ def test_nulls_repeats_and_extra_columns(spark, ranks):
     assert encode(docs.limit(0), ranks).count() == 0
 
 
+def test_one_very_long_word(spark, ranks, library):
+    pick = random.Random(4)
+    texts = ["".join(pick.choices("etaoinshrdlu", k=5000)), "a" * 5000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.key: r for r in with_decoded(encode(docs, ranks), ranks).collect()}
+    for k, text in enumerate(texts):
+        assert got[k].ids == library.encode_ordinary(text) and bytes(got[k].decoded) == text.encode()
+
+
 def test_unknown_ids_have_no_text(spark, ranks):
     docs = spark.createDataFrame([([70000],), ([-1],), ([],), (None,)], "ids array<long>")
     assert [r[0] for r in docs.select(decode(F.col("ids"), ranks)).collect()] == [None, None, bytearray(), None]
