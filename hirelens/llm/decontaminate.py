@@ -31,6 +31,8 @@ FILTER_BITS = 22
 # A verbatim run of so many whole words or canonical bytes counts as part of an item; words have a letter at least.
 RUN_WORDS, RUN_BYTES = 13, 60
 SEED = 2 * RUN_WORDS - 1 - Q + 1
+# Hits of shared q-grams handled together; a batch with more is counted in pieces, which changes no result.
+HITS_AT_ONCE = 2_000_000
 SPACE = 32
 CANON = np.arange(256, dtype=np.uint8)
 CANON[65:91] += 32
@@ -130,30 +132,46 @@ class Index:
                    np.flatnonzero(~letter[:-1] & letter[1:]), np.flatnonzero(letter[:-1] & ~letter[1:]),
                    sorted({(item, text) for item, text in short if text}))
 
-    def hits(self, codes: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(text place, entry) of every shared q-gram."""
-        low, high = np.searchsorted(self.codes, codes), np.searchsorted(self.codes, codes, side="right")
-        many = high - low
-        entry = np.repeat(low - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
-        return np.repeat(at, many), entry
 
+@dataclass
+class Shared:
+    """The q-grams of a batch that the index has: text place, row, first entry of the index, and how many entries.
+
+    A q-gram of very many items has as many hits at every place, so hits are made a piece at a time.
+    """
 
-def shared_qgrams(index: Index, letters: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, text place, entry of the index) of every shared q-gram."""
+    place: np.ndarray
+    row: np.ndarray
+    low: np.ndarray
+    many: np.ndarray
+
+    def pieces(self, at_once: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, text place, entry) of every hit, about ``at_once`` of them together."""
+        ends = np.cumsum(self.many)
+        first = 0
+        while first < len(ends):
+            done = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + at_once, side="right")))
+            many, part = self.many[first:last], slice(first, last)
+            entry = np.repeat(self.low[part] - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
+            yield np.repeat(self.row[part], many), np.repeat(self.place[part], many), entry
+            first = last
+
+
+def shared_qgrams(index: Index, letters: np.ndarray, offsets: np.ndarray) -> Shared:
     codes = qgrams(letters)
     at = np.flatnonzero(index.wanted[_buckets(codes)])
     rows = np.searchsorted(offsets, at, side="right") - 1
     inside = at + Q <= offsets[rows + 1]
-    at = at[inside]
-    place, entry = index.hits(codes[at], at)
-    return np.searchsorted(offsets, place, side="right") - 1, place, entry
+    at, rows = at[inside], rows[inside]
+    low, high = np.searchsorted(index.codes, codes[at]), np.searchsorted(index.codes, codes[at], side="right")
+    held = high > low
+    return Shared(at[held], rows[held], low[held], (high - low)[held])
 
 
-def candidates(index: Index, offsets: np.ndarray, rows: np.ndarray, place: np.ndarray,
+def _band_keys(index: Index, offsets: np.ndarray, rows: np.ndarray, place: np.ndarray,
                entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, probe, first diagonal) of the bands with enough shared q-grams."""
-    if not len(place):
-        return (np.zeros(0, np.int64),) * 3
+    """Of every hit its two bands, as (row, probe, band) in one number, the hits these need, and their hashed bins."""
     probe, offset = index.probes[entry], index.places[entry]
     # Diagonals are counted from the text's own start, shifted so that none is negative.
     diagonal = place - offsets[rows] - offset + index.letters.shape[1]
@@ -161,10 +179,29 @@ def candidates(index: Index, offsets: np.ndarray, rows: np.ndarray, place: np.nd
     band = diagonal // stride + 1
     key = ((rows * len(index.sizes) + probe) << 32) + band
     key, needed = np.r_[key, key - 1], np.r_[index.needed[probe], index.needed[probe]]
+    return key, needed, ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)).astype(np.int32)
+
+
+def candidates(index: Index, offsets: np.ndarray, shared: Shared) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, probe, first diagonal) of the bands with enough shared q-grams."""
+    if not len(shared.place):
+        return (np.zeros(0, np.int64),) * 3
     # Counting in hashed bins first spares the sort of nearly all hits: a bin counts at least as many as its bands.
-    bins = ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)).astype(np.int32)
-    key = key[np.bincount(bins, minlength=1 << FILTER_BITS)[bins] >= needed]
-    key, counts = np.unique(key, return_counts=True)
+    totals, kept, counts = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    several = shared.many.sum() > HITS_AT_ONCE
+    if several:
+        totals = np.zeros(1 << FILTER_BITS, dtype=np.int64)
+        for hits in shared.pieces(HITS_AT_ONCE):
+            totals += np.bincount(_band_keys(index, offsets, *hits)[2], minlength=1 << FILTER_BITS)
+    for hits in shared.pieces(HITS_AT_ONCE):
+        key, needed, bins = _band_keys(index, offsets, *hits)
+        found = totals if several else np.bincount(bins, minlength=1 << FILTER_BITS)
+        key, more = np.unique(key[found[bins] >= needed], return_counts=True)
+        if len(kept):
+            key, place = np.unique(np.r_[kept, key], return_inverse=True)
+            more = np.bincount(place, np.r_[counts, more]).astype(np.int64)
+        kept, counts = key, more
+    key = kept
     row, probe = np.divmod(key >> 32, len(index.sizes))
     enough = counts >= index.needed[probe]
     row, probe, band = row[enough], probe[enough], (key & 0xFFFFFFFF)[enough] - 1
@@ -206,9 +243,14 @@ def align(index: Index, letters: np.ndarray, offsets: np.ndarray, rows: np.ndarr
     return last_cost[pick, at], base + start, base + stop
 
 
-def runs(index: Index, letters: np.ndarray, offsets: np.ndarray, rows: np.ndarray, place: np.ndarray,
-         entry: np.ndarray) -> tuple[np.ndarray, ...]:
+def runs(index: Index, letters: np.ndarray, offsets: np.ndarray, shared: Shared) -> tuple[np.ndarray, ...]:
     """(row, probe, start, stop) of verbatim runs of enough words or bytes; the probe names the item."""
+    parts = [_runs(index, letters, offsets, *hits) for hits in shared.pieces(HITS_AT_ONCE)]
+    return tuple(np.concatenate(p) for p in zip(*parts)) if parts else (np.zeros(0, np.int64),) * 4
+
+
+def _runs(index: Index, letters: np.ndarray, offsets: np.ndarray, rows: np.ndarray, place: np.ndarray,
+          entry: np.ndarray) -> tuple[np.ndarray, ...]:
     seed = index.seeds[entry]
     rows, place, entry = rows[seed], place[seed], entry[seed]
     probe = index.probes[entry]
@@ -271,7 +313,7 @@ def search(index: Index, texts: pa.Array, at_once: int = 4096) -> tuple[tuple[np
     shared = shared_qgrams(index, letters, inner)
     origin_end = np.r_[origin, len(content)]
     probed = _probes(index, letters, inner, shared, at_once)
-    run_rows, run_probe, run_start, run_stop = runs(index, letters, inner, *shared)
+    run_rows, run_probe, run_start, run_stop = runs(index, letters, inner, shared)
     short_rows, number, short_start, short_stop = short_items(index, letters, inner)
     rows = np.concatenate([run_rows, short_rows])
     items = np.concatenate([index.items[run_probe], np.array([i for i, _ in index.short], dtype=np.int64)[number]])
@@ -294,10 +336,9 @@ def search(index: Index, texts: pa.Array, at_once: int = 4096) -> tuple[tuple[np
     return found, (rows, items, counts, *original(rows, start, stop))
 
 
-def _probes(index: Index, letters: np.ndarray, inner: np.ndarray, shared: tuple[np.ndarray, ...],
-            at_once: int) -> tuple[np.ndarray, ...]:
+def _probes(index: Index, letters: np.ndarray, inner: np.ndarray, shared: Shared, at_once: int) -> tuple[np.ndarray, ...]:
     """(row, probe, edits, start, stop) of every probe found; places are canonical bytes of the batch."""
-    rows, probe, first = candidates(index, inner, *shared)
+    rows, probe, first = candidates(index, inner, shared)
     parts = []
     for k in range(0, len(rows), at_once):
         part = slice(k, k + at_once)

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window
 
 from hirelens.llm.common import bitmap, marked, ragged, sliced, small_batches, stored
 from hirelens.llm.words import mix, run_hashes, split_words, word_hashes
@@ -306,33 +307,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return full.unionByName(empty)
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 90) -> DataFrame:
-    """One row of each component, the one with the smallest identifier, with all its columns.
-
-    Rows without words or identifier all stay. Of rows that repeat an identifier one stays.
-    """
-    found = stored(jaccard_components(docs, id_col, text_col, size, percent).where(F.col("doc_id").isNotNull()), "join-result")
-    leaving = found.where((F.col("n_shingles") > 0) & (F.col("doc_id") != F.col("component_id"))).select(
-        F.col("doc_id").alias(id_col)).distinct()
-    staying = docs.join(leaving, id_col, "left_anti")
-    again = stored(found.groupBy(F.col("doc_id").alias(id_col)).agg(
-        F.count(F.lit(1)).alias("rows"), F.max("n_shingles").alias("most")).where("rows > 1 AND most > 0").select(id_col),
-        "join-repeated")
-    if again.isEmpty():
-        return staying
-    row = F.struct(*docs.columns)
-    one = staying.join(again, id_col, "left_semi").groupBy(id_col).agg(F.max(row).alias("__row")).select("__row.*")
-    return staying.join(again, id_col, "left_anti").unionByName(one.select(*docs.columns))
-
-
 def numbered(docs: DataFrame, name: str) -> DataFrame:
     """A file-backed frame with a long that names each row for good: number of its file, then index in the file."""
-    spark = docs.sparkSession
-    paths = sorted(r.path for r in docs.select(F.col("_metadata.file_path").alias("path")).distinct().collect())
-    files = spark.createDataFrame(list(enumerate(paths)), "__file long, __path string")
+    paths = docs.select(F.col("_metadata.file_path").alias("__path")).distinct()
+    # One row a file; neither collected nor broadcast beyond Spark's own size check.
+    files = stored(paths.select("__path", (F.row_number().over(Window.orderBy("__path")) - 1).cast("long").alias("__file")), "join-files")
     placed = docs.withColumns({"__path": F.col("_metadata.file_path"), "__index": F.col("_metadata.row_index")})
     number = F.shiftleft("__file", 40).bitwiseOR(F.col("__index")).alias(name)
-    return placed.join(F.broadcast(files), "__path").select(*docs.columns, number)
+    return placed.join(files, "__path").select(*docs.columns, number)
 
 
 def kept_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, percent: int = 90) -> DataFrame:

@@ -238,8 +238,10 @@ def spans(narrow: DataFrame, window: int) -> DataFrame:
     # Only segments with different neighbours under their anchor, or that loop, need the automata.
     many = stored(classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("classes")).where("classes > 1"), "substring-anchors")
     open_ = stored(classes.join(many, "anchor", "left").where(
-        F.col("classes").isNotNull() | F.col("loops")).select("first", "windows"), "substring-open")
-    words = open_.agg(F.sum(F.col("windows") + window - 1)).first()[0] or 0
+        F.col("classes").isNotNull() | F.col("loops")).select("first", "windows", "classes"), "substring-open")
+    # Under crowded anchors each window travels by itself.
+    sent = F.when(F.col("classes") > WIDE, F.col("windows") * window).otherwise(F.col("windows") + window - 1)
+    words = open_.agg(F.sum(sent)).first()[0] or 0
     wide = bitmap(many.where(F.col("classes") > WIDE).select(high_bits("anchor", WIDE_BITS).alias("at")), WIDE_BITS)
     firsts = bitmap(_places(open_), ANCHOR_BITS)
     cut = pieces(known, window, firsts, wide, max(1, -(-words // SHARD_WORDS)))

@@ -67,8 +67,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
                     per_label: int) -> DataFrame:
     """Texts, labels (bad boolean) and weights of about ``per_label`` documents a label, at most twice as many.
 
-    A row's weight is how many labelled rows it stands for. The sample follows a hash of the identifier, so it is the same at every run. Only its
-    identifiers, bounded by ``per_label``, are broadcast.
+    A row's weight is how many labelled rows it stands for. The sample follows a hash of the identifier, so it is the
+    same at every run. Only its identifiers, bounded by ``per_label``, are broadcast. Of rows that repeat an
+    identifier one is taken, by a hash of its text, so the bound holds for rows too.
     """
     marked = labels.where(F.col(label_col).isNotNull() & F.col(label_id).isNotNull()).groupBy(
         F.col(label_id).alias("doc_id")).agg(F.max(F.col(label_col) != 0).alias("bad"))
@@ -81,7 +82,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
         return docs.select(F.col(text_col).alias("text"), F.lit(True).alias("bad"), F.lit(1.0).alias("weight")).limit(0)
     chosen = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return texts.join(F.broadcast(chosen), "doc_id").select("text", "bad", "weight")
+    return texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "bad", "weight").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "bad", "weight")
 
 
 def bucket_frequencies(sample: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """URL filtering by fixed host/path rules and, where none fits, by mined association rules.
 
-Labelled URLs become transactions of tokens (scheme, labels of the host, path segments, query
-names, their parts) plus one item for the label. Spark's FP-growth finds token combinations that
+Labelled URLs become transactions of tokens (words of the host, words of path and query; numbers are
+one token) plus one item for the label. Spark's FP-growth finds token combinations that
 imply "block"; rules under the wanted support or confidence fall away, and so does every rule that
 a more general rule with at least its confidence covers. Rules are matched through an inverted
 index: a rule is posted under its rarest token only, a URL looks up its tokens, and the rest of
@@ -61,10 +61,13 @@ def tokens(url: Column) -> Column:
     return F.array_distinct(F.concat(pieces(host, "h:"), pieces(rest, "p:")))
 
 
-def mine(labelled: DataFrame, url_col: str, bad_col: str, support: float, confidence: float) -> DataFrame:
+def mine(labelled: DataFrame, url_col: str, bad_col: str, support: float, confidence: float,
+         least_rows: int = 20, least_errors: float = 4.5) -> DataFrame:
     """Rules (rule_id, tokens, confidence, support) that imply "block".
 
-    ``support`` and ``confidence`` are fractions of the labelled rows and of a combination's rows.
+    ``support`` and ``confidence`` are fractions of the labelled rows and of a combination's rows. A rule
+    also needs ``least_rows`` bad rows, and a share of bad ones at least ``least_errors`` standard errors above
+    that of all labelled rows: by chance, a combination gets there about three times in a million.
     Rows without a label teach nothing. With no labelled row there is no rule.
     """
     known = labelled.where(F.col(bad_col).isNotNull())
@@ -73,9 +76,13 @@ def mine(labelled: DataFrame, url_col: str, bad_col: str, support: float, confid
     if baskets.isEmpty():
         return baskets.select(F.lit(0).cast("long").alias("rule_id"), F.col("items").alias("needs"),
                               F.lit(0.0).alias("confidence"), F.lit(0.0).alias("support")).limit(0)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(baskets)
-    found = model.associationRules.where(F.element_at("consequent", 1) == BLOCKED).select(
-        F.array_sort("antecedent").alias("needs"), "confidence", "support")
+    rows, bad = baskets.agg(F.count(F.lit(1)), F.count_if(F.array_contains("items", BLOCKED))).first()
+    base, least = bad / rows, max(support, least_rows / rows)
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, least), minConfidence=confidence).fit(baskets)
+    holding = F.col("support") * rows / F.col("confidence")
+    errors = (F.col("confidence") - base) * F.sqrt(holding) / max((base * (1 - base)) ** 0.5, 1e-9)
+    found = model.associationRules.where((F.element_at("consequent", 1) == BLOCKED) & (errors >= least_errors)).where(
+        F.round(F.col("support") * rows) >= least_rows).select(F.array_sort("antecedent").alias("needs"), "confidence", "support")
     found = stored(found.withColumn("rule_id", F.xxhash64(F.array_join("needs", "\n"))), "url-rules")
     return stored(general_rules(found), "url-rules-kept")
 

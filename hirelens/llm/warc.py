@@ -118,6 +118,10 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
      .option("compression", compression).text(path))
 
 
+# Compressed bytes given to a gzip member at a time.
+GZIP_PIECE = 1 << 14
+
+
 def parse_records(content: bytes) -> Iterator[dict]:
     """Records of one archive (plain, or gzip of one or many members), framed by Content-Length.
 
@@ -163,11 +167,14 @@ def inflate(content: bytes) -> bytes:
     """The bytes of a gzip file of any number of members; other bytes as they are. A cut member gives what it has."""
     if content[:2] != b"\x1f\x8b":
         return content
-    parts = []
-    while content[:2] == b"\x1f\x8b":
+    parts, at, whole = [], 0, memoryview(content)
+    while content[at:at + 2] == b"\x1f\x8b":
         member = zlib.decompressobj(wbits=31)
-        parts.append(member.decompress(content))
-        content = member.unused_data
+        while at < len(content) and not member.eof:
+            # Fed in pieces: what a member leaves over is at most one of them, however many members follow.
+            parts.append(member.decompress(whole[at:at + GZIP_PIECE]))
+            at = min(at + GZIP_PIECE, len(content))
+        at -= len(member.unused_data)
         if not member.eof:
             break
     return b"".join(parts)

@@ -87,3 +87,27 @@ def test_documents_against_plain_search(spark):
     items = [(r.item_id, canon(r.text)) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
     whole = {(i, k) for k, t in items for i, text in docs if t.strip() in text}
     assert whole and whole <= got and len(got) <= len(whole) + 2
+
+
+def test_a_phrase_of_very_many_items(monkeypatch):
+    """Hits are counted in pieces, and the pieces change nothing."""
+    import pyarrow as pa
+
+    from hirelens.llm import decontaminate as D
+    pick = random.Random(11)
+    word = lambda: "".join(pick.choices("abcdefghijklmnop", k=6))
+    phrase = "answer the following question about the passage"
+    items = [(k, f"{' '.join(word() for _ in range(6))} {phrase} {' '.join(word() for _ in range(8))}") for k in range(300)]
+    index = D.Index.build(items, 100, 0.1, 30)
+    filler = [" ".join(word() for _ in range(5)) for _ in range(10)]
+    texts = [" ".join(f"{phrase} {f}" for f in filler)] * 3 + [f"{word()} {items[k][1]} {word()}" for k in range(0, 300, 50)] + ["", None]
+    assert D.shared_qgrams(index, *D.canonical(*D.text_buffer(pa.array(texts)))[::2]).many.sum() > 200_000
+    plain = None
+    for at_once in (1 << 40, 20_000):
+        monkeypatch.setattr(D, "HITS_AT_ONCE", at_once)
+        (rows, probe, edits, start, stop), others = D.search(index, pa.array(texts))
+        found = [x.tolist() for x in (rows, probe, edits, start, stop, *others)]
+        assert plain is None or found == plain
+        plain = found
+    pairs = set(zip(rows.tolist(), index.items[probe].tolist()))
+    assert pairs >= {(3 + n, k) for n, k in enumerate(range(0, 300, 50))} and not {p for p in pairs if p[0] < 3}

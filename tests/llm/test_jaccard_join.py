@@ -71,8 +71,6 @@ def test_short_empty_and_repeated_rows(spark):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in J.jaccard_components(docs).collect()), key=str)
     assert got == sorted([(3, 1, 3), (4, 1, 3), (5, 1, 5), (6, 0, 6), (7, 0, 7), (8, 1, 1), (9, 1, 9), (9, 1, 9), (1, 1, 1), (2, 1, 2),
                           (2, 1, 2), (10, 1, 2), (11, 0, 11), (None, 1, None)], key=str)
-    kept = J.one_of_each(docs)
-    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 2, 3, 5, 6, 7, 9, 11] and kept.columns == docs.columns
     assert J.jaccard_components(docs.limit(0)).count() == 0
 
 

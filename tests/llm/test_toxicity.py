@@ -58,3 +58,12 @@ def test_held_out_accuracy(spark):
     right = (held.predicted == 1) & (held.toxic == 1)
     assert right.sum() / (held.predicted == 1).sum() > 0.85
     assert right.sum() / (held.toxic == 1).sum() > 0.8
+
+
+def test_one_row_of_a_repeated_identifier(spark):
+    from hirelens.llm.toxicity import labelled_sample
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(3000)] + [(k, f"other {k}") for k in range(2, 60)] + [(7, None)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 60)], "doc_id long, toxic int")
+    rows = labelled_sample(docs, labels, "doc_id", "text", "doc_id", "toxic", 100).collect()
+    assert len(rows) == 59 and sum((r.text or "").startswith("text") for r in rows) == 1

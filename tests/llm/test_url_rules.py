@@ -74,3 +74,16 @@ def test_pages(spark):
         host, path = host_path(pages[r.page_id])
         rule, verdict = fitting(host, path)
         assert (r.host, r.path, r.rule) == (host, path, rule) and (verdict is None or r.verdict == verdict)
+
+
+def test_noise_gives_no_rules(spark):
+    pick = random.Random(9)
+    words = [f"w{k}" for k in range(12)]
+    data = [(f"http://{pick.choice(words)}.{pick.choice(words)}.org/{pick.choice(words)}/{pick.choice(words)}?{pick.choice(words)}=1", pick.random() < 0.15)
+            for _ in range(3000)]
+    labelled = spark.createDataFrame(data, "url string, bad boolean")
+    assert mine(labelled, "url", "bad", 0.002, 0.2).count() == 0
+    told = spark.createDataFrame([(u.replace("w3.", "spam.") if b and k % 2 else u, b) for k, (u, b) in enumerate(data)], "url string, bad boolean")
+    assert [r.needs for r in mine(told, "url", "bad", 0.002, 0.2).collect()] == [["h:spam"]]
+    few = spark.createDataFrame([("http://a.org/x", True)] * 19 + [("http://b.org/y", False)] * 50, "url string, bad boolean")
+    assert mine(few, "url", "bad", 0.002, 0.2).count() == 0 and mine(few.where("bad"), "url", "bad", 0.002, 0.2).count() == 0

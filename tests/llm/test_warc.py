@@ -75,3 +75,14 @@ def test_pages(spark):
         again = first[r.html or ""] != r.page_id
         assert got[r.page_id] == (len(content), base64.b32encode(hashlib.sha1(content).digest()).decode(),
                                   "revisit" if again else "response", first[r.html or ""] if again else None)
+
+
+def test_many_gzip_members_in_linear_time():
+    import time
+    body = random.Random(1).randbytes(20_000)
+    record = b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: 20000\r\n\r\n" + body + b"\r\n\r\n"
+    member, began = gzip.compress(record, 1), time.time()
+    assert inflate(member * 3000) == record * 3000
+    assert time.time() - began < 20
+    assert inflate(member * 2 + member[:500])[:len(record) * 2] == record * 2
+    assert inflate(b"") == b"" and inflate(b"plain") == b"plain"
