@@ -14,7 +14,8 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -27,7 +28,7 @@ from hirelens.llm.common import gathered, small_batches
 from hirelens.sources.tables import read_parquet
 
 # Text bytes whose distinct words are merged together.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 ID_BITS = 20
 NO_PAIR = 1 << ID_BITS
 # Stands before and after a word; it is no rank, so it merges with nothing.
@@ -176,6 +177,12 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
     other; columns other than those named are not read. A pre-token of many thousand letters takes as
     many steps of the fold, each of them over an array of its length.
     """
+    return _encoded(docs, ranks, pattern, key, text_col, id_col, "key {kind}, ids array<int>", lambda keys, ids: {"key": keys, "ids": ids})
+
+
+def _encoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: Column | None, text_col: str, id_col: str,
+             schema: str, finish: Callable[[pa.Array, pa.ListArray], dict]) -> DataFrame:
+    """What ``finish`` makes of the keys and ids of a batch of texts, in the task that lays them out."""
     small_batches(docs.sparkSession)
     table = RankMap(ranks)
     named = docs.select((F.col(id_col) if key is None else key).alias("key"), F.col(text_col).alias("text"))
@@ -185,14 +192,19 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_token
         look_up = merged_id(table, literals["shifts"], literals["entries"])
         return F.transform("words", lambda w: merge_word(w, look_up))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, ids in laid_out(batches):
+            columns = finish(keys, ids)
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+
     literals = F.struct(long_literal(table.shifts).alias("shifts"), long_literal(table.entries).alias("entries"))
     kind = named.schema["key"].dataType.simpleString()
     return batches.select("keys", "sizes", "places", named_once(literals, merged).alias("pieces")).mapInArrow(
-        laid_out, f"key {kind}, ids array<int>")
+        run, schema.format(kind=kind))
 
 
-def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids of every text: those of its words, one word after the other."""
+def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.ListArray]]:
+    """Keys, and the ids of every text: those of its words, one word after the other."""
     for batch in batches:
         for row in range(batch.num_rows):
             keys, sizes, words = (batch.column(c).slice(row, 1).flatten() for c in ("keys", "sizes", "pieces"))
@@ -204,8 +216,7 @@ def laid_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ends = np.cumsum(counts)
             flat = ids[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[places] - (ends - counts), counts)]
             borders = np.r_[0, ends][np.r_[0, np.cumsum(sizes.to_numpy())]]
-            yield pa.RecordBatch.from_arrays(
-                [keys, pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(flat))], names=["key", "ids"])
+            yield keys, pa.ListArray.from_arrays(pa.array(borders.astype(np.int32)), pa.array(flat))
 
 
 def named_once(value: Column, use) -> Column:
@@ -238,42 +249,44 @@ def _id_lists(column: pa.ListArray) -> Iterator[list[int]]:
         yield flat[first:last].tolist()
 
 
-def with_decoded(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """Rows of ``encode`` with ``decoded``, the bytes of their ids; in batches, where whole tables are decoded."""
-    shared = encoded.sparkSession.sparkContext.broadcast(piece_list(ranks))
+def encode_decoded(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, key: Column | None = None,
+                   text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """``encode`` with ``decoded``, the bytes that the ids stand for: their pieces one after the other."""
+    shared = docs.sparkSession.sparkContext.broadcast(piece_list(ranks))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def finish(keys: pa.Array, ids: pa.ListArray) -> dict:
         piece = shared.value.__getitem__
-        for batch in batches:
-            texts = pa.array([b"".join(map(piece, ids)) for ids in _id_lists(batch.column("ids"))], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("ids"), texts], names=["key", "ids", "decoded"])
+        return {"key": keys, "ids": ids, "decoded": pa.array([b"".join(map(piece, x)) for x in _id_lists(ids)], pa.binary())}
 
-    kind = encoded.schema["key"].dataType.simpleString()
-    return encoded.mapInArrow(run, f"key {kind}, ids array<int>, decoded binary")
+    return _encoded(docs, ranks, pattern, key, text_col, id_col, "key {kind}, ids array<int>, decoded binary", finish)
 
 
-def digests(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """Of rows of ``encode``: doc_id, how many ids, SHA-256 of the ids in decimal parted by spaces, and of the decoded bytes."""
-    shared = encoded.sparkSession.sparkContext.broadcast(piece_list(ranks))
+@cache
+def _numerals(count: int) -> list[bytes]:
+    return [b"%d" % k for k in range(count)]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str = public_tokenizers.PATTERN, text_col: str = "text",
+            id_col: str = "doc_id") -> DataFrame:
+    """Of each row's encoding: doc_id, number of ids, SHA-256 of the ids in decimal parted by spaces, and of the decoded bytes."""
+    shared = docs.sparkSession.sparkContext.broadcast(piece_list(ranks))
+
+    def finish(keys: pa.Array, ids: pa.ListArray) -> dict:
         pieces = shared.value
-        piece, numeral = pieces.__getitem__, [b"%d" % k for k in range(len(pieces))].__getitem__
-        for batch in batches:
-            counts, own, back = [], [], []
-            for ids in _id_lists(batch.column("ids")):
-                counts.append(len(ids))
-                own.append(hashlib.sha256(b" ".join(map(numeral, ids))).hexdigest())
-                back.append(hashlib.sha256(b"".join(map(piece, ids))).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(counts, pa.int64()), pa.array(own, pa.string()), pa.array(back, pa.string())],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        piece, numeral = pieces.__getitem__, _numerals(len(pieces)).__getitem__
+        counts, own, back = [], [], []
+        for x in _id_lists(ids):
+            counts.append(len(x))
+            own.append(hashlib.sha256(b" ".join(map(numeral, x))).hexdigest())
+            back.append(hashlib.sha256(b"".join(map(piece, x))).hexdigest())
+        return {"doc_id": keys, "n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(own, pa.string()),
+                "decoded_sha256": pa.array(back, pa.string())}
 
-    kind = encoded.schema["key"].dataType.simpleString()
-    return encoded.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _encoded(docs, ranks, pattern, None, text_col, id_col,
+                    "doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string", finish)
 
 
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: digests of the ids and of the decoded bytes."""
     ranks = load_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    return digests(encode(read_parquet(spark, f"{sf_dir}/documents.parquet"), ranks), ranks)
+    return digests(read_parquet(spark, f"{sf_dir}/documents.parquet"), ranks)

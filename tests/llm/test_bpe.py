@@ -6,7 +6,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from hirelens.llm.bpe import bpe, decode, encode, load_ranks, with_decoded
+from hirelens.llm.bpe import bpe, decode, encode, encode_decoded, load_ranks
 
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -48,7 +48,7 @@ def test_one_very_long_word(spark, ranks, library):
     pick = random.Random(4)
     texts = ["".join(pick.choices("etaoinshrdlu", k=5000)), "a" * 5000]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    got = {r.key: r for r in with_decoded(encode(docs, ranks), ranks).collect()}
+    got = {r.key: r for r in encode_decoded(docs, ranks).collect()}
     for k, text in enumerate(texts):
         assert got[k].ids == library.encode_ordinary(text) and bytes(got[k].decoded) == text.encode()
 
