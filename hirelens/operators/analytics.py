@@ -157,14 +157,16 @@ def salary_by_skill(paid_skills: DataFrame, min_jobs: int = 5, k: int = 15) -> D
 def skill_cooccurrence(job_skills: DataFrame, k: int = 12) -> DataFrame:
     """(skill_a, skill_b, jobs) for the k most common skills; null on the diagonal, 0 if never.
 
-    Rows are cut to the k skills first, so a job carries at most k of them and the pairs per
-    job are bounded by k squared.
+    One shuffle brings the skills of a job together; the most common skills and their pairs both come
+    from it, so the base is read once. Pairs are made of the k skills only: at most k squared a job.
     """
-    top = top_values(job_skills, "skill", k).select("skill")
-    # k rows by construction, whatever the data.
-    per_job = job_skills.join(F.broadcast(top), "skill").groupBy("job_id").agg(F.collect_set("skill").alias("s"))
+    per_job = job_skills.groupBy("job_id").agg(F.collect_set("skill").alias("s"))
+    top = top_values(per_job.select(F.explode("s").alias("skill")), "skill", k).select("skill")
+    # k names by construction, whatever the data.
+    common = top.agg(F.collect_list("skill")).scalar()
+    shared = per_job.select("s", common.alias("common")).select(F.array_intersect("s", "common").alias("s"))
     pairs = (
-        per_job.filter(F.size("s") > 1)
+        shared.filter(F.size("s") > 1)
         .select(F.explode("s").alias("skill_a"), "s")
         .select("skill_a", F.explode("s").alias("skill_b"))
         .filter("skill_a <> skill_b")
@@ -235,7 +237,10 @@ def latest_top(trend: DataFrame, k: int = 6) -> DataFrame:
 
 
 def trend_of(trend: DataFrame, skills: list[str] | None = None, k: int = 6) -> DataFrame:
-    """Trend lines of the given skills, else of the k leading ones of the newest run."""
+    """Trend lines of the given skills, else of the k leading ones of the newest run.
+
+    Leaders need three looks at the trend: pass a stored one, not one that is computed at each look.
+    """
     if skills is not None:
         return trend.filter(F.col("skill").isin(*skills))
     return trend.join(F.broadcast(latest_top(trend, k).select("skill")), "skill", "left_semi")

@@ -355,7 +355,10 @@ def latest_run_top(spark, sf):
 
 @query
 def trend_of_leaders(spark, sf):
-    trend = analytics.trend_of(analytics.skill_trend(*_snapshots(spark, sf)))
+    """The trend is written once; the newest run, its leaders and their lines are read from it."""
+    path = shared_dir(spark, "trend")
+    analytics.skill_trend(*_snapshots(spark, sf)).write.parquet(path)
+    trend = analytics.trend_of(spark.read.parquet(path))
     return trend.select("run_id", "skill", *_money("share"))
 
 
