@@ -246,3 +246,23 @@ def test_claims_pass_over_runs_stored_without_one(spark, tmp_path):
     store = JobStore(spark, str(tmp_path))
     store.save_records(records(spark, 1, "a"), 1)
     assert store.start_run(datetime(2026, 1, 1)) == 2
+
+
+def test_counters_of_sources(spark, tmp_path, landed):
+    from hirelens.sources.comments import parse_rate
+
+    stats = run_once(spark, str(tmp_path / "store"), list(READERS), landed)
+    # One top-level comment, which is a posting; the reply is not read as one.
+    assert stats.sources == {"hn_hiring": {"comments": 1, "parsed": 1}}
+    assert parse_rate(stats.sources["hn_hiring"]) == 1.0 and parse_rate({"comments": 0, "parsed": 0}) is None
+
+
+def test_ordinals_beyond_their_room_are_an_error(spark, tmp_path, landed):
+    from hirelens.plans.batch import collect
+
+    def far(spark, options):
+        return spark.createDataFrame([(10**16, *["x"] * 7)], "ordinal long, source string, title string, company string, "
+                                     "location string, posted string, url string, description string")
+
+    rows, errors = collect(spark, ["far", "fake_jobs"], landed, str(tmp_path / "landing"), {**READERS, "far": far})
+    assert [e.split(":")[0] for e in errors] == ["far"] and rows.count() == 2
