@@ -36,6 +36,17 @@ def test_random_texts(spark, ranks, library):
         assert bytes(row.back) == texts[row.key].encode()
 
 
+def test_words_numbered_across_batches(spark, ranks, library):
+    pick = random.Random(5)
+    words = ["".join(pick.choices("etaoinshr", k=pick.randrange(1, 9))) for _ in range(60)]
+    texts = [" ".join(pick.choices(words, k=pick.randrange(30))) for _ in range(120)] + [None] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    # Many batches a task; numbers begin anew never, now and then, and with each batch.
+    for most_words in (10**6, 40, 0):
+        got = {r.key: r.ids for r in encode(docs, ranks, batch_bytes=500, most_words=most_words).collect()}
+        assert got == {k: library.encode_ordinary(t or "") for k, t in enumerate(texts)}
+
+
 def test_nulls_repeats_and_extra_columns(spark, ranks):
     rows = [(1, None, "k"), (None, "one", "k"), (2, "", "k"), (2, "one", "k"), (2, "one", "k")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
