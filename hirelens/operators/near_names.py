@@ -2,7 +2,9 @@
 
 Two words differ by i deletions here and j deletions there exactly if some word is left of both. So
 all words left after up to k deletions are listed for names and tokens, and joined by equality: pairs
-within k come out of one hash join, with their exact distance, and no pair beyond is ever compared.
+within k come out of one equality join, with their exact distance, and no pair beyond is ever compared.
+Deletions that no length on the other side can meet are not listed, and the lists, many times the size
+of the words, are never broadcast: Spark's size estimate does not know how many rows a list gives.
 The taxonomy's own search (functions/skills) keeps its few names in the plan; this one takes any number.
 """
 
@@ -21,12 +23,29 @@ def _one_less(words: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(words, cuts)))
 
 
-def neighbourhood(words: DataFrame, column: str, edits: int) -> DataFrame:
-    """The frame once for each word left after up to ``edits`` deletions: ``_left``, and ``_gone``, how many."""
+def lengths_of(words: DataFrame, column: str) -> list[int]:
+    """Lengths that occur, at most one a letter of the longest word."""
+    return sorted(r[0] for r in words.select(F.length(column)).distinct().collect())
+
+
+def useful_lengths(own: list[int], other: list[int], edits: int) -> list[list[int]]:
+    """For each number of deletions, the lengths of words that meet a word of the other lengths within ``edits`` in all."""
+    met = set(other)
+    return [[n for n in own if any(n - gone + lost in met for lost in range(edits - gone + 1))] for gone in range(edits + 1)]
+
+
+def neighbourhood(words: DataFrame, column: str, useful: list[list[int]]) -> DataFrame:
+    """The frame once for each word left after k deletions, for words of a length in ``useful[k]``: ``_left``, and ``_gone``, how many."""
+    none, length = F.array().cast("array<string>"), F.length(column)
+
+    def of_length(lengths: list[int], found: Column) -> Column:
+        return F.when(length.isin(lengths), found).otherwise(none) if lengths else none
+
     levels = words.withColumn("_w0", F.array(column))
-    for k in range(edits):
-        levels = levels.withColumn(f"_w{k + 1}", _one_less(F.col(f"_w{k}")))
-    every = F.concat(*[_counted(F.col(f"_w{k}"), k) for k in range(edits + 1)])
+    for k in range(1, len(useful)):
+        deeper = sorted({n for lengths in useful[k:] for n in lengths})
+        levels = levels.withColumn(f"_w{k}", of_length(deeper, _one_less(F.col(f"_w{k - 1}"))))
+    every = F.concat(*[_counted(of_length(lengths, F.col(f"_w{k}")), k) for k, lengths in enumerate(useful)])
     return levels.select(*words.columns, F.inline(every))
 
 
@@ -39,9 +58,14 @@ def near_pairs(tokens: DataFrame, names: DataFrame, edits: int = 2) -> DataFrame
 
     ``tokens`` has ``token``, ``names`` has ``name``; nulls pair with nothing, repeated ones count once.
     """
-    left = neighbourhood(tokens.select("token").where("token IS NOT NULL").distinct(), "token", edits)
-    right = neighbourhood(names.select("name").where("name IS NOT NULL").distinct(), "name", edits)
-    met = left.join(right.withColumnsRenamed({"_gone": "_lost"}), "_left").where(F.col("_gone") + F.col("_lost") <= edits)
+    tokens = tokens.select("token").where("token IS NOT NULL").distinct()
+    names = names.select("name").where("name IS NOT NULL").distinct()
+    of_tokens, of_names = lengths_of(tokens, "token"), lengths_of(names, "name")
+    left = neighbourhood(tokens, "token", useful_lengths(of_tokens, of_names, edits))
+    listed = neighbourhood(names, "name", useful_lengths(of_names, of_tokens, edits)).withColumnRenamed("_gone", "_lost")
+    # A name's word is listed once for each number of deletions that a token may have: the join itself keeps to ``edits``.
+    right = listed.withColumn("_gone", F.explode(F.sequence(F.lit(0), F.lit(edits) - F.col("_lost"))))
+    met = left.join(right.hint("merge"), ["_left", "_gone"])
     return met.groupBy("token", "name").agg(F.min(F.col("_gone") + F.col("_lost")).alias("edits"))
 
 
