@@ -38,8 +38,13 @@ def _join_parts(*parts: Column) -> Column:
 
 def stored_alerts(new_jobs: DataFrame, keywords: Sequence[str] = V.ALERT_KEYWORDS,
                   min_new: int = V.MIN_NEW_RECORDS, enabled: bool = True) -> DataFrame:
-    """All matches of the runs that send an alert, with the run's counts. Counts come from the gate, not a window."""
-    return alert_matches(new_jobs, keywords).join(alert_gate(new_jobs, keywords, min_new, enabled), "run_id")
+    """All matches of the runs that send an alert, with the run's counts. Counts come from the gate, not a window.
+
+    The gate, one narrow row a run, goes to the matches: shuffled by run, those of one run would all
+    meet in one task.
+    """
+    gate = alert_gate(new_jobs, keywords, min_new, enabled)
+    return alert_matches(new_jobs, keywords).join(F.broadcast(gate), "run_id")
 
 
 def digest_of(matches: DataFrame, limit: int = V.DIGEST_ITEMS) -> DataFrame:

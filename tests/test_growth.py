@@ -40,3 +40,13 @@ def test_lists_of_near_words_are_short_and_not_broadcast(spark):
     assert near_names.useful_lengths([18], [17], 2) == [[], [18], []]
     assert near_names.useful_lengths([3], [1, 2, 3, 4, 5, 6], 2) == [[3], [3], [3]]
     assert near_names.nearest_names(tokens, names, 90).filter("ratio > 97").count() == 50
+
+
+def test_matches_of_one_run_are_not_shuffled_by_run(spark, setting):
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    rows = [(1, str(k), "Python job", False) for k in range(40)] + [(2, "x", "other", False), (None, "y", "Python job", False)]
+    jobs = spark.createDataFrame(rows, "run_id long, job_id string, title string, remote boolean").withColumns(
+        {c: F.lit(None).cast("string") for c in ("company", "location", "description")} | {"skills": F.array(F.lit("SQL"))})
+    stored = alerts.stored_alerts(jobs, ["python"])
+    assert "BroadcastHashJoin" in plan_of(stored) and "SortMergeJoin" not in plan_of(stored)
+    assert [tuple(r) for r in stored.groupBy("run_id", "total_new", "matching").count().collect()] == [(1, 40, 40, 40)]
