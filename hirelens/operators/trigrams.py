@@ -1,7 +1,9 @@
 """Literal search through a stored trigram index.
 
-Every run of three letters of a text is a row (trigram, id), kept in hash buckets and ordered by
-trigram. A text can only hold a query if it holds all the query's trigrams, so the ids of the rarest
+For every run of three letters there are rows (trigram, number of ids, ids), one for each batch of texts
+that holds it, kept in hash buckets and ordered by trigram. Each task lists the runs of its own texts, so
+neither texts nor ids are shuffled, and a run that all texts hold is spread over all tasks.
+A text can only hold a query if it holds all the query's trigrams, so the ids of the rarest
 one are read from its bucket, and those texts alone are searched. Shorter queries scan.
 """
 
@@ -15,11 +17,41 @@ from pyspark.sql import functions as F
 SIZE = 3
 
 
-def trigrams(text: Column) -> Column:
-    """Distinct runs of three letters; none in a null or shorter text."""
-    places = F.sequence(F.lit(1), F.length(text) - SIZE + 1)
-    runs = F.array_distinct(F.transform(places, lambda i: F.substr(text, i, F.lit(SIZE))))
-    return F.when(F.length(text) >= SIZE, runs).otherwise(F.array().cast("array<string>"))
+def postings(rows: DataFrame, key: str, text: Column) -> DataFrame:
+    """(trigram, texts, ids) of each Arrow batch: its distinct runs of three letters and the rows that hold them."""
+    kind, size = rows.schema[key].dataType.simpleString(), SIZE
+
+    def listed(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            ids, texts = batch.column(0), batch.column(1).fill_null("")
+            letters = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le"), "<u4").astype(np.int64)
+            holder = np.repeat(np.arange(len(texts)), pc.utf8_length(texts).to_numpy(zero_copy_only=False))
+            places = max(len(letters) - size + 1, 0)
+            # A letter is below 2^21, so a run of three is one number; runs end where their text ends.
+            runs = sum(letters[k:k + places] << 21 * (size - 1 - k) for k in range(size))
+            inside = holder[:places] == holder[size - 1:]
+            runs, holder = runs[inside], holder[:places][inside]
+            if not len(runs):
+                continue
+            order = np.argsort(runs, kind="stable")
+            runs, holder = runs[order], holder[order]
+            new_run = np.diff(runs, prepend=-1) != 0
+            once = new_run | (np.diff(holder, prepend=-1) != 0)
+            starts, runs = np.flatnonzero(new_run[once]), runs[new_run]
+            ends = np.append(starts[1:], once.sum())
+            codes = (runs[:, None] >> 21 * np.arange(size - 1, -1, -1)) & (1 << 21) - 1
+            whole = codes.astype("<u4").tobytes().decode("utf-32-le")
+            yield pa.record_batch({
+                "trigram": pa.array([whole[k:k + size] for k in range(0, len(whole), size)], pa.string()),
+                "texts": pa.array(ends - starts, pa.int64()),
+                "ids": pa.ListArray.from_arrays(np.append(0, ends).astype(np.int32), ids.take(pa.array(holder[once]))),
+            })
+
+    return rows.select(key, F.lower(text).alias("_text")).mapInArrow(listed, f"trigram string, texts long, ids array<{kind}>")
 
 
 def _bucket(trigram: Column, buckets: int) -> Column:
@@ -38,20 +70,17 @@ class TrigramIndex:
 
     @classmethod
     def build(cls, rows: DataFrame, key: str, text: Column, path: str, buckets: int = 64) -> "TrigramIndex":
-        """Index a frame; a trigram with very many texts is spread over several tasks and files of its bucket."""
-        listed = rows.select(key, F.explode(trigrams(F.lower(text))).alias("trigram")).distinct()
-        placed = listed.withColumn("bucket", _bucket(F.col("trigram"), buckets))
-        spread = F.pmod(F.xxhash64(key), F.lit(8))
-        placed.repartition("bucket", spread).sortWithinPartitions("bucket", "trigram").write.partitionBy("bucket").parquet(
-            f"{path}/postings")
+        """Index a frame; each task writes one file a bucket."""
+        placed = postings(rows, key, text).withColumn("bucket", _bucket(F.col("trigram"), buckets))
+        placed.sortWithinPartitions("bucket", "trigram").write.partitionBy("bucket").parquet(f"{path}/postings")
         index = cls(rows.sparkSession, path, key, rows.schema[key].dataType.simpleString(), buckets)
-        counts = index._table("postings").groupBy("bucket", "trigram").agg(F.count(F.lit(1)).alias("texts"))
+        counts = index._table("postings").groupBy("bucket", "trigram").agg(F.sum("texts").alias("texts"))
         counts.repartition("bucket").write.partitionBy("bucket").parquet(f"{path}/counts")
         return index
 
     def _table(self, name: str) -> DataFrame:
-        own = f"{self.key} {self.kind}" if name == "postings" else "texts long"
-        return self.spark.read.schema(f"trigram string, {own}, bucket int").parquet(f"{self.path}/{name}")
+        own = f", ids array<{self.kind}>" if name == "postings" else ""
+        return self.spark.read.schema(f"trigram string, texts long{own}, bucket int").parquet(f"{self.path}/{name}")
 
     def _of(self, table: str, grams: list[str]) -> DataFrame:
         rows = self._table(table)
@@ -71,5 +100,5 @@ class TrigramIndex:
         if len(found) < len(grams):
             return rows.where(F.lit(False))
         rarest = min(found, key=lambda r: (r.texts, r.trigram)).trigram
-        ids = self._of("postings", [rarest]).select(self.key)
+        ids = self._of("postings", [rarest]).select(F.explode("ids").alias(self.key))
         return rows.join(ids, self.key, "left_semi").where(exact)

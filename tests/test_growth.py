@@ -50,3 +50,14 @@ def test_matches_of_one_run_are_not_shuffled_by_run(spark, setting):
     stored = alerts.stored_alerts(jobs, ["python"])
     assert "BroadcastHashJoin" in plan_of(stored) and "SortMergeJoin" not in plan_of(stored)
     assert [tuple(r) for r in stored.groupBy("run_id", "total_new", "matching").count().collect()] == [(1, 40, 40, 40)]
+
+
+def test_postings_come_without_a_shuffle(spark, tmp_path):
+    texts = ["abcabc", "xAbC", "ab", None, "😀é😀é", ""]
+    rows = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)] + [("0", "abc"), (None, "abcd")], "id string, t string").coalesce(1)
+    found = trigrams.postings(rows, "id", F.col("t"))
+    assert "Exchange hashpartitioning" not in plan_of(found)
+    got = {r.trigram: Counter(r.ids) for r in found.collect()}
+    assert got == {"abc": Counter(["0", "1", "0", None]), "bca": Counter("0"), "cab": Counter("0"), "xab": Counter("1"),
+                   "bcd": Counter([None]), "😀é😀": Counter("4"), "é😀é": Counter("4")}
+    assert all(r.texts == len(r.ids) for r in found.collect())
