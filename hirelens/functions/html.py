@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import html as _html
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -36,6 +36,9 @@ _ARROW_ELEMENTS = pa.list_(pa.struct([
     ("text", pa.string()),
 ]))
 
+# Bytes of pages whose elements a task holds at a time.
+SHRED_BYTES = 1_000_000
+
 _COMMENT = r"(?s)<!--.*?-->"
 _SILENT = r"(?is)<(script|style|template)\b[^>]*>.*?</\1\s*>"
 _HAS_SILENT = r"(?i)<(script|style|template)"
@@ -81,13 +84,17 @@ def shred(html: Column, tags: Sequence[str] | None = None) -> Column:
 
     ``seq`` is the index in the array and ``end_seq`` the index of the last element inside,
     so "inside" is a slice. ``tags`` keeps only the element kinds a job asks for. ``text`` is
-    the visible text with whitespace collapsed.
+    the visible text with whitespace collapsed. Elements take many times the room of their page, so
+    a task holds those of few pages at a time, whatever the size of its batches.
     """
     wanted = None if tags is None else frozenset(tags)
+    most = SHRED_BYTES
 
-    def batch(pages: pa.Array) -> pa.Array:
+    def batch(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         from html.parser import HTMLParser
 
+        import pyarrow.compute as pc
+
         void = {
             "area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
             "param", "source", "track", "wbr",
@@ -146,9 +153,20 @@ def shred(html: Column, tags: Sequence[str] | None = None) -> Column:
                 shredder.finish()
             return shredder.elements
 
-        return pa.array(
-            [None if page is None else elements(page) for page in pages.to_pylist()], _ARROW_ELEMENTS
-        )
+        def pieces(pages):
+            """The batch in parts of so many bytes, or one page where that has more; an empty batch is one part."""
+            sizes = pages.cast(pa.binary()).fill_null(b"")
+            start = held = 0
+            for at, size in enumerate(pc.binary_length(sizes).to_pylist()):
+                if at > start and held + size > most:
+                    yield pages.slice(start, at - start)
+                    start, held = at, 0
+                held += size
+            yield pages.slice(start)
+
+        for pages in batches:
+            for piece in pieces(pages):
+                yield pa.array([None if page is None else elements(page) for page in piece.to_pylist()], _ARROW_ELEMENTS)
 
     # Non-deterministic only in name: pages must not be parsed again for a pushed-down filter.
     return F.arrow_udf(batch, ArrayType(ELEMENT)).asNondeterministic()(html)

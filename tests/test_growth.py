@@ -52,6 +52,17 @@ def test_matches_of_one_run_are_not_shuffled_by_run(spark, setting):
     assert [tuple(r) for r in stored.groupBy("run_id", "total_new", "matching").count().collect()] == [(1, 40, 40, 40)]
 
 
+def test_elements_of_few_pages_at_a_time(spark, setting, monkeypatch):
+    monkeypatch.setattr(html, "SHRED_BYTES", 60)
+    pages = ["<p>a</p>", None, "", "<p>" + "é" * 100 + "</p>", "<p>b<i>c</i></p>"] * 20
+    frame = spark.createDataFrame(list(enumerate(pages)), "k int, h string").coalesce(1)
+    got = frame.select("k", F.transform(html.shred(F.col("h")), lambda e: e["text"]).alias("t")).collect()
+    want = [["a"], None, [], ["é" * 100], ["b c", "c"]] * 20
+    assert {r.k: r.t for r in got} == dict(enumerate(want))
+    monkeypatch.setattr(html, "SHRED_BYTES", 1)
+    assert frame.limit(0).select(html.shred(F.col("h"))).collect() == []
+
+
 def test_postings_come_without_a_shuffle(spark, tmp_path):
     texts = ["abcabc", "xAbC", "ab", None, "😀é😀é", ""]
     rows = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)] + [("0", "abc"), (None, "abcd")], "id string, t string").coalesce(1)
