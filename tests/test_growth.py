@@ -52,6 +52,17 @@ def test_matches_of_one_run_are_not_shuffled_by_run(spark, setting):
     assert [tuple(r) for r in stored.groupBy("run_id", "total_new", "matching").count().collect()] == [(1, 40, 40, 40)]
 
 
+def test_scans_are_dealt_to_all_cores(spark, setting, tmp_path):
+    setting(tables.SCAN_PARTITIONS, None)
+    spark.range(100).coalesce(1).write.parquet(str(tmp_path / "one"))
+    cores = spark.sparkContext.defaultParallelism
+    dealt = tables.spread_scan(spark.read.parquet(str(tmp_path / "one")))
+    assert dealt.rdd.getNumPartitions() == tables.TASKS_A_CORE * cores and dealt.count() == 100
+    assert tables.spread_scan(spark.range(100, numPartitions=99)).rdd.getNumPartitions() == 99
+    stream = tables.spread_scan(spark.readStream.schema("id long").parquet(str(tmp_path / "one")))
+    assert "Repartition" in stream._jdf.queryExecution().analyzed().toString()
+
+
 def test_elements_of_few_pages_at_a_time(spark, setting, monkeypatch):
     monkeypatch.setattr(html, "SHRED_BYTES", 60)
     pages = ["<p>a</p>", None, "", "<p>" + "é" * 100 + "</p>", "<p>b<i>c</i></p>"] * 20
