@@ -48,6 +48,8 @@ _BASE_LOG = StructType([StructField("seq", LongType()), StructField("version", L
                         StructField("rows", LongType()), StructField("buckets", IntegerType()), StructField("chunks", IntegerType())])
 # Rows of a bucket, rows since the last base under which no new one is due, and their share of its rows.
 BUCKET_ROWS, FOLD_ROWS, FOLD_SHARE = 1_000_000, 100_000, 0.5
+# Tasks that write a bucket of a base.
+BUCKET_PARTS = 8
 _QUARANTINE = StructType(OBSERVATION.fields + [StructField("violations", ArrayType(StringType()))])
 
 
@@ -231,7 +233,9 @@ class JobStore:
         buckets = max(1, -(-rows // BUCKET_ROWS))
         base = Base(seq, version, rows, buckets, chunks_for(rows, buckets))
         table = self._jobs_since(last, version).withColumn("bucket", bucket_of(F.col("job_id"), buckets))
-        dealt = table.repartition(buckets, "bucket").sortWithinPartitions("bucket", "job_id")
+        # A bucket in several parts, so that no task holds a whole one, or those that hash to the same task.
+        part = F.pmod(F.xxhash64("job_id", F.lit("part")), F.lit(BUCKET_PARTS))
+        dealt = table.repartition("bucket", part).sortWithinPartitions("bucket", "job_id")
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(f"{self._path('bases')}/seq={seq}")
         index = build_index(self.base_rows(base), buckets, base.chunks)
         index.write.mode("overwrite").parquet(f"{self._path('base_index')}/seq={seq}")

@@ -5,8 +5,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from hirelens.functions import html
+from hirelens.functions import html, skills
 from hirelens.operators import alerts, near_names, trigrams
+from hirelens.plans.store import JobStore
+from hirelens.schemas import OBSERVATION
 from hirelens.sources import tables
 
 
@@ -83,3 +85,25 @@ def test_postings_come_without_a_shuffle(spark, tmp_path):
     assert got == {"abc": Counter(["0", "1", "0", None]), "bca": Counter("0"), "cab": Counter("0"), "xab": Counter("1"),
                    "bcd": Counter([None]), "😀é😀": Counter("4"), "é😀é": Counter("4")}
     assert all(r.texts == len(r.ids) for r in found.collect())
+
+
+def test_a_bucket_of_a_base_is_written_by_several_tasks(spark, setting, tmp_path):
+    setting("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = spark.range(200).select(*[
+        (F.concat(F.lit("j"), "id") if f.name == "job_id" else F.col("id") if f.name == "ordinal" else F.lit(None)).cast(f.dataType).alias(f.name)
+        for f in OBSERVATION.fields])
+    store = JobStore(spark, str(tmp_path))
+    store.save_records(rows, 1)
+    base = store.fold()
+    assert base.buckets == 1 and len(list(tmp_path.glob("bases/seq=*/bucket=0/*.parquet"))) > 1
+    assert store.jobs().select("job_id").distinct().count() == store.jobs().count() == 200
+
+
+def test_edit_distances_are_bounded(spark):
+    taxonomy = {"Kubernetes": [], "Terraform": [], "PostgreSQL": ["Postgres"]}
+    words = spark.createDataFrame([(w,) for w in ("kubernetess", "kuberentes", "terrafrm", "xyzxyzxyzx", "postgress", None)], "w string")
+    best = words.select("w", skills.best_choice(F.col("w"), taxonomy, 90).alias("b"))
+    assert "levenshtein(w#" in plan_of(best) and "Some(2)" in plan_of(best)
+    assert {r.w: r.b and (r.b.name, round(r.b.ratio, 2)) for r in best.collect()} == {
+        "kubernetess": ("kubernetes", 95.24), "kuberentes": ("kubernetes", 90.0), "terrafrm": ("terraform", 94.12),
+        "xyzxyzxyzx": None, "postgress": ("postgres", 94.12), None: None}
