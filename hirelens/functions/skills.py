@@ -219,6 +219,8 @@ def best_choice(word: Column, taxonomy: Taxonomy, threshold: int = V.FUZZY_THRES
             if 100 * abs(size - len(name)) <= slack * (size + len(name)):
                 reach[size].append(entry)
     by_length = F.create_map(*[c for size, entries in reach.items() for c in (F.lit(size), F.array(*entries))])
+    # No pair within the threshold has more edits; beyond them the distance is given as -1.
+    most = max((slack * (size + len(name)) // 100 for size in reach for name in fuzzy_choices(taxonomy)), default=0)
 
     def total(n: Column) -> Column:
         return F.length(word) + F.length(n["name"])
@@ -227,11 +229,11 @@ def best_choice(word: Column, taxonomy: Taxonomy, threshold: int = V.FUZZY_THRES
         F.element_at(by_length, F.length(word)),
         lambda n: F.struct(
             n["rank"].alias("rank"), n["name"].alias("name"), n["position"].alias("position"),
-            F.levenshtein(word, n["name"]).alias("edits"),
+            F.levenshtein(word, n["name"], most).alias("edits"),
         ),
     )
     # Substitutions make the edit distance a lower bound of insertions plus deletions.
-    near = F.filter(measured, lambda n: 100 * n["edits"] <= slack * total(n))
+    near = F.filter(measured, lambda n: (n["edits"] >= 0) & (100 * n["edits"] <= slack * total(n)))
     scored = F.transform(
         near,
         lambda n: F.struct(
