@@ -32,7 +32,9 @@ FILTER_BITS = 22
 RUN_WORDS, RUN_BYTES = 13, 60
 SEED = 2 * RUN_WORDS - 1 - Q + 1
 # Hits of shared q-grams handled together; a batch with more is counted in pieces, which changes no result.
-HITS_AT_ONCE = 2_000_000
+HITS_AT_ONCE = 500_000
+# Text bytes searched together: the arrays of a search are some hundred times as large.
+TEXT_AT_ONCE = 1 << 19
 SPACE = 32
 CANON = np.arange(256, dtype=np.uint8)
 CANON[65:91] += 32
@@ -64,8 +66,8 @@ def qgrams(letters: np.ndarray) -> np.ndarray:
     return code
 
 
-def _buckets(codes: np.ndarray) -> np.ndarray:
-    return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)).astype(np.int32)
+def _buckets(codes: np.ndarray, bits: int = FILTER_BITS) -> np.ndarray:
+    return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
 
 
 @dataclass
@@ -170,7 +172,7 @@ def shared_qgrams(index: Index, letters: np.ndarray, offsets: np.ndarray) -> Sha
 
 
 def _band_keys(index: Index, offsets: np.ndarray, rows: np.ndarray, place: np.ndarray,
-               entry: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+               entry: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of every hit its two bands, as (row, probe, band) in one number, the hits these need, and their hashed bins."""
     probe, offset = index.probes[entry], index.places[entry]
     # Diagonals are counted from the text's own start, shifted so that none is negative.
@@ -179,7 +181,7 @@ def _band_keys(index: Index, offsets: np.ndarray, rows: np.ndarray, place: np.nd
     band = diagonal // stride + 1
     key = ((rows * len(index.sizes) + probe) << 32) + band
     key, needed = np.r_[key, key - 1], np.r_[index.needed[probe], index.needed[probe]]
-    return key, needed, ((key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - FILTER_BITS)).astype(np.int32)
+    return key, needed, _buckets(key.view(np.uint64), bits)
 
 
 def candidates(index: Index, offsets: np.ndarray, shared: Shared) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -188,14 +190,17 @@ def candidates(index: Index, offsets: np.ndarray, shared: Shared) -> tuple[np.nd
         return (np.zeros(0, np.int64),) * 3
     # Counting in hashed bins first spares the sort of nearly all hits: a bin counts at least as many as its bands.
     totals, kept, counts = None, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    several = shared.many.sum() > HITS_AT_ONCE
+    hits_in_all = int(shared.many.sum())
+    # Few hits need few bins.
+    bits = min(FILTER_BITS, max(12, hits_in_all.bit_length() + 2))
+    several = hits_in_all > HITS_AT_ONCE
     if several:
-        totals = np.zeros(1 << FILTER_BITS, dtype=np.int64)
+        totals = np.zeros(1 << bits, dtype=np.int64)
         for hits in shared.pieces(HITS_AT_ONCE):
-            totals += np.bincount(_band_keys(index, offsets, *hits)[2], minlength=1 << FILTER_BITS)
+            totals += np.bincount(_band_keys(index, offsets, *hits, bits)[2], minlength=1 << bits)
     for hits in shared.pieces(HITS_AT_ONCE):
-        key, needed, bins = _band_keys(index, offsets, *hits)
-        found = totals if several else np.bincount(bins, minlength=1 << FILTER_BITS)
+        key, needed, bins = _band_keys(index, offsets, *hits, bits)
+        found = totals if several else np.bincount(bins, minlength=1 << bits)
         key, more = np.unique(key[found[bins] >= needed], return_counts=True)
         if len(kept):
             key, place = np.unique(np.r_[kept, key], return_inverse=True)
@@ -389,7 +394,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
 def _finder(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "text", 4 << 20):
+        for batch in sliced(batches, "text", TEXT_AT_ONCE):
             index = shared.value
             (rows, probe, edits, start, stop), (others, items, counts, begin, end) = search(index, batch.column("text"))
             yield pa.RecordBatch.from_arrays(
@@ -409,17 +414,19 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", it
     small_batches(docs.sparkSession)
     for index in indexes(benchmark, item_col, item_text, probe_bytes, error, least_bytes, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(index)
+        docs = docs.mapInArrow(_cleaner(shared, text_col), docs.schema)
+    return docs
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in sliced(batches, text_col, 4 << 20):
-                keep = np.ones(batch.num_rows, dtype=bool)
-                probed, others = search(shared.value, batch.column(text_col))
-                keep[probed[0]] = False
-                keep[others[0]] = False
-                yield batch.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+def _cleaner(shared, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, text_col, TEXT_AT_ONCE):
+            keep = np.ones(batch.num_rows, dtype=bool)
+            probed, others = search(shared.value, batch.column(text_col))
+            keep[probed[0]] = False
+            keep[others[0]] = False
+            yield batch.filter(pa.array(keep))
+    return run
 
 
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,3 +111,25 @@ def test_a_phrase_of_very_many_items(monkeypatch):
         plain = found
     pairs = set(zip(rows.tolist(), index.items[probe].tolist()))
     assert pairs >= {(3 + n, k) for n, k in enumerate(range(0, 300, 50))} and not {p for p in pairs if p[0] < 3}
+
+
+def test_memory_of_a_search_does_not_grow_with_the_batch():
+    import tracemalloc
+
+    pick = random.Random(5)
+    words = ["".join(pick.choices(LETTERS.strip(), k=6)) for _ in range(2000)]
+    items = [(k, " ".join(pick.choices(words, k=30))) for k in range(50)]
+    index = D.Index.build(items, 100, 0.1, 30)
+    texts = [" ".join(pick.choices(words, k=300)) for _ in range(1500)]
+    texts[7] = texts[1400] = f"{texts[0]} {items[3][1]} {texts[1]}"
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+
+    class shared:
+        value = index
+
+    tracemalloc.start()
+    kept = [t for part in D._cleaner(shared, "text")(iter([batch])) for t in part.column("text").to_pylist()]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert kept == [t for k, t in enumerate(texts) if k not in (7, 1400)]
+    assert most < 60 << 20
