@@ -14,8 +14,13 @@ from hirelens.operators.filters import matches_keywords
 
 
 def alert_matches(new_jobs: DataFrame, keywords: Sequence[str] = V.ALERT_KEYWORDS) -> DataFrame:
-    """New jobs that match any keyword."""
-    return new_jobs.filter(matches_keywords(new_jobs.columns, keywords))
+    """New jobs that match any keyword.
+
+    The verdict is a generated column, below which Spark pushes no filter: pushed down, the filter would
+    clean and tag every posting a second time, once for each keyword.
+    """
+    verdict = F.struct(matches_keywords(new_jobs.columns, keywords).alias("_matches"))
+    return new_jobs.select("*", F.inline(F.array(verdict))).filter("_matches").drop("_matches")
 
 
 def alert_gate(new_jobs: DataFrame, keywords: Sequence[str] = V.ALERT_KEYWORDS,

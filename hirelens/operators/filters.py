@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
 from hirelens.functions.salary import salary_mid
+from hirelens.functions.text import bind
 
 
 def prepare_jobs(jobs: DataFrame) -> DataFrame:
@@ -127,5 +128,4 @@ def matches_keywords(columns: Sequence[str], keywords: Sequence[str]) -> Column:
     """True if any keyword is a substring; no keywords match everything."""
     if not keywords:
         return F.lit(True)
-    text = alert_text(columns)
-    return reduce(or_, [F.contains(text, F.lit(k.lower())) for k in keywords])
+    return bind(alert_text(columns), lambda text: reduce(or_, [F.contains(text, F.lit(k.lower())) for k in keywords]))

@@ -107,3 +107,18 @@ def test_edit_distances_are_bounded(spark):
     assert {r.w: r.b and (r.b.name, round(r.b.ratio, 2)) for r in best.collect()} == {
         "kubernetess": ("kubernetes", 95.24), "kuberentes": ("kubernetes", 90.0), "terrafrm": ("terraform", 94.12),
         "xyzxyzxyzx": None, "postgress": ("postgres", 94.12), None: None}
+
+
+def test_alerts_tag_each_posting_once(spark):
+    """The keyword filter stays above the tagging instead of repeating it below."""
+    from hirelens.operators import alerts, clean, enrich
+
+    rows = [(k, "src", f"  Senior Data Engineer {k}", "Acme", None, None, None, "We use Python, Spark and SQL") for k in range(3)]
+    raw = spark.createDataFrame(
+        rows, "ordinal long, source string, title string, company string, location string, posted string, url string, description string")
+    tagged = enrich.enrich(clean.clean(raw, F.lit("2026-01-01").cast("timestamp")), fuzzy=False)
+    found = alerts.alert_matches(tagged, ["python", "rust", "sql"])
+    counts = [df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") for df in (tagged, found)]
+    assert counts[0] == counts[1]
+    assert found.columns == tagged.columns and found.count() == 3
+    assert alerts.alert_matches(tagged, ["rust"]).count() == 0
