@@ -13,7 +13,9 @@ fewest rarer shingles: points linked to it are connected through it and need no
 other; the others are compared with the points whose distance to the pivot differs by at most 0.1.
 Positions in the ranked sets bound the overlap of any two points before sets are compared, and so do 128
 further pivots, hash classes of all shingles: by the triangle inequality two sets differ in at least as
-many shingles as their counts in the classes differ. Every remaining pair is decided on the full sets.
+many shingles as their counts in the classes differ. Points that share a region without being its pivot meet
+only if that holds for the parities of 512 finer classes already, a few longs that the join compares itself.
+Every remaining pair is decided on the full sets.
 """
 
 from __future__ import annotations
@@ -33,6 +35,10 @@ from hirelens.sources.tables import read_parquet
 COUNT_BITS = 18
 # Classes of shingles whose sizes describe a set, and bits of the bitmaps of identifiers and regions.
 SHAPE_BITS, MARK_BITS = 7, 26
+# Finer classes, of which a set has the parity of its count in each: this many bits, in longs.
+PARITY_BITS = 9
+PARITIES = [f"parity{i}" for i in range((1 << PARITY_BITS) // 64)]
+PARITY_SCHEMA = ", ".join(f"{p} long" for p in PARITIES)
 # Text bytes handled at once: their words take many times as much memory.
 SLICE = 3 << 20
 # Sizes of one band differ by at most this factor; the wider it is, the fewer points lie near a band's end.
@@ -80,8 +86,14 @@ def shingle_counts(narrow: DataFrame, size: int) -> np.ndarray:
     return counts
 
 
+def parities(held: np.ndarray) -> np.ndarray:
+    """Which of the finer classes hold an odd number of the set's shingles, as longs."""
+    counts = np.bincount((held >> np.uint64(64 - PARITY_BITS)).astype(np.int64), minlength=1 << PARITY_BITS)
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def points(narrow: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
-    """Per document: doc_id, n (set size), two halves of the set's hash, first ranked shingles, counts by class."""
+    """Per document: doc_id, n (set size), two halves of the set's hash, first ranked shingles, counts and parities by class."""
     steps = np.minimum(8 * np.log2(counts + 1.0), 255).astype(np.uint64) << np.uint64(56)
     shared = narrow.sparkSession.sparkContext.broadcast(steps)
 
@@ -100,13 +112,16 @@ def points(narrow: DataFrame, counts: np.ndarray, size: int, percent: int) -> Da
                 prefixes.append(np.sort(ranked).view(np.int64))
             sums = [np.array([int(f(s).sum()) if len(s) else 0 for s in sets], dtype=np.uint64).view(np.int64)
                     for f in (mix, lambda s: mix(s ^ np.uint64(0x5851F42D4C957F2D)))]
+            odd = np.array([parities(s) for s in sets], dtype=np.int64).reshape(-1, len(PARITIES))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), *map(pa.array, sums),
                  ragged(prefixes, pa.int64()),
-                 ragged([np.minimum(np.diff(np.searchsorted(s, edges), prepend=0, append=len(s)), 32767) for s in sets], pa.int16())],
-                names=["doc_id", "n", "key_a", "key_b", "pivots", "shape"])
+                 ragged([np.minimum(np.diff(np.searchsorted(s, edges), prepend=0, append=len(s)), 32767) for s in sets], pa.int16()),
+                 *[pa.array(np.ascontiguousarray(x)) for x in odd.T]],
+                names=["doc_id", "n", "key_a", "key_b", "pivots", "shape", *PARITIES])
 
-    return narrow.mapInArrow(run, "doc_id long, n long, key_a long, key_b long, pivots array<long>, shape array<smallint>")
+    return narrow.mapInArrow(
+        run, f"doc_id long, n long, key_a long, key_b long, pivots array<long>, shape array<smallint>, {PARITY_SCHEMA}")
 
 
 def marks(values: DataFrame) -> np.ndarray:
@@ -141,17 +156,18 @@ def members_of(reps: DataFrame) -> DataFrame:
     return named.mapInArrow(run, "region long, rep long, n long, place int")
 
 
-def regions(reps: DataFrame, percent: int) -> DataFrame:
-    """Members of all banded regions with more than one point: region, band, rep, n, place, center."""
-    def band_of(size: Column) -> Column:
-        return F.floor(F.log(size.cast("double")) / F.lit(np.log(BAND)) + 1e-9).cast("int")
+def band_of(size: Column) -> Column:
+    return F.floor(F.log(size.cast("double")) / F.lit(np.log(BAND)) + 1e-9).cast("int")
 
+
+def regions(reps: DataFrame, percent: int) -> DataFrame:
+    """Members of all banded regions with more than one point: region, band, rep, n, place, center, points (their number)."""
     # A point is replicated into the following bands as far as the largest set linked to it can lie there.
     bands = F.sequence(band_of(F.col("n")), band_of(F.col("n") * 100 / percent + 1))
     banded = stored(members_of(reps).withColumn("band", F.explode(bands)), "join-regions")
     center = banded.groupBy("region", "band").agg(
         F.min(F.struct("place", "rep", "n")).alias("center"), F.count(F.lit(1)).alias("points")).where("points > 1")
-    return stored(banded.join(center.drop("points"), ["region", "band"]), "join-bands")
+    return stored(banded.join(center, ["region", "band"]), "join-bands")
 
 
 def may_link(n_a: Column, place_a: Column, n_b: Column, place_b: Column, percent: int) -> Column:
@@ -160,6 +176,19 @@ def may_link(n_a: Column, place_a: Column, n_b: Column, place_b: Column, percent
     return (need <= F.least(n_a, n_b)) & (F.least(n_a - place_a, n_b - place_b) >= need)
 
 
+def may_meet(percent: int) -> Column:
+    """Whether two points of a region, the other one's columns ending in 2, are worth comparing.
+
+    The band of the larger one decides, so that a pair which shares two bands meets once a region. Linked sets
+    differ in at most n + n2 less twice their overlap, and each shingle held by one alone turns one parity.
+    """
+    n, n2 = F.col("n"), F.col("n2")
+    own = band_of(F.greatest(n, n2)) == F.col("band")
+    turned = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(p + "2"))) for p in PARITIES), F.lit(0))
+    return (may_link(n, F.col("place"), n2, F.col("place2"), percent) & own & (F.col("rep") != F.col("rep2"))
+            & (turned <= n + n2 - 2 * least_overlap(n, n2, percent)))
+
+
 def pairs_of(one: Column, other: Column) -> list[Column]:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
@@ -191,29 +220,31 @@ def links(narrow: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFr
     members = found.where(~is_center).withColumn("reaches", near)
     star = members.where("reaches").select(*pairs_of(F.col("rep"), F.col("center.rep"))).distinct()
     star = stored(star, "join-star")
+    # Only a region with two points besides its pivot has more to compare.
+    crowded = members.where("points > 2").select(
+        "region", "band", "rep", "n", "place", "reaches", F.col("center.rep").alias("center"))
+    crowded = stored(crowded.join(reps.select("rep", "n", *PARITIES).distinct(), ["rep", "n"]), "join-crowded")
     # Points that can't be linked to their region's pivot are compared with whatever else can be linked to them.
-    apart = members.where("NOT reaches").select("region", "band", "rep", "n", "place")
-    others = members.select("region", "band", F.col("rep").alias("rep2"), F.col("n").alias("n2"),
-                            F.col("place").alias("place2"), "reaches")
-    fits = may_link(F.col("n"), F.col("place"), F.col("n2"), F.col("place2"), percent)
-    loose = apart.join(others, ["region", "band"]).where(
-        fits & (F.col("rep") != F.col("rep2")) & (F.col("reaches") | (F.col("rep") < F.col("rep2"))))
+    own = ["rep", "n", "place", *PARITIES]
+    apart = crowded.where("NOT reaches").select("region", "band", *own)
+    others = crowded.select("region", "band", *[F.col(c).alias(c + "2") for c in own], "reaches")
+    meet = may_meet(percent)
+    loose = apart.join(others, ["region", "band"]).where(meet & (F.col("reaches") | (F.col("rep") < F.col("rep2"))))
     loose = stored(loose.select(*pairs_of(F.col("rep"), F.col("rep2"))).distinct().join(star, ["a", "b"], "left_anti"),
                    "join-loose")
     near_pairs = stored(alike(star.unionByName(loose), reps, percent), "join-alike")
     sets = stored(_sets(narrow, near_pairs, size), "join-sets")
     first = stored(verified(near_pairs, sets, percent), "join-verified")
     # Within reach of the pivot: linked points are connected through it, the others recur with a window.
-    seen = members.where("reaches").select("region", "band", "rep", "n", "place", *pairs_of(F.col("rep"), F.col("center.rep")))
+    seen = crowded.where("reaches").select("region", "band", *own, *pairs_of(F.col("rep"), F.col("center")))
     # Pairs that fell to the class counts are as far apart as any: their similarity stays unknown.
-    seen = seen.join(first, ["a", "b"], "left").select("region", "band", "rep", "n", "place", "similar",
+    seen = seen.join(first, ["a", "b"], "left").select("region", "band", *own, "similar",
                                                       F.coalesce("linked", F.lit(False)).alias("linked"))
     far = seen.where("NOT linked").drop("linked")
-    rest = seen.select("region", "band", F.col("rep").alias("rep2"), F.col("n").alias("n2"), F.col("place").alias("place2"),
-                       F.col("similar").alias("similar2"), "linked")
+    rest = seen.select("region", "band", *[F.col(c).alias(c + "2") for c in [*own, "similar"]], "linked")
     window = F.coalesce(F.abs(F.col("similar") - F.col("similar2")) <= F.lit(1 - percent / 100 + 1e-9), F.lit(True))
     again = far.join(rest, ["region", "band"]).where(
-        fits & window & (F.col("rep") != F.col("rep2")) & (F.col("linked") | (F.col("rep") < F.col("rep2"))))
+        meet & window & (F.col("linked") | (F.col("rep") < F.col("rep2"))))
     again = again.select(*pairs_of(F.col("rep"), F.col("rep2"))).distinct().join(near_pairs, ["a", "b"], "left_anti")
     again = stored(alike(stored(again, "join-again"), reps, percent), "join-again-alike")
     second = verified(again, stored(_sets(narrow, again, size), "join-again-sets"), percent)
@@ -275,8 +306,8 @@ def _rows_of(sets: DataFrame, reps: DataFrame) -> DataFrame:
             chosen = marked(held.value, batch.column("at").to_numpy())
             yield batch.drop_columns(["at"]).filter(pa.array(chosen))
 
-    named = sets.select(F.col("doc_id").alias("rep"), "n", "pivots", "shape", high_bits("doc_id").alias("at"))
-    return named.mapInArrow(run, "rep long, n long, pivots array<long>, shape array<smallint>")
+    named = sets.select(F.col("doc_id").alias("rep"), "n", "pivots", "shape", *PARITIES, high_bits("doc_id").alias("at"))
+    return named.mapInArrow(run, f"rep long, n long, pivots array<long>, shape array<smallint>, {PARITY_SCHEMA}")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,

@@ -78,3 +78,26 @@ def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(100, 101), (101, 100), (50, 50)], "a long, b long")
     got = {r.node: r.component for r in J.components(edges).collect()}
     assert got == {**{k: 0 for k in range(41)}, 100: 100, 101: 100}
+
+
+def test_points_far_apart_in_a_region_do_not_meet(spark, monkeypatch):
+    """Texts that share most rare shingles and are still no near copies: their pairs fall before the region joins give rows."""
+    pick, met = random.Random(6), {}
+    base = [f"w{k}" for k in range(400)]
+    rows = []
+    for k in range(80):
+        words = list(base)
+        for at in pick.sample(range(400), 8 if k % 4 else 3):
+            words[at] = f"v{k}.{at}"
+        rows.append((k, " ".join(words)))
+    stored = J.stored
+
+    def counted(frame, name):
+        out = stored(frame, name)
+        met[name] = out.count()
+        return out
+
+    monkeypatch.setattr(J, "stored", counted)
+    want = brute(rows, 5, 80)
+    assert run(spark, rows, 5, 80) == want and 30 < len({c for _, _, c in want}) < 70
+    assert met["join-loose"] + met["join-again"] < 1400, met
