@@ -7,12 +7,16 @@ from pyspark.sql import functions as F
 
 from hirelens import fixed_values as V
 
+# The letters that offers and refusals of remote work begin with, looked at before the costly Unicode word border.
+_OFFER = rf"(?=[rRwWfFdD]){V.REMOTE_POSITIVE}"
+_REFUSAL = rf"(?=[nNwWrRoO])(?:{V.REMOTE_NEGATIVE})"
+
 
 def detect_remote(text: Column) -> Column:
     """True if remote work is offered once explicit refusals are taken out."""
-    kept = F.regexp_replace(text, V.REMOTE_NEGATIVE, " ")
+    kept = F.regexp_replace(text, _REFUSAL, " ")
     # Taking refusals out never creates an offer, so texts without one skip the rewrite.
-    return F.coalesce(text.rlike(V.REMOTE_POSITIVE) & kept.rlike(V.REMOTE_POSITIVE), F.lit(False))
+    return F.coalesce(text.rlike(_OFFER) & kept.rlike(_OFFER), F.lit(False))
 
 
 def remote_scope(title: Column, location: Column, description: Column) -> Column:

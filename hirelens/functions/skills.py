@@ -17,6 +17,8 @@ from hirelens import fixed_values as V
 from hirelens.functions.text import bind
 
 Taxonomy = Mapping[str, Sequence[str]]
+# Without (?U) these are the same characters, which the JVM finds as one class.
+_NAME_START = V.NAME_START.replace("A-Za-z0-9_", r"\w")
 
 
 def taxonomy_names(taxonomy: Taxonomy) -> list[tuple[int, str]]:
@@ -60,10 +62,14 @@ def _search_pattern(names: list[str]) -> str:
             head, *tail = spelling.split()
             words = r"\s+".join(r"\Q" + w + r"\E" for w in [head[1:], *tail])
             by_start[start].append(words if exact else f"(?i:{words})")
-    branches = [f"{start}(?:{'|'.join(rest)})" for start, rest in by_start.items()]
-    # A look at the next character rules most positions out before the look behind.
-    initials = re.escape("".join(sorted({c for name in names for c in (name[0].lower(), name[0].upper())})))
-    return rf"(?U)(?=[{initials}]){V.NAME_START}(?=({'|'.join(branches)}){V.NAME_END})"
+    # A look behind by plain classes and one at the next character rule most positions out before the names are tried,
+    # a few first letters at a time.
+    letters = sorted(by_start, key=lambda start: start.strip("[\\")[0].lower())
+    groups = [letters[i:i + 5] for i in range(0, len(letters), 5)]
+    branches = [f"(?=[{''.join(c.strip('[]') for c in group)}])(?:{'|'.join(f'{c}(?:{"|".join(by_start[c])})' for c in group)})"
+                for group in groups]
+    initials = "".join(c.strip("[]") for c in letters)
+    return rf"{_NAME_START}(?=[{initials}])(?U)(?=({'|'.join(branches)}){V.NAME_END})"
 
 
 def exact_skill_positions(text: Column, taxonomy: Taxonomy) -> Column:
@@ -73,16 +79,25 @@ def exact_skill_positions(text: Column, taxonomy: Taxonomy) -> Column:
     for ord_, name in names:
         if ord_ not in holders[_key(name)]:
             holders[_key(name)].append(ord_)
-    lookup = F.create_map(*[v for key, at in holders.items() for v in (F.lit(key), F.array(*map(F.lit, at)))])
+    # One short map for each length of a name: a map is searched entry by entry.
+    sized: dict[int, list[Column]] = defaultdict(list)
+    for key, at in holders.items():
+        sized[len(key)] += [F.lit(key), F.array(*map(F.lit, at))]
+    none = F.lit(None).cast("map<string,array<int>>")
+    lookup = F.array(*[F.create_map(*sized[n]) if n in sized else none for n in range(max(sized) + 1)])
+
+    def holding(key: Column) -> Column:
+        return F.element_at(F.get(lookup, F.length(key)), key)
+
     found = [
         F.regexp_extract_all(text, F.lit(_search_pattern(layer)), F.lit(1))
         for layer in _layers([name for _, name in names])
     ]
     hits = F.concat(*found) if len(found) > 1 else found[0]
+    # Only names of several words can need their white space evened out.
+    evened = lambda key: F.regexp_replace(key, r"(?U)\s+", " ")
     return F.array_distinct(F.flatten(F.transform(
-        F.array_distinct(F.transform(hits, lambda h: F.lower(F.regexp_replace(h, r"(?U)\s+", " ")))),
-        lambda key: F.element_at(lookup, key),
-    )))
+        F.array_distinct(F.transform(hits, lambda h: F.lower(h))), lambda key: F.coalesce(holding(key), holding(evened(key))))))
 
 
 # --- near misses --------------------------------------------------------------------
@@ -259,7 +274,7 @@ def fuzzy_skill_positions(text: Column, taxonomy: Taxonomy, threshold: int = V.F
 def skills_in_order(positions: Column, taxonomy: Taxonomy) -> Column:
     """Order numbers -> skill names, taxonomy order, no duplicates."""
     names = F.array(*[F.lit(skill) for skill in taxonomy])
-    return F.transform(F.array_sort(F.array_distinct(F.array_compact(positions))), lambda p: F.get(names, p))
+    return F.transform(F.sort_array(F.array_distinct(F.array_compact(positions))), lambda p: F.get(names, p))
 
 
 def extract_skills(text: Column, taxonomy: Taxonomy, fuzzy: bool = True,

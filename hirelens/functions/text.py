@@ -3,19 +3,21 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, DataType, StringType
 
 from hirelens import fixed_values as V
 
 # Text made only of these characters is already in NFKC form, so it never leaves the JVM.
 NFKC_STABLE = r"^[\x00-\x7FÀ-ÖØ-öø-ÿ£©®°·–—‘’“”•€]*+\z"
 _PRINTABLE = r"^[\x20-\x7E]*+\z"
+# The same with the other characters of NFKC_STABLE, none of which is white space.
+_STABLE_PRINTABLE = r"^[\x20-\x7EÀ-ÖØ-öø-ÿ£©®°·–—‘’“”•€]*+\z"
 _ASCII = r"^[\x00-\x7F]*+\z"
 # Everything Python's str.strip() removes.
 _EDGE_CHARS = (
@@ -33,16 +35,43 @@ def arrow_text_function(convert: Callable[[str], str]):
     it would otherwise push below the projection.
     """
 
+    return _arrow_function(convert, StringType(), pa.string())
+
+
+def _arrow_function(convert: Callable, kind: DataType, arrow_kind: pa.DataType):
     def batch(values: pa.Array) -> pa.Array:
-        return pa.array([None if v is None else convert(v) for v in values.to_pylist()], pa.string())
+        if values.null_count == len(values):
+            return pa.nulls(len(values), arrow_kind)
+        # Only the values that are there become Python objects.
+        made = pa.array([convert(v) for v in values.drop_null().to_pylist()], arrow_kind)
+        there = values.is_valid().to_numpy(zero_copy_only=False)
+        return made.take(pa.array(there.cumsum() - 1, mask=~there))
+
+    return F.arrow_udf(batch, kind).asNondeterministic()
 
-    return F.arrow_udf(batch, StringType()).asNondeterministic()
+
+def _unstable(c: Column) -> Column:
+    """The text if NFKC can change it, else null."""
+    # Counting bytes and characters tells ASCII texts apart without a pattern.
+    return F.when((F.octet_length(c) > F.char_length(c)) & ~c.rlike(NFKC_STABLE), c)
 
 
 def nfkc(c: Column) -> Column:
     """Unicode NFKC form; Python sees only the values that can change, the rest arrive as nulls."""
     normalize = arrow_text_function(partial(unicodedata.normalize, "NFKC"))
-    return F.coalesce(normalize(F.when(~c.rlike(NFKC_STABLE), c)), c)
+    return F.coalesce(normalize(_unstable(c)), c)
+
+
+def nfkc_list(columns: Sequence[Column]) -> Column:
+    """NFKC forms of several texts of a row as one array; nulls for texts that NFKC cannot change, null if it can change none.
+
+    One column goes to Python and back instead of one for each text.
+    """
+    normalize = partial(unicodedata.normalize, "NFKC")
+    convert = _arrow_function(lambda row: [None if v is None else normalize(v) for v in row],
+                              ArrayType(StringType()), pa.list_(pa.string()))
+    changed = F.array(*map(_unstable, columns))
+    return convert(F.when(F.coalesce(*map(_unstable, columns)).isNotNull(), changed))
 
 
 def strip_ws(c: Column) -> Column:
@@ -59,16 +88,21 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 
 
-def normalize_text(c: Column) -> Column:
-    """NFKC, no zero-width characters, one space between words, blank -> null."""
+def normalize_text(c: Column, composed: Column | None = None) -> Column:
+    """NFKC, no zero-width characters, one space between words, blank -> null.
+
+    ``composed`` is the text's entry of ``nfkc_list``, if that has been computed.
+    """
 
     def collapse(text: Column) -> Column:
         return F.trim(F.regexp_replace(text, V.WHITESPACE + "+", " "))
 
     # Most values are plain words with single spaces and pass untouched.
-    tidy = ~c.contains("  ") & ~c.startswith(" ") & ~c.endswith(" ") & c.rlike(_PRINTABLE)
-    wide = collapse(F.regexp_replace(nfkc(c), V.ZERO_WIDTH, ""))
-    return blank_to_null(F.when(tidy, c).when(c.rlike(_ASCII), collapse(c)).otherwise(wide))
+    spaced = ~c.contains("  ") & ~c.startswith(" ") & ~c.endswith(" ")
+    whole = nfkc(c) if composed is None else F.coalesce(composed, c)
+    wide = collapse(F.regexp_replace(whole, V.ZERO_WIDTH, ""))
+    return blank_to_null(F.when(spaced & c.rlike(_PRINTABLE), c).when(c.rlike(_ASCII), collapse(c)).when(
+        spaced & c.rlike(_STABLE_PRINTABLE), c).otherwise(wide))
 
 
 def truncate(c: Column, max_chars: int) -> Column:

@@ -9,11 +9,13 @@ from hirelens import fixed_values as V
 from hirelens.functions.dates import parse_date_text
 from hirelens.functions.text import (
     job_id,
+    nfkc_list,
     normalize_text,
     standardize_location,
     truncate,
     web_url_only,
 )
+from hirelens.session import short_methods
 
 
 def clean(raw: DataFrame, scraped_at: Column | None = None) -> DataFrame:
@@ -30,8 +32,12 @@ def clean(raw: DataFrame, scraped_at: Column | None = None) -> DataFrame:
     kept = [c for c in raw.columns if c not in texts and c != "scraped_at"]
     if scraped_at is None:
         scraped_at = F.col("scraped_at") if "scraped_at" in present else F.current_timestamp()
-    normal = raw.select(
-        *kept, scraped_at.alias("scraped_at"), *[normalize_text(field(t)).alias(t) for t in texts]
+    short_methods(raw.sparkSession)
+    # Evaluated once, in a step of its own.
+    composed = raw.select(*kept, scraped_at.alias("scraped_at"), *[field(t).alias(t) for t in texts],
+                          nfkc_list([field(t) for t in texts]).alias("_nfkc"))
+    normal = composed.select(
+        *kept, "scraped_at", *[normalize_text(F.col(t), F.get("_nfkc", F.lit(i))).alias(t) for i, t in enumerate(texts)]
     ).filter(F.col("title").isNotNull())
     typed = normal.select(
         *kept,

@@ -29,6 +29,19 @@ def local_session(app: str = "hirelens", cores: str | int = "*", partitions: int
     return builder.getOrCreate()
 
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+
+
+def short_methods(spark: SparkSession, limit: int = 8000) -> None:
+    """In this session, no whole-stage code with methods of more than ``limit`` bytes of byte code.
+
+    The JVM never compiles longer ones (its HugeMethodLimit) but interprets them for good; Spark then runs
+    the operators one by one, whose code is cut into short methods.
+    """
+    if int(spark.conf.get(METHOD_LIMIT)) > limit:
+        spark.conf.set(METHOD_LIMIT, str(limit))
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

@@ -118,3 +118,24 @@ def test_entities_of_any_number_of_words(spark):
     names = spark.createDataFrame([("United States of America", "GPE"), ("United States", "GPE")], "name string, kind string")
     got = {r.ordinal: r.location for r in fill_entities(clean(raw), names).collect()}
     assert got == {1: "United States of America", 2: "United States", 3: "United States"}
+
+
+def test_all_texts_of_a_posting_go_to_python_as_one_column(spark):
+    names = ["source", "title", "company", "location", "posted", "url", "description"]
+    texts = [("s", "ﬁne​  job", None, "Ａ", "", "http://x", "Ⅷ\x85 a–b\x1cq "), (None, "é – x", "a\x7fb", "　", "x", "y", "é  é")]
+    raw = spark.createDataFrame([(i, *t) for i, t in enumerate(texts)], ", ".join(["ordinal int", *(f"{n} string" for n in names)]))
+    cleaned = clean(raw, F.lit("2026-01-01").cast("timestamp"))
+    assert cleaned._jdf.queryExecution().optimizedPlan().toString().count("batch(") == 1
+    rows = {r.ordinal: r for r in cleaned.collect()}
+    assert [rows[0][n] for n in ("source", "title", "company", "location", "url", "description")] == [
+        "s", "fine job", None, "A", "http://x", "VIII a–b q"]
+    assert [rows[1][n] for n in ("source", "title", "company", "location", "description")] == ["unknown", "é – x", "a\x7fb", None, "é é"]
+
+
+def test_cleaning_forbids_methods_that_the_jvm_never_compiles(spark):
+    limit = "spark.sql.codegen.hugeMethodLimit"
+    for before, after in ((65535, "8000"), (4000, "4000")):
+        spark.conf.set(limit, before)
+        clean(spark.createDataFrame([], RAW_POSTING))
+        assert spark.conf.get(limit) == after
+    spark.conf.unset(limit)

@@ -192,3 +192,14 @@ def test_names_shared_and_names_inside_names(column):
     tags = lambda c: skills.extract_skills(c, taxonomy, fuzzy=False)
     got = column(["we do CI/CD", "only CI", "Pipelines", "a Data-Lake", "the data  lake house"], tags)
     assert got == [["CI", "CI/CD"], ["CI"], ["CI/CD", "Build"], ["Data", "Data-Lake"], ["Data", "Data Lake House"]]
+
+
+def test_skill_names_at_all_borders(column):
+    # Every name by itself, in capitals, parted unevenly, and within other words.
+    names = [name for skill, aliases in V.TAXONOMY.items() for name in (skill, *aliases)]
+    parted = ["  ".join(name.split()) for name in names]
+    found = column([f"{a}, ({a.upper()}) x{a} {a}x" for a in parted], lambda c: skills.extract_skills(c, V.TAXONOMY, fuzzy=False))
+    holders = [{skill for skill, aliases in V.TAXONOMY.items() if name in (skill, *aliases)} for name in names]
+    assert all(own <= set(f) for own, f in zip(holders, found))
+    assert column(["xPython", "_Go", "#Java", "a.SQL", "Pythonx", "Java.x", "go", "ſwift"],
+                  lambda c: skills.extract_skills(c, V.TAXONOMY, fuzzy=False)) == [[]] * 8
