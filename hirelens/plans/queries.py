@@ -652,7 +652,7 @@ def page_cards(spark, sf):
 def page_files(spark, sf):
     """Pages landed as one HTML file each, numbered by path, and their cards."""
     path = shared_dir(spark, "page-files")
-    _pages(spark, sf).select("page_id", "html").write.partitionBy("page_id").text(path)
+    listing.land_pages(_pages(spark, sf), path)
     cards = listing.parse_listing(listing.read_pages(spark, path), PAGE_SELECTORS, F.lit("https://landed.example/list/"))
     return cards.select("ordinal", "title", "company", "location", "url")
 

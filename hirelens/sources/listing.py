@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -11,9 +12,54 @@ from pyspark.sql import Window
 from hirelens import fixed_values as V
 from hirelens.functions.html import element_matches, resolve_url, selector_tags, shred
 from hirelens.session import shared_dir
+from hirelens.sources.tables import TASKS_A_CORE
 
 Selectors = Mapping[str, Sequence[str]]
 
+# Splits of a folder of small files that a task reads: Spark counts each file as 4 MB or more, 32 to a split.
+SPLITS_A_TASK = 16
+# Files with these endings are unpacked by Spark's text reader, which takes several times as long a file as its binary reader.
+PACKED = ("gz", "bz2", "deflate", "lz4", "snappy", "zst")
+
+
+def land_pages(pages: DataFrame, path: str) -> None:
+    """Land pages (page_id, html) as one HTML file each; equal ids of a task share a file.
+
+    In a folder that tasks see as their own they write the files themselves, each moved into place when whole, as
+    Hadoop's local file system starts several processes a file to set modes. Elsewhere Spark's writer does it.
+    """
+    spark = pages.sparkSession
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    rows = pages.select("page_id", "html")
+    if system.getScheme() != "file":
+        rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("page_id").text(path)
+        return
+    folder = location.toUri().getPath()
+    system.mkdirs(location)
+
+    def land(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import itertools
+        import os
+
+        from pyspark import TaskContext
+
+        task = TaskContext.get()
+        landed = 0
+        held = (row for b in batches for row in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary())))
+        for number, group in itertools.groupby(held, lambda row: row[0]):
+            name = f"page-{'null' if number is None else number}-{task.partitionId():05d}.html"
+            # Hidden from readers until it is whole.
+            begun = f"{folder}/.{name}.{task.taskAttemptId()}"
+            with open(begun, "wb") as file:
+                for _, text in group:
+                    file.write((text.as_py() or b"") + b"\n")
+            os.replace(begun, f"{folder}/{name}")
+            landed += 1
+        yield pa.record_batch([pa.array([landed], pa.int64())], ["landed"])
+
+    rows.sortWithinPartitions("page_id").mapInArrow(land, "landed long").agg(F.sum("landed")).collect()
+
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed pages: a Parquet table (page_id, url, html), or one HTML file per page.
@@ -21,22 +67,36 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     Files are numbered in the order of their paths, with numbers in a path compared as numbers, so
     page10 follows page9 and files with equal names in two folders stay apart. For that the paths
     alone are sorted into a table; a page's number is its row there, counted over that table's files.
+    The files are read when this is called.
     """
     if path.rstrip("/").endswith(".parquet"):
         return spark.read.parquet(path)
-    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
+    name = F.col("_metadata.file_path").alias("url")
+    files = spark.read.format("binaryFile").load(path).select(name, F.col("content").alias("html"))
+    # Opening a file costs far more than its few bytes, so each is opened once and all else reads this table.
+    stored = shared_dir(spark, "page-table")
+    tasks = max(TASKS_A_CORE * spark.sparkContext.defaultParallelism, files.rdd.getNumPartitions() // SPLITS_A_TASK)
+    files.coalesce(tasks).write.parquet(stored)
+    files = spark.read.schema(files.schema).parquet(stored).withColumn("html", F.col("html").cast("string"))
+    packed = F.col("url").rlike(rf"\.({'|'.join(PACKED)})$")
+    if not files.where(packed).isEmpty():
+        unpacked = spark.read.text(path, wholetext=True, pathGlobFilter=f"*.{{{','.join(PACKED)}}}")
+        files = files.where(~packed).unionByName(unpacked.select(name, F.col("value").alias("html")))
+    # Dealt by path: the join with the numbers (no broadcast, whatever the size) moves pages no further, and
+    # their parsing has as many tasks.
+    files = files.repartition(tasks, "url")
     # Every digit run is left-padded, so that text order is number order.
     padded = F.array_join(F.transform(F.regexp_extract_all("url", F.lit(r"\d+|\D+"), F.lit(0)), lambda part: F.when(
         part.rlike(r"^\d"), F.lpad(part, 20, "0")).otherwise(part)), "")
     order = shared_dir(spark, "page-order")
-    files.select("url").withColumn("_order", padded).orderBy("_order", "url").select("url").write.parquet(order)
+    spark.read.schema("url string").parquet(stored).withColumn("_order", padded).orderBy("_order", "url").select("url").write.parquet(order)
     rows = spark.read.parquet(order).select("url", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
     # One row per file of the sorted table.
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n")).select(
         "_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     numbered = rows.join(sizes, "_file").select("url", (F.col("_before") + F.col("_row")).alias("page_id"))
-    return files.join(numbered, "url").select("page_id", "url", "html")
+    return files.join(numbered.hint("merge"), "url").select("page_id", "url", "html")
 
 
 def page_elements(pages: DataFrame, tags: Sequence[str] | None = None) -> DataFrame:

@@ -1,8 +1,10 @@
+import gzip
+
 from pyspark.sql import functions as F
 
 from hirelens.functions.html import html_to_text, resolve_url, shred
 from hirelens.sources.comments import damaged_lines, parse_comments, read_hits, split_header
-from hirelens.sources.listing import page_elements, parse_listing, read_pages, url_allowed
+from hirelens.sources.listing import land_pages, page_elements, parse_listing, read_pages, url_allowed
 
 SELECTORS = {
     "card": ["section.vacancy", "li.opening"],
@@ -147,6 +149,29 @@ def test_files_with_equal_names_are_different_pages(spark, tmp_path):
     assert [r.html for r in found] == ["<p>h1 1</p>", "<p>h1 9</p>", "<p>h1 10</p>", "<p>h2 1</p>"]
 
 
+def test_landed_pages_are_files_that_are_opened_once(spark, tmp_path):
+    texts = {0: "<p>zero</p>", 2: "<p>two\nlines é</p>", 10: None, -5: "<p>minus</p>", None: "<p>none</p>"}
+    pages = spark.createDataFrame(list(texts.items()), "page_id long, html string").repartition(3)
+    folder = tmp_path / "landed"
+    land_pages(pages, str(folder))
+    assert len(list(folder.iterdir())) == len(texts) and all(f.is_file() for f in folder.iterdir())
+    found = read_pages(spark, f"file:{folder}")
+    # Nothing of it is read from the files again.
+    for file in folder.iterdir():
+        file.write_text("<p>later</p>")
+    want = [(texts[n] or "") + "\n" for n in (-5, 0, 2, 10, None)]
+    assert [(r.page_id, r.html) for r in found.orderBy("page_id").collect()] == list(enumerate(want))
+    land_pages(pages.limit(0), str(tmp_path / "nothing"))
+    assert read_pages(spark, str(tmp_path / "nothing")).count() == 0
+
+
+def test_packed_pages_are_unpacked(spark, tmp_path):
+    (tmp_path / "page2.html").write_text("<p>plain</p>")
+    (tmp_path / "page1.html.gz").write_bytes(gzip.compress(b"<p>packed</p>"))
+    assert [(r.page_id, r.html) for r in read_pages(spark, str(tmp_path)).orderBy("page_id").collect()] == [
+        (0, "<p>packed</p>"), (1, "<p>plain</p>")]
+
+
 def test_damaged_lines_are_counted(spark, tmp_path):
     path = tmp_path / "feed.jsonl"
     path.write_text('{"hits": [{"objectID": "1"}]}\n{"hits": [{"obj\n\n{"hits": []}\n')
