@@ -36,6 +36,7 @@ from hirelens.operators.clean import keep_first
 from hirelens.operators.history import latest_runs, market_totals, new_records, with_average
 from hirelens.operators.known_ids import bucket_of, build_index, chunks_for, known_among
 from hirelens.schemas import MARKET_SNAPSHOT, OBSERVATION, RUN, SKILL_SNAPSHOT
+from hirelens.session import finer_tasks
 
 _RUN_LOG = StructType(RUN.fields + [StructField("seq", IntegerType()), StructField("origin", StringType())])
 _ALERT = StructType(
@@ -257,7 +258,9 @@ class JobStore:
         Of the base only the buckets that may hold an id of the batch are read, by its skip index.
         """
         columns = [f.name for f in OBSERVATION.fields if f.name != "run_id"]
-        self._write(keep_first(valid.select(*columns)), "observations", run_id)
+        # Cleaning and tagging happen in this write.
+        with finer_tasks(self.spark):
+            self._write(keep_first(valid.select(*columns)), "observations", run_id)
         batch = self.observations().filter(F.col("run_id") == run_id)
         base = self.base(run_id - 1)
         others = self.first_records().filter(F.col("run_id") != run_id)

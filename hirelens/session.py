@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -42,6 +44,25 @@ def short_methods(spark: SparkSession, limit: int = 8000) -> None:
         spark.conf.set(METHOD_LIMIT, str(limit))
 
 
+TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+@contextmanager
+def finer_tasks(spark: SparkSession, size: str = "4MB") -> Iterator[None]:
+    """Within it, adaptive execution merges shuffle partitions up to ``size`` only, unless the job sets a size itself.
+
+    It counts bytes, 64 MB a task: of short texts with much work a row that is a minute a task, with cores idle at the end.
+    """
+    if spark.conf.get(TASK_BYTES, None) is not None:
+        yield
+        return
+    spark.conf.set(TASK_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(TASK_BYTES)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 

@@ -8,6 +8,7 @@ from hirelens.operators import history
 from hirelens.plans.batch import READERS, run_once
 from hirelens.plans.store import JobStore, append_csv
 from hirelens.schemas import OBSERVATION
+from hirelens.session import TASK_BYTES
 from hirelens import fixed_values as V
 
 CARD = """<div class="card-content"><h2 class="title">{title}</h2><h3 class="company">Beta</h3>
@@ -162,6 +163,22 @@ def test_repeats_inside_a_batch_are_one_job(spark, tmp_path):
     assert store.save_records(records(spark, 1, "a", "b", "a"), 1).count() == 2
 
 
+def test_batches_are_tagged_in_small_tasks(spark, tmp_path, monkeypatch):
+    seen, write = [], JobStore._write
+    monkeypatch.setattr(JobStore, "_write", lambda self, df, table, run_id: (
+        seen.append((table, self.spark.conf.get(TASK_BYTES, None))), write(self, df, table, run_id)))
+    store = JobStore(spark, str(tmp_path))
+    store.save_records(records(spark, 1, "a", "b"), 1)
+    assert seen == [("observations", "4MB"), ("jobs", None)] and spark.conf.get(TASK_BYTES, None) is None
+    # A size that the job sets stays.
+    spark.conf.set(TASK_BYTES, "32MB")
+    try:
+        store.save_records(records(spark, 2, "c"), 2)
+        assert seen[2:] == [("observations", "32MB"), ("jobs", "32MB")] and spark.conf.get(TASK_BYTES) == "32MB"
+    finally:
+        spark.conf.unset(TASK_BYTES)
+
+
 def test_run_ids_are_claimed_once(spark, tmp_path):
     store = JobStore(spark, str(tmp_path))
     assert [store._claim(1) for _ in range(3)] == [1, 2, 3]
