@@ -35,7 +35,7 @@ def land_pages(pages: DataFrame, path: str) -> None:
     if system.getScheme() != "file":
         rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("page_id").text(path)
         return
-    folder = location.toUri().getPath()
+    folder = system.makeQualified(location).toUri().getPath()
     system.mkdirs(location)
 
     def land(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
